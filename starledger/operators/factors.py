@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import Column, DataFrame, functions as F
 
+from starledger.operators.split_als import train_by_sums
 from starledger.shared import ensure_checkpoint_dir
 
+# What one block of Spark ML's solver should hold at most, and how many blocks it can have.
+RATINGS_PER_BLOCK = 20_000_000
+MAX_BLOCKS = 500
+
 
 @dataclass(frozen=True)
 class FactorModel:
@@ -30,13 +36,28 @@ def train(
 ) -> FactorModel:
     """Explicit-feedback alternating least squares over (userId, productId, score).
 
+    Spark ML's solver splits the ratings into ``blocks`` on either side. Where the ratings,
+    or those of one user or product, are more than its blocks can hold, the same systems
+    are solved by grouped sums.
+
     The factors are checkpointed: what scores with them later never trains again, even
-    when executors are lost. ``blocks`` is the number of parts the ratings are split into
-    on either side; by default one per core.
+    when executors are lost.
     """
     spark = ratings.sparkSession
     ensure_checkpoint_dir(spark)
-    blocks = blocks or max(10, spark.sparkContext.defaultParallelism)
+    ratings = ratings.select("userId", "productId", "score")
+    total = ratings.count()
+    if not _fits_blocks(ratings, total):
+        users, items = train_by_sums(ratings, rank, iterations, reg, seed)
+        return FactorModel(users, items, rank)
+    blocks = blocks or min(
+        max(
+            10,
+            spark.sparkContext.defaultParallelism,
+            math.ceil(total / RATINGS_PER_BLOCK),
+        ),
+        MAX_BLOCKS,
+    )
     als = ALS(
         rank=rank,
         maxIter=iterations,
@@ -50,7 +71,7 @@ def train(
         checkpointInterval=5,
         coldStartStrategy="drop",
     )
-    model = als.fit(ratings.select("userId", "productId", "score"))
+    model = als.fit(ratings)
     return FactorModel(
         user_factors=model.userFactors.withColumnRenamed("id", "userId").checkpoint(),
         item_factors=model.itemFactors.withColumnRenamed("id", "productId").checkpoint(),
@@ -58,6 +79,15 @@ def train(
     )
 
 
+def _fits_blocks(ratings: DataFrame, total: int) -> bool:
+    if total <= RATINGS_PER_BLOCK:
+        return True
+    if total > RATINGS_PER_BLOCK * MAX_BLOCKS:
+        return False
+    sizes = ratings.groupingSets([["userId"], ["productId"]], "userId", "productId").count()
+    return sizes.agg(F.max("count")).first()[0] <= RATINGS_PER_BLOCK
+
+
 def score_pairs(pairs: DataFrame, model: FactorModel) -> DataFrame:
     """Add ``score`` to (userId, productId) pairs; pairs with an unknown id are dropped.
 
@@ -68,9 +98,7 @@ def score_pairs(pairs: DataFrame, model: FactorModel) -> DataFrame:
         model.user_factors.withColumnRenamed("features", "user_features"), "userId"
     ).join(model.item_factors.withColumnRenamed("features", "item_features"), "productId")
     score = dot_product(F.col("user_features"), F.col("item_features"), model.rank)
-    return known.select(
-        *pairs.columns, score.alias("score")
-    )
+    return known.select(*pairs.columns, score.alias("score"))
 
 
 def dot_product(left: Column, right: Column, rank: int) -> Column:

@@ -1,0 +1,40 @@
+import pytest
+from pyspark.sql import functions as F
+
+from starledger.functions import register_month_functions, year_month, year_month_text
+
+SECONDS = [1393631999, 1393632000, 0, -1, 2147483647, -2147483648, None]
+UTC = [201402, 201403, 197001, 196912, 203801, 190112, None]
+
+
+@pytest.fixture(params=["UTC", "Asia/Shanghai", "America/New_York"])
+def zoned(spark, request):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", request.param)
+    yield spark.createDataFrame([(s,) for s in SECONDS], "timestamp int")
+    spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def column(df, expression):
+    return [row[0] for row in df.select(expression).collect()]
+
+
+def test_utc_month_in_any_session_zone(zoned):
+    assert column(zoned, year_month("timestamp")) == UTC
+    assert column(zoned, year_month_text(F.col("timestamp"))) == [m and str(m) for m in UTC]
+
+
+def test_month_of_a_given_zone(zoned):
+    shanghai = column(zoned, year_month("timestamp", "Asia/Shanghai"))
+    assert shanghai[:2] == [201403, 201403] and shanghai[-1] is None
+    assert column(zoned, year_month("timestamp", "America/New_York"))[:2] == [201402, 201402]
+
+
+def test_sql_functions(zoned):
+    spark = zoned.sparkSession
+    register_month_functions(spark)
+    zoned.createOrReplaceTempView("seconds")
+    rows = spark.sql("SELECT changeDate(timestamp) AS m, yyyyMM(timestamp) AS t FROM seconds")
+    assert rows.dtypes == [("m", "int"), ("t", "string")]
+    assert [r.m for r in rows.collect()] == UTC
+    assert [r.t for r in rows.collect()] == [m and str(m) for m in UTC]
