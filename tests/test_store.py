@@ -1,0 +1,161 @@
+import glob
+
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from starledger import schemas
+from starledger.sources import Store, read_table, store as store_module, write_table
+from starledger.sources.layout import clustered
+
+ROWS = [(u, u % 7, float(u % 5), 1000 + u) for u in range(500)]
+
+
+@pytest.fixture
+def ratings(spark):
+    return spark.createDataFrame(ROWS, schemas.RATING).repartition(4)
+
+
+@pytest.fixture
+def uncoalesced(spark):
+    """Keep small partitions apart, as large ones would be."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    yield
+    spark.conf.set(key, before)
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()))
+
+
+@pytest.mark.parametrize("staged", [True, False])
+@pytest.mark.parametrize(
+    "fmt, options", [("parquet", {}), ("orc", {}), ("json", {}), ("csv", {"header": "true"})]
+)
+def test_roundtrip(spark, ratings, tmp_path, fmt, options, staged):
+    options = {**options, **({"inferSchema": "true"} if fmt == "csv" else {})}
+    store = Store(str(tmp_path), fmt, options)
+    write_table(ratings, store, "Rating", staged=staged)
+    back = read_table(spark, store, "Rating", schemas.RATING)
+    assert back.dtypes == ratings.dtypes and rows(back) == rows(ratings)
+
+
+def test_reading_orders_casts_and_drops_columns(spark, tmp_path):
+    store = Store(str(tmp_path))
+    stored = spark.createDataFrame(
+        [("id-1", 5, 2.0, 9, 3)], "_id string, timestamp bigint, score float, productId int, userId int"
+    )
+    write_table(stored, store, "Rating")
+    back = read_table(spark, store, "Rating", schemas.RATING)
+    assert back.collect() == [(3, 9, 2.0, 5)]
+    assert back.dtypes == [
+        ("userId", "int"), ("productId", "int"), ("score", "double"), ("timestamp", "int"),
+    ]
+    with pytest.raises(Exception):
+        read_table(spark, store, "Rating", "userId int, missing int")
+
+
+def test_nested_lists_roundtrip(spark, tmp_path):
+    store = Store(str(tmp_path))
+    lists = spark.createDataFrame([(1, [(2, 3.0), (4, 1.0)])], schemas.USER_RECS)
+    write_table(lists, store, "UserRecs", single_file=True)
+    assert read_table(spark, store, "UserRecs", schemas.USER_RECS).collect() == lists.collect()
+
+
+def test_a_table_can_replace_itself(spark, ratings, tmp_path):
+    store = Store(str(tmp_path))
+    for _ in range(2):
+        write_table(ratings, store, "Rating")
+    high = read_table(spark, store, "Rating", schemas.RATING).where("score >= 3")
+    write_table(high, store, "Rating")
+    assert rows(read_table(spark, store, "Rating", schemas.RATING)) == [r for r in ROWS if r[2] >= 3]
+    assert [p.name for p in tmp_path.iterdir()] == ["Rating"]
+
+
+def test_a_failed_write_keeps_the_old_table(spark, ratings, tmp_path):
+    store = Store(str(tmp_path))
+    write_table(ratings, store, "Rating")
+    failing = ratings.withColumn("score", F.raise_error(F.lit("no")).cast("double"))
+    with pytest.raises(Exception):
+        write_table(failing, store, "Rating")
+    assert rows(read_table(spark, store, "Rating", schemas.RATING)) == ROWS
+    assert [p.name for p in tmp_path.iterdir()] == ["Rating"]
+
+
+def test_connector_without_a_root(spark, ratings, tmp_path):
+    # Any format whose option names the table; here the option is the path itself.
+    store = Store(format="parquet", name_option="path")
+    name = str(tmp_path / "Rating")
+    for _ in range(2):
+        write_table(ratings, store, name)
+    assert rows(read_table(spark, store, name, schemas.RATING)) == ROWS
+
+
+def files(tmp_path, name="Rating"):
+    return sorted(glob.glob(f"{tmp_path}/{name}/*.parquet"))
+
+
+def test_clustered_files_cover_separate_key_ranges(spark, ratings, tmp_path, uncoalesced):
+    store = Store(str(tmp_path))
+    write_table(ratings, store, "Rating", cluster_by="userId", lookup_keys=["productId"])
+    ranges = []
+    for path in files(tmp_path):
+        keys = pq.read_table(path).column("userId").to_pylist()
+        assert keys == sorted(keys)
+        ranges.append((keys[0], keys[-1]))
+    ranges.sort()
+    assert len(ranges) > 1
+    assert all(before[1] < after[0] for before, after in zip(ranges, ranges[1:]))
+    assert rows(read_table(spark, store, "Rating", schemas.RATING)) == ROWS
+
+
+def test_second_key_gets_bloom_filters():
+    assert store_module._lookup_options("parquet", ["userId"]) == {
+        "parquet.bloom.filter.enabled#userId": "true"
+    }
+    assert store_module._lookup_options("orc", ["a", "b"]) == {"orc.bloom.filter.columns": "a,b"}
+    assert store_module._lookup_options("json", ["a"]) == {}
+
+
+def test_a_hot_key_is_spread(spark):
+    # Exact copies of one row are half of all; no range bound on the row itself splits them.
+    hot = spark.range(0, 80_000, 1, 16).select(
+        F.when(F.col("id") % 2 == 0, 5).otherwise(F.col("id") % 1000).cast("int").alias("productId"),
+        F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id")).alias("value"),
+    )
+    spread = clustered(hot, "productId", 8).withColumn("part", F.spark_partition_id())
+    sizes = {r.part: r["count"] for r in spread.groupBy("part").count().collect()}
+    assert sum(sizes.values()) == 80_000 and max(sizes.values()) < 25_000
+    with_hot = spread.where("productId = 5").select("part").distinct().count()
+    assert with_hot >= 4
+    assert clustered(hot, "productId", 8).columns == ["productId", "value"]
+
+
+def test_single_file_is_sorted(spark, ratings, tmp_path):
+    store = Store(str(tmp_path))
+    write_table(ratings, store, "Rating", order_by=[F.desc("timestamp")], single_file=True)
+    assert len(files(tmp_path)) == 1
+    stamps = pq.read_table(files(tmp_path)[0]).column("timestamp").to_pylist()
+    assert stamps == sorted(stamps, reverse=True) and len(stamps) == 500
+
+
+def test_a_large_single_file_request_stays_whole_and_ordered(
+    ratings, tmp_path, monkeypatch, uncoalesced
+):
+    monkeypatch.setattr(store_module, "SINGLE_FILE_ROWS", 100)
+    store = Store(str(tmp_path))
+    write_table(ratings, store, "Rating", order_by=["timestamp"], single_file=True)
+    parts = files(tmp_path)
+    assert len(parts) > 1
+    stamps = [s for path in parts for s in pq.read_table(path).column("timestamp").to_pylist()]
+    assert stamps == sorted(stamps) and len(stamps) == 500
+
+
+def test_lookup_filters_reach_the_scan(spark, ratings, tmp_path):
+    store = Store(str(tmp_path))
+    write_table(ratings, store, "Rating", cluster_by="productId")
+    found = read_table(spark, store, "Rating", schemas.RATING).where("productId = 3").select("score")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(productId,3)" in plan and "timestamp" not in plan.split("ReadSchema")[1]
