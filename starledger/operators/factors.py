@@ -16,6 +16,10 @@ from starledger.shared import ensure_checkpoint_dir
 RATINGS_PER_BLOCK = 20_000_000
 MAX_BLOCKS = 500
 
+# Blocks are made this small where their number allows it, down to a few blocks.
+_EVEN_BLOCK = 1_000_000
+_MIN_BLOCKS = 8
+
 
 @dataclass(frozen=True)
 class FactorModel:
@@ -36,9 +40,10 @@ def train(
 ) -> FactorModel:
     """Explicit-feedback alternating least squares over (userId, productId, score).
 
-    Spark ML's solver splits the ratings into ``blocks`` on either side. Where the ratings,
-    or those of one user or product, are more than its blocks can hold, the same systems
-    are solved by grouped sums.
+    Spark ML's solver splits the ratings into ``blocks`` on either side, by default as many
+    as the ratings need, so that a seed gives the same factors on any cluster. Where the
+    ratings, or those of one user or product, are more than blocks can hold, the same
+    systems are solved by grouped sums.
 
     The factors are checkpointed: what scores with them later never trains again, even
     when executors are lost.
@@ -50,14 +55,7 @@ def train(
     if not _fits_blocks(ratings, total):
         users, items = train_by_sums(ratings, rank, iterations, reg, seed)
         return FactorModel(users, items, rank)
-    blocks = blocks or min(
-        max(
-            10,
-            spark.sparkContext.defaultParallelism,
-            math.ceil(total / RATINGS_PER_BLOCK),
-        ),
-        MAX_BLOCKS,
-    )
+    blocks = blocks or min(max(_MIN_BLOCKS, math.ceil(total / _EVEN_BLOCK)), MAX_BLOCKS)
     als = ALS(
         rank=rank,
         maxIter=iterations,

@@ -17,9 +17,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from starledger import schemas
 
-# Bounds on what one task holds.
+# Bounds on what one task holds: numbers per side (64 MB each), and users.
+VALUES_PER_SIDE = 8_000_000
 USERS_PER_BLOCK = 65_536
-PRODUCTS_PER_SHARD = 1_000_000
 
 # Below this, splitting users further would cost more in product copies than it saves.
 _MIN_USERS_PER_BLOCK = 1024
@@ -33,24 +33,31 @@ def best_matches(
     n: int = 20,
     min_score: float | None = 0.0,
     exclude_same_id: bool = False,
-    users_per_block: int = USERS_PER_BLOCK,
-    products_per_shard: int = PRODUCTS_PER_SHARD,
+    users_per_block: int | None = None,
+    products_per_shard: int | None = None,
 ) -> DataFrame:
     """(userId, recs) with each user's ``n`` products of highest score, best first.
 
     Only scores strictly above ``min_score`` count; ``None`` keeps all. Equal scores rank
     by ``productId``. Users without any product are absent.
+
+    The sizes of blocks and shards do not change the result; by default they follow from
+    the length of the vectors and of the lists.
     """
-    spark = user_factors.sparkSession
     user_count = user_factors.count()
+    item_count, rank = item_factors.agg(F.count("*"), F.max(F.size("features"))).first()
+    rank = rank or 1
+    if users_per_block is None:
+        users_per_block = max(min(USERS_PER_BLOCK, VALUES_PER_SIDE // max(rank, n)), 1)
+    if products_per_shard is None:
+        products_per_shard = max(VALUES_PER_SIDE // rank, 1)
+    cores = user_factors.sparkSession.sparkContext.defaultParallelism
     blocks = max(
         math.ceil(user_count / users_per_block),
-        min(
-            spark.sparkContext.defaultParallelism, math.ceil(user_count / _MIN_USERS_PER_BLOCK)
-        ),
+        min(cores, math.ceil(user_count / _MIN_USERS_PER_BLOCK)),
         1,
     )
-    shards = max(math.ceil(item_factors.count() / products_per_shard), 1)
+    shards = max(math.ceil(item_count / products_per_shard), 1)
 
     block = F.pmod(F.hash("userId"), F.lit(blocks))
     shard = F.pmod(F.hash("productId"), F.lit(shards))

@@ -118,3 +118,29 @@ def test_missing_ids_are_an_error(spark):
         train(broken)
     with pytest.raises(Exception, match="no productId"):
         split_als.train_by_sums(broken, 2, 1, 0.1, 0)
+
+
+def test_hot_products_are_split_when_pairs_are_scored(spark, model):
+    """With factor tables too big to broadcast, Spark splits the hot join key at run time."""
+    pairs = spark.range(0, 300_000, 1, 8).select(
+        (100 + F.col("id") % 60).cast("int").alias("userId"),
+        F.when(F.col("id") % 3 < 2, 3).otherwise(F.col("id") % 40).cast("int").alias("productId"),
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        scored = score_pairs(pairs, model)
+        assert len(scored.collect()) == 300_000
+        assert "skew=true" in scored._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value else spark.conf.unset(key)

@@ -3,6 +3,7 @@ import glob
 import pytest
 
 from starledger import schemas
+from starledger.__main__ import main
 from starledger.plans import jobs
 from starledger.sources import Store, read_table
 
@@ -73,3 +74,15 @@ def test_a_bad_line_stops_a_strict_load_and_keeps_the_tables(spark, sources, tmp
     assert read_table(spark, store, "Rating", schemas.RATING).count() == 6
     with pytest.raises(ValueError):
         jobs.load(spark, store, *sources, mode="permissive")
+
+
+def test_command_line(spark, sources, tmp_path):
+    store = ["--root", str(tmp_path / "store"), "--format", "orc", "--option", "compression=zlib"]
+    main([*store, "load", *sources, "--mode", "drop", "--no-trim"])
+    main([*store, "statistics", "--text-month", "--single-file"])
+    main([*store, "recommend", "-n", "1", "--unfiltered", "--iterations", "2"])
+    read = lambda name, schema: read_table(
+        spark, Store(str(tmp_path / "store"), "orc"), name, schema
+    )
+    assert read("RateMoreRecentlyProducts", schemas.POPULAR_BY_MONTH_TEXT).first()[2] == "201403"
+    assert all(len(r.recs) == 1 for r in read("UserRecs", schemas.USER_RECS).collect())
