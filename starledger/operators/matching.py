@@ -114,7 +114,9 @@ def _cell_matcher(n: int, min_score: float | None, exclude_same_id: bool):
         # Longest vectors first: once a product is too short to matter, so are the rest.
         lengths = _lengths(item_vectors)
         order = np.argsort(-lengths, kind="stable")
-        item_ids, item_vectors, lengths = item_ids[order], item_vectors[order], lengths[order]
+        item_ids, lengths = item_ids[order], lengths[order]
+        item_columns = np.ascontiguousarray(item_vectors[order].T)
+        scratch = np.empty(_USER_TILE * _PRODUCT_TILE)
         parts = []
         for start in range(0, len(user_ids), _USER_TILE):
             tile = slice(start, start + _USER_TILE)
@@ -122,11 +124,12 @@ def _cell_matcher(n: int, min_score: float | None, exclude_same_id: bool):
                 user_ids[tile],
                 user_vectors[tile],
                 item_ids,
-                item_vectors,
+                item_columns,
                 lengths,
                 n,
                 min_score,
                 exclude_same_id,
+                scratch,
             )
             parts.append((row + start, product, score))
         return _as_lists(user_ids, *(np.concatenate(column) for column in zip(*parts)))
@@ -135,12 +138,13 @@ def _cell_matcher(n: int, min_score: float | None, exclude_same_id: bool):
 
 
 def _best_of_tile(
-    user_ids, users, item_ids, items, item_lengths, n, min_score, exclude_same_id
+    user_ids, users, item_ids, items, item_lengths, n, min_score, exclude_same_id, scratch
 ):
     """Best products of a few users as (row, product, score), by row and rank.
 
-    A matrix product finds the candidates; its rounding depends on the machine, so they
-    are let through with some slack and scored again in index order.
+    ``items`` has a column per product. A matrix product finds the candidates; its rounding
+    depends on the machine, so they are let through with some slack and scored again in
+    index order.
     """
     user_lengths = _lengths(users)
     rounding = 4 * users.shape[1] * np.finfo(float).eps
@@ -149,25 +153,26 @@ def _best_of_tile(
     best = (np.empty(0, int), np.empty(0, int), np.empty(0))
     active = np.arange(len(users))
     wanted = n + exclude_same_id
-    for start in range(0, len(items), _PRODUCT_TILE):
+    for start in range(0, len(item_ids), _PRODUCT_TILE):
         with np.errstate(invalid="ignore", over="ignore"):
             reach = user_lengths[active] * item_lengths[start]
             active = active[~(reach * (1 + rounding) < needed[active])]
             if len(active) == 0:
                 break
-            tile = items[start : start + _PRODUCT_TILE]
+            tile = items[:, start : start + _PRODUCT_TILE]
+            width = tile.shape[1]
             slack = user_lengths[active] * item_lengths[start] * rounding
-            rough = users[active] @ tile.T
+            rough = scratch[: len(active) * width].reshape(len(active), width)
+            np.matmul(users[active], tile, out=rough)
             possible = ~(rough < (needed[active] - slack)[:, None])
-            if wanted < len(tile) and possible.sum() > 8 * wanted * len(active):
-                place = len(tile) - wanted
-                nth = np.partition(rough, place, axis=1)[:, place]
+            if wanted < width and np.count_nonzero(possible) > 8 * wanted * len(active):
+                nth = np.partition(rough, width - wanted, axis=1)[:, width - wanted]
                 possible &= ~(rough < (nth - 2 * slack)[:, None])
-            row, column = np.nonzero(possible)
+            row, column = np.divmod(np.flatnonzero(possible), width)
             row = active[row]
             score = np.zeros(len(row))
-            for k in range(users.shape[1]):
-                score += users[row, k] * tile[column, k]
+            for k in range(len(tile)):
+                score += users[row, k] * tile[k, column]
         product = item_ids[start + column]
         kept = np.ones(len(row), bool)
         if min_score is not None:
