@@ -33,3 +33,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 def new_folder(spark: SparkSession, prefix: str) -> str:
     """A fresh path under the shared folder. Nothing is created yet."""
     return f"{shared_dir(spark)}/{prefix}-{uuid.uuid4().hex}"
+
+
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as that file system takes it."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, folder = file_system(spark, path)
+    if fs.exists(folder):
+        fs.delete(folder, True)

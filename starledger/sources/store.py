@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from starledger.shared import delete_folder, file_system
 from starledger.sources.layout import clustered
 
 # A table is only put into one file, and so through one task, up to this many rows.
@@ -107,7 +108,7 @@ def write_table(
         _put_in_place(spark, staging[-1], store.path(name))
     finally:
         for folder in staging:
-            _delete(spark, folder)
+            delete_folder(spark, folder)
 
 
 def _lookup_options(fmt: str, keys: Sequence[str]) -> dict[str, str]:
@@ -120,15 +121,10 @@ def _lookup_options(fmt: str, keys: Sequence[str]) -> dict[str, str]:
     return {}
 
 
-def _file_system(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
-
-
 def _put_in_place(spark: SparkSession, staging: str, target: str) -> None:
-    fs, new = _file_system(spark, staging)
-    _, place = _file_system(spark, target)
-    _, old = _file_system(spark, f"{staging}-old")
+    fs, new = file_system(spark, staging)
+    _, place = file_system(spark, target)
+    _, old = file_system(spark, f"{staging}-old")
     had_old = fs.exists(place)
     if had_old and not fs.rename(place, old):
         raise OSError(f"cannot move {target} aside")
@@ -139,9 +135,3 @@ def _put_in_place(spark: SparkSession, staging: str, target: str) -> None:
     if had_old:
         fs.delete(old, True)
     spark.catalog.refreshByPath(target)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    fs, folder = _file_system(spark, path)
-    if fs.exists(folder):
-        fs.delete(folder, True)
