@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starledger import schemas
@@ -25,6 +26,7 @@ from starledger.operators import (
     train,
     user_lists,
 )
+from starledger.operators.split_als import train_by_sums
 from starledger.plans import jobs
 from starledger.plans.derived import (
     factors_from_embeddings,
@@ -352,6 +354,47 @@ def als_user_lists(spark: SparkSession, sf: str) -> DataFrame:
     return user_lists(train(ratings_from_orders(spark, sf), seed=SEED))
 
 
+def als_lists_checked(spark: SparkSession, sf: str) -> DataFrame:
+    """What must hold of each user's list, whatever the factors are."""
+    model = train(ratings_from_orders(spark, sf), seed=SEED)
+    lists = user_lists(model)
+    entry = F.explode("recs").alias("rec")
+    listed = lists.select("userId", entry).select(
+        "userId", F.col("rec.productId").alias("productId"), F.col("rec.score").alias("listed")
+    )
+    exact = (
+        score_pairs(listed, model)
+        .groupBy("userId")
+        .agg(F.every(F.col("score") == F.col("listed")).alias("exact"))
+    )
+    scores = F.col("recs.score")
+    return lists.join(exact, "userId").select(
+        "userId",
+        "exact",
+        (F.sort_array(scores, asc=False) == scores).alias("in_order"),
+        (F.array_min(scores) > 0).alias("positive"),
+        (F.size(F.array_distinct("recs.productId")) == F.size("recs")).alias("distinct_products"),
+        (F.size("recs") <= 20).alias("at_most_n"),
+    )
+
+
+def als_by_sums(spark: SparkSession, sf: str) -> DataFrame:
+    """Both solvers from the same start: whether they agree on each user's factors."""
+    ratings = ratings_from_orders(spark, sf)
+
+    def spark_ml(iterations: int) -> DataFrame:
+        columns = {"userCol": "userId", "itemCol": "productId", "ratingCol": "score"}
+        als = ALS(rank=5, maxIter=iterations, regParam=0.01, seed=SEED, **columns)
+        return als.fit(ratings).userFactors.withColumnRenamed("id", "userId")
+
+    users, _ = train_by_sums(ratings, 5, 2, 0.01, SEED, user_factors=spark_ml(0))
+    gaps = F.zip_with("features", "expected", lambda a, b: F.abs(a - b))
+    expected = spark_ml(2).withColumnRenamed("features", "expected")
+    return users.join(expected, "userId").select(
+        "userId", (F.array_max(gaps) < 1e-3).alias("agree")
+    )
+
+
 # --- whole jobs ---------------------------------------------------------------------
 
 
@@ -425,6 +468,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             als_items,
             als_scores,
             als_user_lists,
+            als_lists_checked,
+            als_by_sums,
             job_load,
             job_statistics,
             job_recommend,
@@ -582,6 +627,12 @@ def oracle_sql() -> dict[str, str]:
         "als_items": f'WITH {_RATINGS} SELECT DISTINCT "productId" FROM ratings',
         "als_scores": f"""
             WITH {_RATINGS} SELECT "userId", "productId", false AS unknown FROM ratings""",
+        "als_lists_checked": f"""
+            WITH {_RATINGS}
+            SELECT DISTINCT "userId", true AS exact, true AS in_order, true AS positive,
+                   true AS distinct_products, true AS at_most_n
+            FROM ratings""",
+        "als_by_sums": f'WITH {_RATINGS} SELECT DISTINCT "userId", true AS agree FROM ratings',
         "job_load": trimmed,
         "job_statistics": month,
     }

@@ -35,7 +35,8 @@ def arguments() -> argparse.ArgumentParser:
     load.add_argument("ratings")
     load.add_argument("--product-table", default="Product")
     load.add_argument("--no-trim", dest="trim", action="store_false")
-    load.add_argument("--mode", choices=["strict", "drop"], default="strict")
+    load.add_argument("--mode", choices=["strict", "drop", "permissive"], default="strict")
+    load.add_argument("--rejected-table", default="RejectedLines")
     load.add_argument("--unindexed", dest="indexed", action="store_false")
 
     statistics = commands.add_parser("statistics", help="compute the leaderboards")

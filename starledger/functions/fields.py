@@ -26,7 +26,7 @@ def trim_controls(text: Column) -> Column:
 
 def int_field(text: Column) -> Column:
     """Text to int. NULL unless it is only digits with an optional sign, within int32."""
-    return F.when(text.rlike(r"^[+-]?[0-9]+$"), text.try_cast("int"))
+    return F.when(text.rlike(r"^[+-]?[0-9]+\z"), text.try_cast("int"))
 
 
 def double_field(text: Column) -> Column:
@@ -36,7 +36,7 @@ def double_field(text: Column) -> Column:
     and ``NaN``.
     """
     word = text.rlike(r"(?i)inf|nan")
-    jvm_word = text.rlike(r"^[\x00-\x20]*[+-]?(?:Infinity|NaN)[\x00-\x20]*$")
+    jvm_word = text.rlike(r"^[\x00-\x20]*[+-]?(?:Infinity|NaN)[\x00-\x20]*\z")
     return F.when(~word | jvm_word, text.try_cast("double"))
 
 

@@ -19,7 +19,7 @@ from starledger import schemas
 
 # Bounds on what one task holds: numbers per side (64 MB each), and users.
 VALUES_PER_SIDE = 8_000_000
-USERS_PER_BLOCK = 65_536
+USERS_PER_BLOCK = 262_144
 
 # Below this, splitting users further would cost more in product copies than it saves.
 _MIN_USERS_PER_BLOCK = 1024

@@ -15,6 +15,7 @@ from starledger.sources import (
     parse_products,
     parse_ratings,
     read_table,
+    rejects,
     scan_lines,
     write_table,
 )
@@ -28,6 +29,7 @@ def load(
     *,
     product_table: str = "Product",
     rating_table: str = "Rating",
+    rejected_table: str = "RejectedLines",
     trim: bool = True,
     mode: str = "strict",
     indexed: bool = True,
@@ -35,12 +37,18 @@ def load(
     """Parse both text sources and replace both tables.
 
     ``indexed`` lays products and ratings out by product and makes ratings findable by
-    user; without it the rows are written as they come, in one pass.
+    user; without it the rows are written as they come, in one pass. In mode
+    ``permissive`` the lines that cannot be read are stored as well, as (source, value).
     """
-    if mode == "permissive":
-        raise ValueError("load keeps no rejected lines: use mode 'strict' or 'drop'")
     products = parse_products(scan_lines(spark, products_path), trim, mode)
     ratings = parse_ratings(scan_lines(spark, ratings_path), mode)
+    if mode == "permissive":
+        products, bad_products = rejects(products)
+        ratings, bad_ratings = rejects(ratings)
+        rejected = bad_products.select(F.lit("products").alias("source"), "value").union(
+            bad_ratings.select(F.lit("ratings").alias("source"), "value")
+        )
+        write_table(rejected, store, rejected_table)
     key = "productId" if indexed else None
     write_table(products, store, product_table, cluster_by=key)
     write_table(

@@ -1,4 +1,8 @@
+import re
+from collections import Counter
+
 import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from starledger import schemas
@@ -128,7 +132,7 @@ def test_double_field_nan(lines):
 
 @pytest.mark.parametrize(
     "text, expected",
-    [("007", 7), ("-2147483648", -2147483648), ("2147483648", None), ("1_0", None), ("", None)],
+    [("007", 7), ("-2147483648", -2147483648), ("2147483648", None), ("1_0", None), ("12\n", None), ("", None)],
 )
 def test_int_field(lines, text, expected):
     assert lines(text).select(int_field(F.col("value"))).first()[0] == expected
@@ -173,3 +177,48 @@ def test_film_layouts(spark):
     assert ratings_from_film(film).columns == ["userId", "productId", "score", "timestamp"]
     for layout, fields in [(schemas.MOVIE, 10), (schemas.FILM_TAG, 4)]:
         assert len(StructType.fromDDL(layout).names) == fields
+
+
+def jvm_fields(line, separator):
+    """What a JVM split gives: trailing empty parts are dropped, an empty line is one part."""
+    parts = line.split(separator)
+    while len(parts) > 1 and parts[-1] == "":
+        parts.pop()
+    return [] if line and parts == [""] else parts
+
+
+def jvm_int(text):
+    if re.fullmatch(r"[+-]?[0-9]+", text) and -(2**31) <= int(text) < 2**31:
+        return int(text)
+    return None
+
+
+pieces = st.sampled_from(
+    ["1", "-7", "+3", "2147483647", "2147483648", "4.5", "x", "", " ", " 9", "1e2", "^", ",", "a b"]
+)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(pieces, max_size=9), min_size=1, max_size=60))
+def test_parsers_agree_with_a_model(spark, data):
+    carets, commas = ["^".join(line) for line in data], [",".join(line) for line in data]
+    frame = lambda texts: spark.createDataFrame([(t,) for t in texts], "value string")
+
+    want = Counter()
+    for line in carets:
+        parts = jvm_fields(line, "^")
+        if len(parts) >= 7 and jvm_int(parts[0]) is not None:
+            want[(jvm_int(parts[0]), *(parts[i].strip() for i in (1, 4, 5, 6)))] += 1
+    assert Counter(map(tuple, parse_products(frame(carets), mode="drop").collect())) == want
+
+    want = Counter()
+    for line in commas:
+        parts = jvm_fields(line, ",")
+        ints = [jvm_int(parts[i]) if len(parts) > i else None for i in (0, 1, 3)]
+        try:
+            score = float(parts[2])
+        except (ValueError, IndexError):
+            continue
+        if None not in ints:
+            want[ints[0], ints[1], score, ints[2]] += 1
+    assert Counter(map(tuple, parse_ratings(frame(commas), "drop").collect())) == want
