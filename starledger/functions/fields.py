@@ -25,19 +25,25 @@ def trim_controls(text: Column) -> Column:
 
 
 def int_field(text: Column) -> Column:
-    """Text to int. NULL unless it is only digits with an optional sign, within int32."""
-    return F.when(text.rlike(r"^[+-]?[0-9]+\z"), text.try_cast("int"))
+    """Text to int. NULL unless it is only digits with an optional sign, within int32.
+
+    The cast checks all but blanks at the ends, which it takes and the JVM does not. The
+    first and last characters show those, far cheaper than a pattern would.
+    """
+    first_fits = (text >= "+") & (text < ":")
+    last_fits = F.right(text, F.lit(1)).between("0", "9")
+    return F.when(first_fits & last_fits, text.try_cast("int"))
 
 
 def double_field(text: Column) -> Column:
     """Text to double. NULL where it is no JVM number.
 
-    The cast takes ``inf`` and ``nan`` in any case; the JVM only knows ``Infinity``
-    and ``NaN``.
+    The cast takes ``inf`` and ``nan`` in any case; the JVM only knows ``Infinity`` and
+    ``NaN``. No other number has an ``n``.
     """
-    word = text.rlike(r"(?i)inf|nan")
+    plain = ~(text.contains("n") | text.contains("N"))
     jvm_word = text.rlike(r"^[\x00-\x20]*[+-]?(?:Infinity|NaN)[\x00-\x20]*\z")
-    return F.when(~word | jvm_word, text.try_cast("double"))
+    return F.when(plain | jvm_word, text.try_cast("double"))
 
 
 def multi_value(text: Column, separator: str = "|") -> Column:

@@ -87,7 +87,9 @@ def _fits_blocks(ratings: DataFrame, total: int) -> bool:
 
 
 def score_pairs(pairs: DataFrame, model: FactorModel) -> DataFrame:
-    """Add ``score`` to (userId, productId) pairs; pairs with an unknown id are dropped.
+    """Add the predicted ``score`` to (userId, productId) pairs, in place of any they have.
+
+    Pairs with an unknown id are dropped.
 
     Two equi-joins with one row per key on the factor side: Spark broadcasts a factor
     table it has measured as small, and otherwise splits hot keys at run time.
@@ -96,7 +98,8 @@ def score_pairs(pairs: DataFrame, model: FactorModel) -> DataFrame:
         model.user_factors.withColumnRenamed("features", "user_features"), "userId"
     ).join(model.item_factors.withColumnRenamed("features", "item_features"), "productId")
     score = dot_product(F.col("user_features"), F.col("item_features"), model.rank)
-    return known.select(*pairs.columns, score.alias("score"))
+    kept = [name for name in pairs.columns if name != "score"]
+    return known.select(*kept, score.alias("score"))
 
 
 def dot_product(left: Column, right: Column, rank: int) -> Column:

@@ -59,6 +59,8 @@ def test_score_pairs_is_the_dot_product_and_drops_unknown_ids(spark, model):
     got = {(r.userId, r.productId): r.score for r in score_pairs(pairs, model).collect()}
     assert set(got) == {(100, 3), (101, 4)}
     assert got[100, 3] == pytest.approx(np.dot(u[100], v[3]), rel=1e-12)
+    rated = spark.createDataFrame([(100, 3, 1.0)], "userId int, productId int, score double")
+    assert score_pairs(rated, model).collect() == [(100, 3, got[100, 3])]
 
 
 def test_user_lists_agree_with_scoring_every_pair(model):

@@ -119,7 +119,8 @@ def test_unknown_mode(lines):
     "text, expected",
     [("5", 5.0), (" 1.5d ", 1.5), (".5", 0.5), ("5.", 5.0), ("1e3", 1000.0), ("0x1p3", 8.0),
      ("Infinity", float("inf")), ("-Infinity", float("-inf")), ("inf", None), ("infinity", None),
-     ("x", None), ("", None)],
+     ("x", None), ("", None), ("5n", None), ("+Infinity", float("inf")), (" -Infinity ", float("-inf")),
+     ("InfinityN", None), ("5f", 5.0), ("1e400", float("inf")), ("\t2\x00", 2.0)],
 )
 def test_double_field(lines, text, expected):
     assert lines(text).select(double_field(F.col("value"))).first()[0] == expected
@@ -132,7 +133,9 @@ def test_double_field_nan(lines):
 
 @pytest.mark.parametrize(
     "text, expected",
-    [("007", 7), ("-2147483648", -2147483648), ("2147483648", None), ("1_0", None), ("12\n", None), ("", None)],
+    [("007", 7), ("-2147483648", -2147483648), ("2147483648", None), ("1_0", None), ("12\n", None), ("", None),
+     (" 1", None), ("1 ", None), ("\t1", None), ("1\x00", None), ("\x7f1", None), ("1\x7f", None),
+     ("+", None), ("1.0", None), ("--1", None), ("-0", 0), ("1\u00e9", None), ("\u0661", None)],
 )
 def test_int_field(lines, text, expected):
     assert lines(text).select(int_field(F.col("value"))).first()[0] == expected
