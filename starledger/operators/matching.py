@@ -9,14 +9,19 @@ never a pair.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starledger import schemas
 
+# The functions below travel with the job, so that executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Bounds on what one task holds: numbers per side (64 MB each), and users.
 VALUES_PER_SIDE = 8_000_000
 USERS_PER_BLOCK = 262_144

@@ -1,4 +1,8 @@
 import glob
+import os
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 
@@ -90,3 +94,29 @@ def test_command_line(spark, sources, tmp_path):
     )
     assert read("RateMoreRecentlyProducts", schemas.POPULAR_BY_MONTH_TEXT).first()[2] == "201403"
     assert all(len(r.recs) == 1 for r in read("UserRecs", schemas.USER_RECS).collect())
+
+
+def test_workers_do_not_need_the_package(tmp_path):
+    """Run the Python-side operators from a folder where workers cannot import it."""
+    root = Path(__file__).resolve().parents[1]
+    script = tmp_path / "elsewhere.py"
+    script.write_text(
+        f"import sys; sys.path.insert(0, {str(root)!r})\n"
+        "from pyspark.sql import SparkSession\n"
+        "from starledger.operators import FactorModel, user_lists\n"
+        "from starledger.operators.split_als import train_by_sums\n"
+        "from starledger.shared import ensure_checkpoint_dir\n"
+        "spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false')"
+        ".getOrCreate()\n"
+        "ensure_checkpoint_dir(spark)\n"
+        "ratings = spark.createDataFrame([(1, 1, 5.0), (1, 2, 3.0), (2, 1, 4.0)],"
+        " 'userId int, productId int, score double')\n"
+        "model = FactorModel(*train_by_sums(ratings, 2, 1, 0.1, 0), 2)\n"
+        "print('users', user_lists(model, min_score=None).count())\n"
+    )
+    env = {key: value for key, value in os.environ.items() if key != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True,
+        timeout=180,
+    )
+    assert "users 2" in done.stdout, done.stderr[-2000:]
