@@ -118,7 +118,7 @@ def _cell_matcher(n: int, min_score: float | None, exclude_same_id: bool):
         item_ids, item_vectors = _vectors(items, "productId", "item_vector")
         # Longest vectors first: once a product is too short to matter, so are the rest.
         lengths = _lengths(item_vectors)
-        order = np.argsort(-lengths, kind="stable")
+        order = _longest_first(item_ids, item_vectors, lengths, n + exclude_same_id)
         item_ids, lengths = item_ids[order], lengths[order]
         item_columns = np.ascontiguousarray(item_vectors[order].T)
         scratch = np.empty(_USER_TILE * _PRODUCT_TILE)
@@ -179,7 +179,7 @@ def _best_of_tile(
             for k in range(len(tile)):
                 score += users[row, k] * tile[k, column]
         product = item_ids[start + column]
-        kept = np.ones(len(row), bool)
+        kept = ~(score < needed[row])
         if min_score is not None:
             kept &= score > min_score
         if exclude_same_id:
@@ -193,6 +193,23 @@ def _best_of_tile(
     return best
 
 
+def _longest_first(ids, vectors, lengths, wanted):
+    """Positions by length from the top, without the copies of a vector no list can reach.
+
+    Copies score the same for every user, so only the ``wanted`` lowest ids can be listed.
+    """
+    order = np.lexsort((ids, -lengths))
+    if not (np.diff(lengths[order]) == 0).any():
+        return order
+    order = np.lexsort((ids, *vectors.T, -lengths))
+    ordered = vectors[order]
+    first = np.ones(len(order), bool)
+    first[1:] = (ordered[1:] != ordered[:-1]).any(axis=1)
+    position = np.arange(len(order))
+    copy = position - np.maximum.accumulate(np.where(first, position, 0))
+    return order[copy < wanted]
+
+
 def _first_n(row, product, score, n):
     """Sort by row, then score from the top (NaN first, as Spark sorts), then product."""
     number = ~np.isnan(score)

@@ -82,6 +82,24 @@ def test_many_tiles(spark):
     assert same(lists(got), brute_force(users, items, 30, 0.0))
 
 
+@pytest.mark.parametrize("above", [0.0, None])
+@pytest.mark.parametrize("skip_same", [False, True])
+def test_many_copies_of_one_product(spark, above, skip_same):
+    rng = np.random.default_rng(9)
+    copies = rng.normal(size=(2, 3)).astype(np.float32)
+    users = [(i, rng.normal(size=3).astype(np.float32)) for i in range(20)]
+    ids = rng.permutation(6000)
+    items = [(int(i), copies[i % 2] if k < 5000 else rng.normal(size=3).astype(np.float32))
+             for k, i in enumerate(ids)]
+    items += [(7000 + i, np.zeros(3, np.float32)) for i in range(500)]
+    for per_shard in (None, 1500):
+        got = best_matches(
+            factors(spark, "userId", users), factors(spark, "productId", items), 7, above,
+            exclude_same_id=skip_same, products_per_shard=per_shard,
+        )
+        assert same(lists(got), brute_force(users, items, 7, above, skip_same))
+
+
 def test_few_candidates_and_users_without_any(spark):
     users = [(1, [1.0, 0.0]), (2, [-1.0, -1.0]), (3, [0.0, 0.0])]
     items = [(10, [1.0, 1.0]), (11, [2.0, 0.0]), (12, [0.0, 5.0])]
