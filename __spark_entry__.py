@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from importlib import import_module
+from importlib.util import find_spec
 
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -425,8 +427,14 @@ def job_recommend(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, store, "UserRecs", schemas.USER_RECS)
 
 
+def _training_data():
+    """Modules of the training-data subpackage and its pipeline, where they are installed."""
+    names = ["starledger.llm.queries"] if find_spec("starledger.llm") else []
+    return [import_module(name) for name in [*names, "corpus_pipeline"] if find_spec(name)]
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    found = {
         query.__name__: query
         for query in (
             scan_products,
@@ -475,6 +483,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             job_recommend,
         )
     }
+    for module in _training_data():
+        found |= module.queries()
+    return found
 
 
 # --- oracles ------------------------------------------------------------------------
@@ -565,7 +576,7 @@ def oracle_sql() -> dict[str, str]:
     month_text = _by_month(_MONTH)
     matched = _matched(20, "WHERE score > 0")
     trimmed = _PRODUCTS.format(name="p_name")
-    return {
+    found = {
         "scan_products": trimmed,
         "scan_products_untrimmed": _PRODUCTS.format(name="'  ' || p_name || ' ' || chr(9)"),
         "scan_ratings": rows,
@@ -636,3 +647,6 @@ def oracle_sql() -> dict[str, str]:
         "job_load": trimmed,
         "job_statistics": month,
     }
+    for module in _training_data():
+        found |= module.oracle_sql()
+    return found
