@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starledger.llm.common import table
+from starledger.llm.simhash import near_duplicates
 from starledger.llm.warc import ID_PREFIX, read_warc, write_warc
 
 
@@ -23,6 +24,10 @@ def op1_warc(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op2_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    return near_duplicates(table(spark, sf, "documents"), shingle_words=4, max_bits=4)
+
+
 _OP1 = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
 d AS (SELECT *, sha1(body) AS hex, max(page_id) OVER (PARTITION BY body) AS kept FROM p),
@@ -39,7 +44,7 @@ FROM b
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in (op1_warc,)}
+    return {query.__name__: query for query in (op1_warc, op2_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
