@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starledger.llm.common import table
 from starledger.llm.simhash import near_duplicates
+from starledger.llm.url_filter import Rule, filter_urls
 from starledger.llm.warc import ID_PREFIX, read_warc, write_warc
 
 
@@ -28,6 +29,20 @@ def op2_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(table(spark, sf, "documents"), shingle_words=4, max_bits=4)
 
 
+#: The rules of op4.
+URL_RULES = [
+    Rule("allow", "com", "/"),
+    Rule("block", "example.com", "/en/"),
+    Rule("allow", "www.example.com", "/en/"),
+    Rule("block", "net", "/es/"),
+    Rule("block", "net", "/fr/"),
+]
+
+
+def op4_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return filter_urls(table(spark, sf, "pages"), URL_RULES)
+
+
 _OP1 = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
 d AS (SELECT *, sha1(body) AS hex, max(page_id) OVER (PARTITION BY body) AS kept FROM p),
@@ -44,7 +59,7 @@ FROM b
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in (op1_warc, op2_simhash)}
+    return {query.__name__: query for query in (op1_warc, op2_simhash, op4_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
