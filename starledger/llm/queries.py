@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starledger.llm.common import table
+from starledger.llm import quality_model
 from starledger.llm.simhash import near_duplicates
 from starledger.llm.url_filter import Rule, filter_urls
 from starledger.llm.warc import ID_PREFIX, read_warc, write_warc
@@ -43,6 +44,18 @@ def op4_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return filter_urls(table(spark, sf, "pages"), URL_RULES)
 
 
+def op6_quality_model(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    model = quality_model.fit(docs, table(spark, sf, "labels"))
+    scored = quality_model.score(docs.select("doc_id", "text", "n_chars"), model)
+    return scored.select(
+        "doc_id",
+        quality_model.held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 _OP1 = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
 d AS (SELECT *, sha1(body) AS hex, max(page_id) OVER (PARTITION BY body) AS kept FROM p),
@@ -59,7 +72,7 @@ FROM b
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in (op1_warc, op2_simhash, op4_url_filter)}
+    return {query.__name__: query for query in (op1_warc, op2_simhash, op4_url_filter, op6_quality_model)}
 
 
 def oracle_sql() -> dict[str, str]:
