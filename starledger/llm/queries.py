@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starledger.llm.common import table
 from starledger.llm import quality_model
+from starledger.llm.decontaminate import contaminated
 from starledger.llm.simhash import near_duplicates
 from starledger.llm.url_filter import Rule, filter_urls
 from starledger.llm.warc import ID_PREFIX, read_warc, write_warc
@@ -56,6 +57,10 @@ def op6_quality_model(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op9_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    return contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 _OP1 = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
 d AS (SELECT *, sha1(body) AS hex, max(page_id) OVER (PARTITION BY body) AS kept FROM p),
@@ -72,7 +77,7 @@ FROM b
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in (op1_warc, op2_simhash, op4_url_filter, op6_quality_model)}
+    return {query.__name__: query for query in (op1_warc, op2_simhash, op4_url_filter, op6_quality_model, op9_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
