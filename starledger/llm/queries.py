@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from starledger.llm.common import table
 from starledger.llm import quality_model
 from starledger.llm.decontaminate import contaminated
+from starledger.llm.secret_scan import BASE, RULES, find_secrets, span_text
 from starledger.llm.simhash import near_duplicates
 from starledger.llm.url_filter import Rule, filter_urls
 from starledger.llm.warc import ID_PREFIX, read_warc, write_warc
@@ -61,6 +62,18 @@ def op9_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+def op10_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    rows = find_secrets(table(spark, sf, "documents").select("doc_id", "text"))
+    base = F.filter("secrets", lambda span: span["order"] < len(BASE))
+    of = lambda kind: F.size(F.filter("secrets", lambda span: span["kind"] == kind)).cast("long")
+    return rows.select(
+        "doc_id",
+        *(of(rule.kind).alias(f"n_{rule.kind}") for rule in BASE),
+        F.sha2(span_text(base), 256).alias("base_sha256"),
+        span_text(F.col("secrets")).alias("spans"),
+    )
+
+
 _OP1 = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
 d AS (SELECT *, sha1(body) AS hex, max(page_id) OVER (PARTITION BY body) AS kept FROM p),
@@ -76,9 +89,33 @@ FROM b
 """
 
 
+def _op10() -> str:
+    """Every rule in every text: gaps and matches in turn, their lengths summed to places."""
+    parts = lambda rule, n: (
+        f"unnest(regexp_extract_all(text, $$(?s)(.*?)({rule.pattern})$$, {n}))"
+    )
+    kinds = " UNION ALL ".join(
+        f"SELECT doc_id, copy, {order} AS ord, '{rule.kind}' AS kind, {rule.least} AS least, {parts(rule, 1)} AS gap,"
+        f" {parts(rule, 2)} AS hit, {parts(rule, 2 + rule.value)} AS val,"
+        f" generate_subscripts(regexp_extract_all(text, $$(?s)(.*?)({rule.pattern})$$, 1), 1) AS n FROM d"
+        for order, rule in enumerate(RULES)
+    )
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS copy FROM documents),
+m AS ({kinds}),
+e AS (SELECT *, sum(length(gap) + length(hit)) OVER (PARTITION BY copy, ord ORDER BY n) AS e FROM m),
+s AS (SELECT copy, ord, kind, CAST(e - length(hit) AS INT) AS a,
+  kind || ':' || CAST(e - length(hit) AS INT) || ':' || CAST(e AS INT) AS span FROM e WHERE length(val) >= least)
+SELECT any_value(d.doc_id) AS doc_id, count(*) FILTER (ord = 0) AS n_assign,
+  count(*) FILTER (ord = 1) AS n_access, count(*) FILTER (ord = 2) AS n_hex,
+  sha256(coalesce(string_agg(span, ',' ORDER BY a, ord) FILTER (ord < 3), '')) AS base_sha256,
+  coalesce(string_agg(span, ',' ORDER BY a, ord), '') AS spans
+FROM d LEFT JOIN s USING (copy) GROUP BY copy"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in (op1_warc, op2_simhash, op4_url_filter, op6_quality_model, op9_decontaminate)}
+    return {query.__name__: query for query in (op1_warc, op2_simhash, op4_url_filter, op6_quality_model, op9_decontaminate, op10_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": _OP1}
+    return {"op1_warc": _OP1, "op10_secret_scan": _op10()}
