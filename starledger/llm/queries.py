@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starledger.llm.common import table
-from starledger.llm import quality_model
+from starledger.llm import quality_model, quality_rules
 from starledger.llm.decontaminate import contaminated
 from starledger.llm.secret_scan import BASE, RULES, find_secrets, span_text
 from starledger.llm.simhash import near_duplicates
@@ -74,6 +74,13 @@ def op10_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op7_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    good = table(spark, sf, "labels").where("quality = 1").select("doc_id").distinct()
+    rows = quality_rules.judge(docs, docs.join(good, "doc_id", "left_semi"))
+    return rows.select("doc_id", *quality_rules.BASE, "base_failed", "kept")
+
+
 _OP1 = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
 d AS (SELECT *, sha1(body) AS hex, max(page_id) OVER (PARTITION BY body) AS kept FROM p),
@@ -114,7 +121,7 @@ FROM d LEFT JOIN s USING (copy) GROUP BY copy"""
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in (op1_warc, op2_simhash, op4_url_filter, op6_quality_model, op9_decontaminate, op10_secret_scan)}
+    return {query.__name__: query for query in (op1_warc, op2_simhash, op4_url_filter, op6_quality_model, op7_quality_rules, op9_decontaminate, op10_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
