@@ -11,6 +11,7 @@ from starledger.llm import quality_model, quality_rules
 from starledger.llm.decontaminate import contaminated
 from starledger.llm.secret_scan import BASE, RULES, find_secrets, span_text
 from starledger.llm.simhash import near_duplicates
+from starledger.llm.substring import without_repeats
 from starledger.llm.url_filter import Rule, filter_urls
 from starledger.llm.warc import ID_PREFIX, read_warc, write_warc
 
@@ -32,6 +33,11 @@ def op2_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(table(spark, sf, "documents"), shingle_words=4, max_bits=4)
 
 
+def op3_substring(spark: SparkSession, sf: str) -> DataFrame:
+    rows = without_repeats(table(spark, sf, "documents"), window=50)
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 #: The rules of op4.
 URL_RULES = [
     Rule("allow", "com", "/"),
@@ -121,7 +127,7 @@ FROM d LEFT JOIN s USING (copy) GROUP BY copy"""
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in (op1_warc, op2_simhash, op4_url_filter, op6_quality_model, op7_quality_rules, op9_decontaminate, op10_secret_scan)}
+    return {query.__name__: query for query in (op1_warc, op2_simhash, op3_substring, op4_url_filter, op6_quality_model, op7_quality_rules, op9_decontaminate, op10_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:

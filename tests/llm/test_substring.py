@@ -1,0 +1,65 @@
+import hashlib
+import random
+
+import pytest
+
+from starledger.llm.queries import op3_substring
+from starledger.llm.substring import without_repeats
+
+
+def brute(rows, window):
+    rows = [(i, (t or "").encode().split()) for i, t in rows]
+    rank = lambda i: float("inf") if i is None else i
+    least = {}
+    for i, words in rows:
+        for at in range(len(words) - window + 1):
+            key = tuple(words[at : at + window])
+            least[key] = min(rank(i), least.get(key, float("inf")))
+    out = []
+    for i, words in rows:
+        gone = set()
+        for at in range(len(words) - window + 1):
+            if least[tuple(words[at : at + window])] < rank(i):
+                gone.update(range(at, at + window))
+        kept = b" ".join(w for at, w in enumerate(words) if at not in gone)
+        out.append((i, len(words), len(gone), kept.decode()))
+    return sorted(out, key=str)
+
+
+def got(frame):
+    return sorted((tuple(r)[:4] for r in frame.collect()), key=str)
+
+
+def test_query_equals_brute_force(spark):
+    folder = "/root/testdata/sf0.01"
+    rows = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
+    want = [(i, n, m, hashlib.sha256(k.encode()).hexdigest()) for i, n, m, k in brute(map(tuple, rows), 50)]
+    assert got(op3_substring(spark, folder)) == sorted(want, key=str)
+    assert any(m for _, _, m, _ in want)
+
+
+@pytest.mark.parametrize("group_rows", [2, 40, 1 << 15])
+@pytest.mark.parametrize("letters", ["ab", "abcdefgh"])
+def test_short_windows_equal_brute_force(spark, group_rows, letters):
+    draw = random.Random(group_rows)
+    passages = [[draw.choice(letters) for _ in range(draw.randrange(3, 30))] for _ in range(12)]
+    rows = []
+    for i in range(120):
+        words = []
+        for _ in range(draw.randrange(4)):
+            words += draw.choice(passages) if draw.random() < 0.6 else [draw.choice(letters + "xyz") for _ in range(9)]
+        rows.append((draw.choice([i, i, 7, None]), draw.choice([" ", "\n", " \t"]).join(words)))
+    rows += rows[:15]
+    docs = spark.createDataFrame([(*r, "h") for r in rows], "doc_id long, text string, hash string")
+    assert got(without_repeats(docs, window=6, prefix=3, group_rows=group_rows)) == brute(rows, 6)
+
+
+def test_nulls_empty_long_repeated(spark):
+    passage = " ".join(f"é{i}" for i in range(60))
+    rows = [(5, passage), (5, passage), (9, "x " * 100_000 + passage), (None, passage + " end"), (3, None), (4, ""),
+            (6, " ".join(passage.split()[:49])), (7, "same " * 70), (8, "same " * 50), (10, "one\x0btwo\x1cthree")]
+    docs = spark.createDataFrame([(*r, "h") for r in rows], "doc_id long, text string, hash string")
+    assert got(without_repeats(docs)) == brute(rows, 50)
+    assert got(without_repeats(docs.limit(0))) == []
+    spans = {r.doc_id: r.removed for r in without_repeats(docs).collect()}
+    assert [tuple(s) for s in spans[9]] == [(100_000, 100_060)]
