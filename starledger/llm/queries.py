@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starledger.llm.common import table
-from starledger.llm import quality_model, quality_rules
+from starledger.llm import bpe, quality_model, quality_rules
 from starledger.llm.decontaminate import contaminated
 from starledger.llm.secret_scan import BASE, RULES, find_secrets, span_text
 from starledger.llm.simhash import near_duplicates
@@ -64,6 +65,17 @@ def op6_quality_model(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op8_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    tokens = bpe.encode(table(spark, sf, "documents"), ranks, public_tokenizers.PATTERN)
+    return bpe.decode(tokens, ranks).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op9_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
@@ -127,7 +139,7 @@ FROM d LEFT JOIN s USING (copy) GROUP BY copy"""
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in (op1_warc, op2_simhash, op3_substring, op4_url_filter, op6_quality_model, op7_quality_rules, op9_decontaminate, op10_secret_scan)}
+    return {query.__name__: query for query in (op1_warc, op2_simhash, op3_substring, op4_url_filter, op6_quality_model, op7_quality_rules, op8_bpe, op9_decontaminate, op10_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -1,0 +1,57 @@
+import hashlib
+import random
+
+import numpy as np
+import public_tokenizers
+import tiktoken
+
+from starledger.llm.bpe import decode, encode, load_ranks
+from starledger.llm.queries import op8_bpe
+
+PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def reference():
+    return tiktoken.Encoding(
+        "whole", pat_str=public_tokenizers.PATTERN, mergeable_ranks=load_ranks(PATH), special_tokens={}
+    )
+
+
+def test_query_equals_library_on_whole_texts(spark):
+    folder = "/root/testdata/sf0.01"
+    coder = reference()
+    sha = lambda data: hashlib.sha256(data).hexdigest()
+    want = []
+    for row in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect():
+        ids = coder.encode_ordinary(row.text or "")
+        want.append((row.doc_id, len(ids), sha(np.array(ids, "<u4").tobytes()), sha((row.text or "").encode())))
+    assert sorted(map(tuple, op8_bpe(spark, folder).collect())) == sorted(want)
+
+
+def test_odd_texts_any_batches(spark):
+    draw = random.Random(6)
+    letters = "aAé日本1９٣ \n\t\r\x0b\x1c\x85\xa0 '!<|endoftext|>𝒳🙂́'s'll"
+    texts = [None, "", " ", "  a", "it's", "<|endoftext|>", "a" * 20_000, " " * 5000, "x\n" * 50_000]
+    texts += ["".join(draw.choice(letters) for _ in range(draw.randrange(60))) for _ in range(300)]
+    rows = [(draw.choice([i, None, 3]), t, b"z") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, ids binary")
+    coder, ranks = reference(), load_ranks(PATH)
+    want = sorted(((i, coder.encode_ordinary(t or ""), (t or "").encode()) for i, t, _ in rows), key=str)
+    for size in (1, 500, 32 << 20):
+        done = decode(encode(docs, ranks, public_tokenizers.PATTERN, batch_bytes=size), ranks).collect()
+        got = [(r.doc_id, np.frombuffer(r.ids, "<u4").tolist(), bytes(r.decoded)) for r in done]
+        assert sorted(got, key=str) == want
+        assert all(r.n_tokens == len(r.ids) // 4 for r in done)
+    assert encode(docs.limit(0), ranks, public_tokenizers.PATTERN).count() == 0
+
+
+def test_decoding_nulls_and_clashing_columns(spark):
+    ranks = load_ranks(PATH)
+    rows = [(1, None, "x"), (2, b"", "y"), (3, np.array([0, 1, 50255], "<u4").tobytes(), "z")]
+    frame = spark.createDataFrame(rows, "doc_id long, ids binary, decoded string")
+    table = {rank: token for token, rank in ranks.items()}
+    got = decode(frame, ranks)
+    assert got.columns == ["doc_id", "ids", "decoded"]
+    assert {r.doc_id: r.decoded and bytes(r.decoded) for r in got.collect()} == {
+        1: None, 2: b"", 3: table[0] + table[1] + table[50255]
+    }
