@@ -194,7 +194,10 @@ def span_text(spans: Column) -> Column:
 
 
 def redact(docs: DataFrame, rules: list[Rule] = RULES, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
-    """The rows with every secret's place in the text taken by ``mark``; overlapping ones by one."""
+    """The rows with every secret's place in the text taken by ``mark``; overlapping ones by one.
+
+    A column ``secrets`` is dropped, others are kept.
+    """
 
     def step(state: Column, span: Column) -> Column:
         before = F.substring(F.col(text), state["at"] + 1, span["start"] - state["at"])

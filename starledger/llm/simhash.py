@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from starledger.llm.common import as_bytes, stored
 from starledger.llm.components import components
@@ -49,8 +50,39 @@ def near_duplicates(
     their id is no component unless all ids of the component are null. Repeated rows stay
     repeated. Other columns are not read; an empty table gives no rows.
     """
-    rows = docs.select(F.col(id).alias("id"), as_bytes(text).alias("text"))
-    prints = stored(_fingerprints(rows, shingle_words), "fingerprints")
+    rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
+    prints = stored(_with_prints(rows, "text", shingle_words).drop("text"), "fingerprints")
+    classes = _classes(prints, max_bits, block_rows)
+    return prints.join(classes, "print").select(
+        F.col("id").alias(id),
+        F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
+        "component_id",
+    )
+
+
+def without_near_duplicates(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", shingle_words: int = 4, max_bits: int = 4,
+    block_rows: int = 1 << 15,
+) -> DataFrame:
+    """One row of each component, all its columns: that whose id is the component's.
+
+    If several rows have this id, or all ids are null, the least row stays, by its columns in
+    their order. See ``near_duplicates``.
+    """
+    rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
+    prints = stored(_with_prints(rows, "text", shingle_words).drop("text"), "fingerprints")
+    classes = _classes(prints, max_bits, block_rows).withColumnsRenamed(
+        {"print": "_print", "root": "_root", "component_id": "_component"}
+    )
+    named = _with_prints(docs, text, shingle_words, "_print")
+    first = named.join(classes, "_print").where(F.col(id).eqNullSafe(F.col("_component")))
+    # Repeated rows combine before the shuffle.
+    least = F.min(F.struct(*(F.col(f"`{name}`") for name in docs.columns))).alias("row")
+    return first.groupBy("_root").agg(least).select("row.*")
+
+
+def _classes(prints: DataFrame, max_bits: int, block_rows: int) -> DataFrame:
+    """``print``, ``root`` (a print of the component) and ``component_id`` of rows of id and print."""
     distinct = stored(prints.groupBy("print").agg(F.min("id").alias("first")), "prints")
     linked = components(links(distinct.select("print"), max_bits, block_rows))
     rooted = distinct.join(linked, distinct["print"] == linked["node"], "left").select(
@@ -58,26 +90,23 @@ def near_duplicates(
     )
     rooted = stored(rooted, "roots")
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = rooted.join(least, "root").select("print", "component_id")
-    return prints.join(classes, "print").select(
-        F.col("id").alias(id),
-        F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
-        "component_id",
-    )
+    return rooted.join(least, "root").select("print", "root", "component_id")
 
 
-def _fingerprints(rows: DataFrame, shingle_words: int) -> DataFrame:
-    """``id`` and ``print`` (the 64 bits as a long) of rows of ``id`` and ``text``."""
-    kind = rows.schema["id"].dataType.simpleString()
+def _with_prints(docs: DataFrame, text: str, shingle_words: int, name: str = "print") -> DataFrame:
+    """The rows with the 64 bits of their text as a long."""
+    rows = docs.select(*(F.col(f"`{c}`") for c in docs.columns), as_bytes(text).alias("_bytes"))
+    names = [*docs.columns, name]
+    fields = [*docs.schema.fields, StructField(name, LongType())]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            texts = rows.column(1)
+            texts = rows.columns[-1]
             prints = [_fingerprint(text.as_py() or b"", shingle_words) for text in texts]
-            prints = np.array(prints, np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(prints)], ["id", "print"])
+            prints = pa.array(np.array(prints, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([*rows.columns[:-1], prints], names)
 
-    return rows.mapInArrow(work, f"id {kind}, print long")
+    return rows.mapInArrow(work, StructType(fields))
 
 
 # Entry (v, b): bit b of byte v.
