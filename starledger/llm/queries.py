@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from starledger.llm.common import table
 from starledger.llm import bpe, quality_model, quality_rules
 from starledger.llm.decontaminate import contaminated
+from starledger.llm.licenses import scan_licenses
 from starledger.llm.secret_scan import BASE, RULES, find_secrets, span_text
 from starledger.llm.simhash import near_duplicates
 from starledger.llm.substring import without_repeats
@@ -53,6 +54,10 @@ def op4_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return filter_urls(table(spark, sf, "pages"), URL_RULES)
 
 
+def op5_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    return scan_licenses(table(spark, sf, "documents"))
+
+
 def op6_quality_model(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     model = quality_model.fit(docs, table(spark, sf, "labels"))
@@ -139,7 +144,7 @@ FROM d LEFT JOIN s USING (copy) GROUP BY copy"""
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in (op1_warc, op2_simhash, op3_substring, op4_url_filter, op6_quality_model, op7_quality_rules, op8_bpe, op9_decontaminate, op10_secret_scan)}
+    return {query.__name__: query for query in (op1_warc, op2_simhash, op3_substring, op4_url_filter, op5_licenses, op6_quality_model, op7_quality_rules, op8_bpe, op9_decontaminate, op10_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
