@@ -56,7 +56,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``ids`` and ``decoded_sha256`` of each document."""
     ranks = bpe.load_ranks(public_tokenizers.path(VOCABULARY))
-    done = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    done = bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded=True)
     return done.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -42,10 +42,12 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 def encode(
     docs: DataFrame, ranks: dict[bytes, int], pattern: str, id: str = "doc_id", text: str = "text",
-    batch_bytes: int = BATCH_BYTES,
+    batch_bytes: int = BATCH_BYTES, decoded: bool = False,
 ) -> DataFrame:
     """``id``, ``n_tokens`` and ``ids`` (unsigned 32-bit, little-endian) of every row.
 
+    With ``decoded``, also what ``decode`` makes of the ids, by the tasks that have them.
+
     Each match of ``pattern`` is encoded by itself, without special tokens. A null text is an
     empty one, which has no tokens. Rows with a null id and repeated rows are kept; other
     columns are not read. Tasks that are run again must get the same rows in the same order,
@@ -65,7 +67,8 @@ def encode(
     )
     by_batch = encoded.repartition("batch").sortWithinPartitions("batch", "code")
     done = by_batch.mapInArrow(
-        lambda batches: _assemble(batches, folder), f"id {kind}, n_tokens long, ids binary"
+        lambda batches: _assemble(batches, folder, vocabulary.value, decoded),
+        f"id {kind}, n_tokens long, ids binary" + ", decoded binary" * decoded,
     )
     return done.withColumnRenamed("id", id)
 
@@ -77,19 +80,12 @@ def decode(tokens: DataFrame, ranks: dict[bytes, int], ids: str = "ids") -> Data
     """
     rows = tokens.drop("decoded").withColumn("_ids", F.col(ids))
     names = [name for name in rows.columns if name != "_ids"]
-    size = max(ranks.values(), default=-1) + 1
-    table: list = [None] * size
-    for token, rank in ranks.items():
-        table[rank] = token
-    shared = tokens.sparkSession.sparkContext.broadcast(table)
+    shared = tokens.sparkSession.sparkContext.broadcast(_token_table(ranks))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
         for rows in batches:
-            decoded = [
-                b"".join([table[i] for i in np.frombuffer(x.as_py(), "<u4").tolist()]) if x.is_valid else None
-                for x in rows.columns[-1]
-            ]
+            decoded = [_decoded(x.as_py(), table) if x.is_valid else None for x in rows.columns[-1]]
             yield pa.RecordBatch.from_arrays(
                 [*rows.columns[:-1], pa.array(decoded, pa.binary())], [*names, "decoded"]
             )
@@ -98,6 +94,23 @@ def decode(tokens: DataFrame, ranks: dict[bytes, int], ids: str = "ids") -> Data
     return rows.mapInArrow(work, schema)
 
 
+def _token_table(ranks: dict[bytes, int]) -> list:
+    """The bytes of each token, by its id."""
+    table: list = [None] * (max(ranks.values(), default=-1) + 1)
+    for token, rank in ranks.items():
+        table[rank] = token
+    return table
+
+
+def _decoded(ids: bytes, table: list) -> bytes:
+    return b"".join([table[i] for i in np.frombuffer(ids, "<u4").tolist()])
+
+
+def _width(ranks: dict[bytes, int]) -> str:
+    """The number type in which ids travel."""
+    return "<u2" if max(ranks.values(), default=0) < 1 << 16 else "<u4"
+
+
 def _split(batches: Iterator[pa.RecordBatch], folder: str, pattern: str, batch_bytes: int):
     """Store the places of words, a file per batch; put out the batch's different words."""
     import regex
@@ -152,38 +165,46 @@ def _encode(batches: Iterator[pa.RecordBatch], ranks: dict[bytes, int]) -> Itera
 
     # The pattern takes a word whole.
     coder = tiktoken.Encoding("words", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
-    last, ids = b"", b""
+    last, ids, width = b"", b"", _width(ranks)
     for rows in batches:
         out = []
         for word in rows.column(2):
             word = word.as_py()
             if word != last:
                 last = word
-                ids = np.array(coder.encode_ordinary(word.decode()), "<u4").tobytes()
+                ids = np.array(coder.encode_ordinary(word.decode()), width).tobytes()
             out.append(ids)
         yield pa.RecordBatch.from_arrays([*rows.columns[:2], pa.array(out, pa.binary())], ["batch", "code", "ids"])
 
 
-def _assemble(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
+def _assemble(
+    batches: Iterator[pa.RecordBatch], folder: str, ranks: dict[bytes, int], decoded: bool
+) -> Iterator[pa.RecordBatch]:
     """Texts of ids, from rows ordered by batch and code."""
     number, held = None, []
+    width, table = _width(ranks), _token_table(ranks) if decoded else None
     for rows in batches:
         numbers = rows.column(0).to_numpy()
         cuts = [0, *(np.flatnonzero(numbers[1:] != numbers[:-1]) + 1).tolist(), len(numbers)]
         for a, b in zip(cuts, cuts[1:]):
             if number is not None and numbers[a] != number:
-                yield from _filled(folder, number, held)
+                yield from _filled(folder, number, held, width, table)
                 held = []
             number = int(numbers[a])
             held.append(rows.column(2).slice(a, b - a))
     if held:
-        yield from _filled(folder, number, held)
-
-
-def _filled(folder: str, number: int, words: list[pa.Array]) -> Iterator[pa.RecordBatch]:
-    ids = [x for part in words for x in part.to_pylist()]
-    lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-    flat, first = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(lengths) - lengths
+        yield from _filled(folder, number, held, width, table)
+
+
+def _filled(
+    folder: str, number: int, words: list[pa.Array], width: str, tokens: list | None
+) -> Iterator[pa.RecordBatch]:
+    ids = pa.concat_arrays(words).cast(pa.large_binary())
+    bounds = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset : ids.offset + len(ids) + 1]
+    bounds = bounds // np.dtype(width).itemsize
+    lengths, first = np.diff(bounds), bounds[:-1]
+    data = ids.buffers()[2]
+    flat = np.frombuffer(data, width) if data is not None and data.size else np.zeros(0, width)
     store, root = fs.FileSystem.from_uri(folder)
     with store.open_input_stream(f"{root}/{number}") as stream:
         table = pa.ipc.open_stream(stream).read_all()
@@ -196,12 +217,14 @@ def _filled(folder: str, number: int, words: list[pa.Array]) -> Iterator[pa.Reco
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
         places = np.repeat(first[codes] - ends + sizes, sizes) + np.arange(total)
-        out.append((total, flat[places].tobytes()))
-        held += 4 * total
+        found = flat[places].astype("<u4").tobytes()
+        out.append((total, found) if tokens is None else (total, found, _decoded(found, tokens)))
+        held += 4 * total + (0 if tokens is None else len(out[-1][2]))
         if held >= _FLUSH or row == table.num_rows - 1:
-            n, texts = zip(*out)
+            n, *texts = zip(*out)
             names = table.column(0).slice(start, len(out)).combine_chunks()
             yield pa.RecordBatch.from_arrays(
-                [names, pa.array(n, pa.int64()), pa.array(texts, pa.binary())], ["id", "n_tokens", "ids"]
+                [names, pa.array(n, pa.int64()), *(pa.array(x, pa.binary()) for x in texts)],
+                ["id", "n_tokens", "ids", "decoded"][: 2 + len(texts)],
             )
             start, out, held = row + 1, [], 0

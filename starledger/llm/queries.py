@@ -72,8 +72,8 @@ def op6_quality_model(spark: SparkSession, sf: str) -> DataFrame:
 
 def op8_bpe(spark: SparkSession, sf: str) -> DataFrame:
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    tokens = bpe.encode(table(spark, sf, "documents"), ranks, public_tokenizers.PATTERN)
-    return bpe.decode(tokens, ranks).select(
+    docs = table(spark, sf, "documents")
+    return bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded=True).select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),
