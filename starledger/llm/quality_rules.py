@@ -93,24 +93,27 @@ def _covered(starts: Column) -> Column:
     return F.aggregate(own_words, F.lit(0), lambda total, n: total + n)
 
 
-def ratios(docs: DataFrame, trusted: DataFrame, text: str = "text", trusted_text: str = "text") -> DataFrame:
+def ratios(docs: DataFrame, corpus: DataFrame, text: str = "text", trusted: str = "trusted") -> DataFrame:
     """``key`` (see ``text_key``) and ``ratio`` of every different text of ``docs``.
 
     The ratio is the mean over the text's n-grams of the logarithm of how much likelier they
-    are in the texts of ``trusted`` than in those of ``docs``. Texts without n-grams, empty
-    or null, have none. Repeated rows count each time. Without trusted texts their model is
-    uniform.
+    are in the rows of ``corpus`` that column ``trusted`` marks than in all of its rows. Texts
+    without n-grams, empty or null, have none. Repeated rows count each time; a null mark is
+    none. Without trusted texts their model is uniform.
     """
-    good = _counts(_grams(trusted, trusted_text)).withColumnRenamed("n", "good")
-    raw = _counts(_grams(docs, text)).withColumnRenamed("n", "raw")
-    # A row per bucket: a fixed number.
-    counts = stored(raw.join(good, "bucket", "left").na.fill(0), "ngrams")
+    good = F.coalesce(F.col(trusted), F.lit(False))
+    grams = _grams(corpus, text, good.alias("good"))
+    # Combined before the shuffle to a row per bucket: a fixed number.
+    counts = grams.groupBy("bucket").agg(
+        F.count_if("good").alias("good"), F.count(F.lit(1)).alias("raw")
+    )
+    counts = stored(counts, "ngrams")
     totals = counts.agg(F.sum("good"), F.sum("raw")).first()
     chance = lambda n, total: (F.col(n) + SMOOTHING) / ((total or 0) + SMOOTHING * BUCKETS)
     log = F.log(chance("good", totals[0]) / chance("raw", totals[1]))
     # Whole numbers, so that sums do not depend on the order of rows.
     weights = counts.select("bucket", F.round(log * SCALE).cast("long").alias("weight"))
-    weighted = _grams(docs, text).join(F.broadcast(weights), "bucket")
+    weighted = _grams(docs, text, text_key(F.col(text)).alias("key")).join(F.broadcast(weights), "bucket")
     mean = F.sum("weight") / F.count(F.lit(1)) / SCALE
     return weighted.groupBy("key").agg(mean.alias("ratio"))
 
@@ -121,34 +124,31 @@ def text_key(text: Column) -> Column:
     return F.struct(F.xxhash64(whole).alias("a"), F.xxhash64(F.lit(1), whole).alias("b"))
 
 
-def _grams(rows: DataFrame, text: str) -> DataFrame:
-    """``key`` and ``bucket`` of each of the text's tokens and pairs of tokens."""
+def _grams(rows: DataFrame, text: str, by: Column) -> DataFrame:
+    """``by`` and ``bucket`` of each of the text's tokens and pairs of tokens."""
     tokens = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(TOKEN), F.lit(1))
     bucket = lambda *parts: F.pmod(F.xxhash64(*parts), F.lit(BUCKETS)).cast("int")
-    rows = rows.select(text_key(F.col(text)).alias("key"), tokens.alias("tokens"))
+    rows = rows.select(by, tokens.alias("tokens"))
     one = F.transform("tokens", lambda t: bucket(t))
     n = F.greatest(F.size("tokens") - 1, F.lit(0))
     pairs = F.zip_with(F.slice("tokens", 1, n), F.slice("tokens", 2, n), lambda a, b: bucket(a, b))
     # Outer, as Spark would otherwise make all n-grams twice to leave out texts without any.
-    grams = rows.select("key", F.explode_outer(F.concat(one, pairs)).alias("bucket"))
+    grams = rows.select(rows.columns[0], F.explode_outer(F.concat(one, pairs)).alias("bucket"))
     return grams.where("bucket is not null")
 
 
-def _counts(grams: DataFrame) -> DataFrame:
-    return grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
-
-
 def judge(
-    docs: DataFrame, trusted: DataFrame, text: str = "text", trusted_text: str = "text",
+    docs: DataFrame, corpus: DataFrame, text: str = "text", trusted: str = "trusted",
     threshold: float = THRESHOLD,
 ) -> DataFrame:
     """The rows with the ``BASE`` counts, ``base_failed``, ``ratio`` and ``kept``.
 
+    The models are counted from ``corpus``, see ``ratios``, which may be ``docs`` themselves.
     A text is kept if the base holds and its ratio is ``threshold`` or more; without n-grams
     the ratio is null and the base decides. Equal texts are judged alike. Columns of these
     names are replaced; an empty table gives no rows.
     """
-    found = ratios(docs, trusted, text, trusted_text)
+    found = ratios(docs, corpus, text, trusted)
     rows = base_counts(docs, text).drop("ratio").withColumn("_key", text_key(F.col(text)))
     rows = rows.join(found.withColumnRenamed("key", "_key"), "_key", "left").drop("_key")
     kept = ~F.col("base_failed") & F.coalesce(F.col("ratio") >= threshold, F.lit(True))

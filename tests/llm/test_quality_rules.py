@@ -68,13 +68,14 @@ def test_nulls_empty_long_repeated_and_clashing_columns(spark):
     texts += [" ".join(draw.choice("abc") for _ in range(draw.randrange(60))) for _ in range(40)]
     texts += texts[:8]
     docs = spark.createDataFrame([(i, t, "z", 1) for i, t in enumerate(texts)], "doc_id long, text string, ratio string, n_words int")
-    rows = rules.judge(docs, docs.where("doc_id = 3"))
+    rows = rules.judge(docs, docs.withColumn("trusted", F.col("doc_id") == 3))
     assert set(rows.columns) == {"doc_id", "text", *rules.BASE, "base_failed", "ratio", "kept"}
     got = {r.doc_id: r for r in rows.collect()}
     for i, want in enumerate(brute(texts, [texts[3]])):
         assert tuple(got[i][c] for c in [*rules.BASE, "base_failed", "kept"]) == want, texts[i]
-    assert rules.judge(docs.limit(0), docs.limit(0)).count() == 0
-    assert rules.judge(docs, docs.limit(0)).count() == len(texts)
+    none = docs.withColumn("trusted", F.lit(None).cast("boolean"))
+    assert rules.judge(docs.limit(0), none.limit(0)).count() == 0
+    assert rules.judge(docs, none.limit(0)).count() == rules.judge(docs, none).count() == len(texts)
 
 
 def test_plans_run_no_python(spark):
