@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
-from starledger.llm.common import as_bytes, batch
+from starledger.llm.common import as_bytes, batch, stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 cloudpickle.register_pickle_by_value(sys.modules["starledger.llm.common"])
@@ -89,6 +89,8 @@ def without_repeats(
         .where("least < most")
         .select("prefix", "n")
     )
+    # Stored, so that Spark can split the rows of a hot prefix in the join.
+    shared = stored(shared, "prefixes")
     branching = starts.join(shared, "prefix")
     groups = _slices(rows, branching.where(F.col("n") <= group_rows), window)
     groups = groups.repartition("prefix").sortWithinPartitions("prefix")
