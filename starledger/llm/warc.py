@@ -3,7 +3,8 @@
 Every record is a gzip member of its own. The reader decompresses member after member in
 small pieces, takes the block by its Content-Length and verifies the payload digest.
 
-Files are written and read by the Python workers through ``pyarrow.fs``, so the folder is a
+Files are written and read by the Python workers through ``pyarrow.fs``, as they are (left to
+itself, it would compress a ``.gz`` file once more), so the folder is a
 URI (or absolute path) that every executor reaches. A task names its files at random and only
 the files of tasks that Spark commits are listed in the manifest: what a lost executor left
 behind is never read.
@@ -110,7 +111,7 @@ def write_warc(
             for row in zip(*(column.to_pylist() for column in rows.columns)):
                 if out is None:
                     name = f"{partition:05d}-{uuid.uuid4().hex}.warc.gz"
-                    out, count, size = store.open_output_stream(f"{root}/{name}"), 0, 0
+                    out, count, size = store.open_output_stream(f"{root}/{name}", compression=None), 0, 0
                 member = _member(*row, date, level)
                 out.write(member)
                 count, size = count + 1, size + len(member)
@@ -170,7 +171,7 @@ def read_warc(files: DataFrame, payloads: bool = True, piece_bytes: int = 1 << 1
             for path in names.column(0).to_pylist():
                 store, name = fs.FileSystem.from_uri(path)
                 rows, held = [], 0
-                with store.open_input_stream(name) as stream:
+                with store.open_input_stream(name, compression=None) as stream:
                     for offset, data in _members(stream, piece_bytes):
                         row = _record(path, offset, data)
                         rows.append(row if payloads else (*row[:-1], None))
