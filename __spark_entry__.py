@@ -43,6 +43,7 @@ from starledger.plans.sql import (
     top_rated_sql,
 )
 from starledger.shared import new_folder
+from starledger.sources.film import ratings_from_film
 from starledger.sources import (
     Store,
     first_line,
@@ -184,7 +185,7 @@ def store_single_file(spark: SparkSession, sf: str) -> DataFrame:
     store = _store(spark)
     board = popular(ratings_from_orders(spark, sf))
     order = [F.desc("count"), "productId"]
-    write_table(board, store, "RateMoreProducts", order_by=order, single_file=True)
+    write_table(board, store, "RateMoreProducts", order_by=order, files=1)
     return read_table(spark, store, "RateMoreProducts", schemas.POPULAR)
 
 
@@ -227,6 +228,11 @@ def popular_month_zone(spark: SparkSession, sf: str) -> DataFrame:
     return popular_by_month(ratings_from_orders(spark, sf), tz="America/New_York")
 
 
+def popular_month_zone_sql(spark: SparkSession, sf: str) -> DataFrame:
+    register_ratings(ratings_from_orders(spark, sf), tz="America/New_York")
+    return spark.sql(popular_by_month_sql("ratings"))
+
+
 def top_rated_products(spark: SparkSession, sf: str) -> DataFrame:
     return top_rated(ratings_from_orders(spark, sf))
 
@@ -333,6 +339,27 @@ def matched_lists_sharded(spark: SparkSession, sf: str) -> DataFrame:
     return _flat(lists, "userId")
 
 
+def _sized(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Vectors of very different lengths: customers by orders, parts by size and price."""
+    orders = table(spark, sf, "orders").groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("n"), F.floor(F.sum("o_totalprice") / 100_000).alias("total")
+    )
+    number = lambda name: F.col(name).cast("float")
+    users = orders.select(
+        F.col("o_custkey").cast("int").alias("userId"), F.array(number("n"), number("total")).alias("features")
+    )
+    price = F.floor(F.col("p_retailprice") / 100).cast("float")
+    items = table(spark, sf, "part").select(
+        F.col("p_partkey").cast("int").alias("productId"), F.array(number("p_size"), price).alias("features")
+    )
+    return users, items
+
+
+def matched_lists_pruned(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole lists where the search of each user ends early, over several shards."""
+    return _flat(best_matches(*_sized(spark, sf), n=10, products_per_shard=700), "userId")
+
+
 def similar_products(spark: SparkSession, sf: str) -> DataFrame:
     lists = similar_items(factors_from_embeddings(spark, sf, "productId"), n=10)
     return _flat(lists, "productId")
@@ -352,14 +379,19 @@ def als_scores(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("userId", "productId", F.isnan("score").alias("unknown"))
 
 
-def als_user_lists(spark: SparkSession, sf: str) -> DataFrame:
-    return user_lists(train(ratings_from_orders(spark, sf), seed=SEED))
+def als_sums_lists_checked(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from the solver that sums, from its own start."""
+    model = train(ratings_from_orders(spark, sf), seed=SEED, solver="sums")
+    return _checked_lists(user_lists(model), model)
 
 
 def als_lists_checked(spark: SparkSession, sf: str) -> DataFrame:
     """What must hold of each user's list, whatever the factors are."""
     model = train(ratings_from_orders(spark, sf), seed=SEED)
-    lists = user_lists(model)
+    return _checked_lists(user_lists(model), model)
+
+
+def _checked_lists(lists: DataFrame, model: FactorModel) -> DataFrame:
     entry = F.explode("recs").alias("rec")
     listed = lists.select("userId", entry).select(
         "userId", F.col("rec.productId").alias("productId"), F.col("rec.score").alias("listed")
@@ -389,9 +421,9 @@ def als_by_sums(spark: SparkSession, sf: str) -> DataFrame:
         als = ALS(rank=5, maxIter=iterations, regParam=0.01, seed=SEED, **columns)
         return als.fit(ratings).userFactors.withColumnRenamed("id", "userId")
 
-    users, _ = train_by_sums(ratings, 5, 2, 0.01, SEED, user_factors=spark_ml(0))
+    users, _ = train_by_sums(ratings, 5, 10, 0.01, SEED, user_factors=spark_ml(0))
     gaps = F.zip_with("features", "expected", lambda a, b: F.abs(a - b))
-    expected = spark_ml(2).withColumnRenamed("features", "expected")
+    expected = spark_ml(10).withColumnRenamed("features", "expected")
     return users.join(expected, "userId").select(
         "userId", (F.array_max(gaps) < 1e-3).alias("agree")
     )
@@ -421,10 +453,35 @@ def job_statistics(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, store, "RateMoreRecentlyProducts", schemas.POPULAR_BY_MONTH)
 
 
-def job_recommend(spark: SparkSession, sf: str) -> DataFrame:
+def job_load_ratings(spark: SparkSession, sf: str) -> DataFrame:
+    return read_table(spark, _loaded(spark, sf), "Rating", schemas.RATING)
+
+
+def job_statistics_popular(spark: SparkSession, sf: str) -> DataFrame:
+    store = _loaded(spark, sf)
+    jobs.statistics(spark, store)
+    return read_table(spark, store, "RateMoreProducts", schemas.POPULAR)
+
+
+def job_statistics_top_rated(spark: SparkSession, sf: str) -> DataFrame:
+    store = _loaded(spark, sf)
+    jobs.statistics(spark, store)
+    return read_table(spark, store, "AverageProducts", schemas.TOP_RATED)
+
+
+def job_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """What must hold of the stored lists, and that no better product was left out."""
     store = _loaded(spark, sf)
-    jobs.recommend(spark, store, seed=SEED)
-    return read_table(spark, store, "UserRecs", schemas.USER_RECS)
+    jobs.product_lists(spark, store, seed=SEED)
+    lists = read_table(spark, store, "UserRecs", schemas.USER_RECS)
+    ratings = read_table(spark, store, "Rating", schemas.RATING)
+    return _checked_lists(lists, train(ratings, seed=SEED))
+
+
+def film_ratings(spark: SparkSession, sf: str) -> DataFrame:
+    """Film ratings under their own names, taken over as ratings."""
+    films = ratings_from_orders(spark, sf).withColumnsRenamed({"userId": "uid", "productId": "mid"})
+    return ratings_from_film(films)
 
 
 def _training_data():
@@ -456,6 +513,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             popular_month_text,
             popular_month_text_sql,
             popular_month_zone,
+            popular_month_zone_sql,
             top_rated_products,
             top_rated_products_sql,
             one_pass_popular,
@@ -471,16 +529,21 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             matched_lists,
             matched_lists_unfiltered,
             matched_lists_sharded,
+            matched_lists_pruned,
             similar_products,
             als_users,
             als_items,
             als_scores,
-            als_user_lists,
+            als_sums_lists_checked,
             als_lists_checked,
             als_by_sums,
             job_load,
             job_statistics,
-            job_recommend,
+            job_load_ratings,
+            job_statistics_popular,
+            job_statistics_top_rated,
+            job_lists,
+            film_ratings,
         )
     }
     for module in _training_data():
@@ -568,6 +631,22 @@ _SIMILAR = """
     FROM ranked WHERE rank <= 10"""
 
 
+_PRUNED = """
+    WITH users AS (
+        SELECT o_custkey, count(*)::DOUBLE AS n, floor(sum(o_totalprice) / 100000)::DOUBLE AS total
+        FROM orders GROUP BY o_custkey
+    ), scored AS (
+        SELECT CAST(o_custkey AS INT) AS "userId", CAST(p_partkey AS INT) AS "productId",
+            n * p_size + total * floor(p_retailprice / 100) AS score
+        FROM users, part
+    ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY "userId" ORDER BY score DESC, "productId") AS rank
+        FROM scored WHERE score > 0
+    )
+    SELECT "userId", CAST(rank AS INT) AS rank, "productId", round(score, 6) AS score
+    FROM ranked WHERE rank <= 10"""
+
+
 def oracle_sql() -> dict[str, str]:
     rows = f"WITH {_RATINGS} SELECT * FROM ratings"
     popular_rows = f"WITH {_RATINGS} {_POPULAR}"
@@ -576,6 +655,11 @@ def oracle_sql() -> dict[str, str]:
     month_text = _by_month(_MONTH)
     matched = _matched(20, "WHERE score > 0")
     trimmed = _PRODUCTS.format(name="p_name")
+    checked_lists = f"""
+        WITH {_RATINGS}
+        SELECT DISTINCT "userId", true AS exact, true AS in_order, true AS positive,
+               true AS distinct_products, true AS at_most_n
+        FROM ratings"""
     found = {
         "scan_products": trimmed,
         "scan_products_untrimmed": _PRODUCTS.format(name="'  ' || p_name || ' ' || chr(9)"),
@@ -638,11 +722,15 @@ def oracle_sql() -> dict[str, str]:
         "als_items": f'WITH {_RATINGS} SELECT DISTINCT "productId" FROM ratings',
         "als_scores": f"""
             WITH {_RATINGS} SELECT "userId", "productId", false AS unknown FROM ratings""",
-        "als_lists_checked": f"""
-            WITH {_RATINGS}
-            SELECT DISTINCT "userId", true AS exact, true AS in_order, true AS positive,
-                   true AS distinct_products, true AS at_most_n
-            FROM ratings""",
+        "als_lists_checked": checked_lists,
+        "als_sums_lists_checked": checked_lists,
+        "job_lists": checked_lists,
+        "job_load_ratings": rows,
+        "job_statistics_popular": popular_rows,
+        "job_statistics_top_rated": top_rated_rows,
+        "film_ratings": rows,
+        "popular_month_zone_sql": _by_month(f"CAST({_ZONE_MONTH} AS INT)"),
+        "matched_lists_pruned": _PRUNED,
         "als_by_sums": f'WITH {_RATINGS} SELECT DISTINCT "userId", true AS agree FROM ratings',
         "job_load": trimmed,
         "job_statistics": month,

@@ -45,19 +45,20 @@ def arguments() -> argparse.ArgumentParser:
     statistics.add_argument("--top-rated-table", default="AverageProducts")
     statistics.add_argument("--tz")
     statistics.add_argument("--text-month", action="store_true")
-    statistics.add_argument("--single-file", action="store_true")
-
-    recommend = commands.add_parser("recommend", help="train and store product lists")
-    recommend.add_argument("--user-table", default="UserRecs")
-    recommend.add_argument("--product-table")
-    recommend.add_argument("-n", type=int, default=20)
-    recommend.add_argument("--unfiltered", dest="min_score", action="store_const", const=None, default=0.0)
-    recommend.add_argument("--rank", type=int, default=5)
-    recommend.add_argument("--iterations", type=int, default=10)
-    recommend.add_argument("--reg", type=float, default=0.01)
-    recommend.add_argument("--seed", type=int, default=0)
-    recommend.add_argument("--cache", action="store_true")
-    recommend.add_argument("--single-file", action="store_true")
+    statistics.add_argument("--files", type=int)
+
+    lists = commands.add_parser("product-lists", help="train and store product lists")
+    lists.add_argument("--user-table", default="UserRecs")
+    lists.add_argument("--product-table")
+    lists.add_argument("-n", type=int, default=20)
+    lists.add_argument("--unfiltered", dest="min_score", action="store_const", const=None, default=0.0)
+    lists.add_argument("--rank", type=int, default=5)
+    lists.add_argument("--iterations", type=int, default=10)
+    lists.add_argument("--reg", type=float, default=0.01)
+    lists.add_argument("--seed", type=int, default=0)
+    lists.add_argument("--cache", action="store_true")
+    lists.add_argument("--files", type=int)
+    lists.add_argument("--solver", choices=["ml", "sums"], default="ml")
     return parser
 
 
@@ -76,7 +77,7 @@ def main(argv: list[str] | None = None) -> None:
     elif command == "statistics":
         jobs.statistics(spark, store, **given)
     else:
-        jobs.recommend(spark, store, **given)
+        jobs.product_lists(spark, store, **given)
 
 
 if __name__ == "__main__":

@@ -31,12 +31,16 @@ def year_month_text(seconds: Column | str, tz: str | None = None) -> Column:
     return year_month(seconds, tz).cast("string")
 
 
-def register_month_functions(spark: SparkSession) -> None:
-    """Make ``changeDate(int)`` and ``yyyyMM(int)`` callable from SQL text.
+def register_month_functions(spark: SparkSession, tz: str | None = None) -> None:
+    """Make ``changeDate(int)`` and ``yyyyMM(int)`` callable from SQL text, for UTC or ``tz``.
 
     They are SQL functions, so the optimizer inlines their bodies.
     """
     date = f"date_from_unix_date(cast(floor(seconds / {_SECONDS_PER_DAY}) as int))"
+    if tz is not None:
+        zone = tz.replace("\\", "\\\\").replace("'", "\\'")
+        utc = "timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, seconds)"
+        date = f"cast(convert_timezone('UTC', '{zone}', {utc}) as date)"
     number = f"year({date}) * 100 + month({date})"
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION changeDate(seconds INT) RETURNS INT "

@@ -10,7 +10,7 @@ from starledger.operators.leaderboards import (
 )
 from starledger.operators.matching import best_matches
 from starledger.operators.ranking import keep_positive, to_lists, top_n
-from starledger.operators.recommend import similar_items, user_lists
+from starledger.operators.product_lists import similar_items, user_lists
 
 __all__ = [
     "FactorModel",

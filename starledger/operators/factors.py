@@ -9,16 +9,13 @@ from functools import reduce
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import Column, DataFrame, functions as F
 
-from starledger.operators.split_als import train_by_sums
-from starledger.shared import ensure_checkpoint_dir
+from starledger.operators.split_als import checked, train_by_sums
+from starledger.shared import delete_folder, ensure_checkpoint_dir, new_folder, stored
 
-# What one block of Spark ML's solver should hold at most, and how many blocks it can have.
-RATINGS_PER_BLOCK = 20_000_000
-MAX_BLOCKS = 500
-
-# Blocks are made this small where their number allows it, down to a few blocks.
+# Blocks are made this small, between a few and as many as Spark ML copes with.
 _EVEN_BLOCK = 1_000_000
 _MIN_BLOCKS = 8
+_MAX_BLOCKS = 500
 
 
 @dataclass(frozen=True)
@@ -28,6 +25,12 @@ class FactorModel:
     user_factors: DataFrame
     item_factors: DataFrame
     rank: int
+    folder: str | None = None
+
+    def free(self) -> None:
+        """Delete the stored factors; the model is of no use afterwards."""
+        if self.folder:
+            delete_folder(self.user_factors.sparkSession, self.folder)
 
 
 def train(
@@ -37,25 +40,34 @@ def train(
     reg: float = 0.01,
     seed: int = 0,
     blocks: int | None = None,
+    solver: str = "ml",
 ) -> FactorModel:
     """Explicit-feedback alternating least squares over (userId, productId, score).
 
-    Spark ML's solver splits the ratings into ``blocks`` on either side, by default as many
-    as the ratings need, so that a seed gives the same factors on any cluster. Where the
-    ratings, or those of one user or product, are more than blocks can hold, the same
-    systems are solved by grouped sums.
+    ``solver="ml"`` is Spark ML's. It splits the ratings into ``blocks`` on either side, by
+    default one per million ratings, so that a seed gives the same factors on any cluster;
+    it keeps all ratings of an id in one block, so the largest blocks must fit an executor.
+    ``solver="sums"`` solves the same systems by grouped sums that combine before the
+    shuffle; no id is too large for it, but it is slower, starts elsewhere for the same
+    seed, and has no blocks. The size of the data never changes the solver.
 
-    The factors are checkpointed: what scores with them later never trains again, even
-    when executors are lost.
+    A rating with a null or NaN score, or a null id, is an error with either.
+
+    The factors are stored in the shared folder: what scores with them later never trains
+    again, even when executors are lost. ``FactorModel.free`` deletes them.
     """
     spark = ratings.sparkSession
-    ensure_checkpoint_dir(spark)
-    ratings = ratings.select("userId", "productId", "score")
-    total = ratings.count()
-    if not _fits_blocks(ratings, total):
+    ratings = checked(ratings)
+    if solver == "sums":
+        if blocks is not None:
+            raise ValueError("the sums solver has no blocks")
         users, items = train_by_sums(ratings, rank, iterations, reg, seed)
-        return FactorModel(users, items, rank)
-    blocks = blocks or min(max(_MIN_BLOCKS, math.ceil(total / _EVEN_BLOCK)), MAX_BLOCKS)
+        return _stored_model(users, items, rank)
+    if solver != "ml":
+        raise ValueError(f"no solver {solver!r}")
+    ensure_checkpoint_dir(spark)
+    if blocks is None:
+        blocks = min(max(_MIN_BLOCKS, math.ceil(ratings.count() / _EVEN_BLOCK)), _MAX_BLOCKS)
     als = ALS(
         rank=rank,
         maxIter=iterations,
@@ -70,20 +82,13 @@ def train(
         coldStartStrategy="drop",
     )
     model = als.fit(ratings)
-    return FactorModel(
-        user_factors=model.userFactors.withColumnRenamed("id", "userId").checkpoint(),
-        item_factors=model.itemFactors.withColumnRenamed("id", "productId").checkpoint(),
-        rank=rank,
-    )
+    users = model.userFactors.withColumnRenamed("id", "userId")
+    return _stored_model(users, model.itemFactors.withColumnRenamed("id", "productId"), rank)
 
 
-def _fits_blocks(ratings: DataFrame, total: int) -> bool:
-    if total <= RATINGS_PER_BLOCK:
-        return True
-    if total > RATINGS_PER_BLOCK * MAX_BLOCKS:
-        return False
-    sizes = ratings.groupingSets([["userId"], ["productId"]], "userId", "productId").count()
-    return sizes.agg(F.max("count")).first()[0] <= RATINGS_PER_BLOCK
+def _stored_model(users: DataFrame, items: DataFrame, rank: int) -> FactorModel:
+    folder = new_folder(users.sparkSession, "factors")
+    return FactorModel(stored(users, f"{folder}/users"), stored(items, f"{folder}/items"), rank, folder)
 
 
 def score_pairs(pairs: DataFrame, model: FactorModel) -> DataFrame:

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from starledger.functions.months import year_month
-from starledger.shared import ensure_checkpoint_dir
+from starledger.shared import delete_folder, new_folder, stored
 
 
 @dataclass(frozen=True)
@@ -20,6 +20,11 @@ class Leaderboards:
     popular: DataFrame
     popular_by_month: DataFrame
     top_rated: DataFrame
+    folder: str
+
+    def free(self) -> None:
+        """Delete the stored counts; the boards are of no use afterwards."""
+        delete_folder(self.popular.sparkSession, self.folder)
 
 
 def popular(ratings: DataFrame) -> DataFrame:
@@ -45,27 +50,26 @@ def top_rated(ratings: DataFrame) -> DataFrame:
 def leaderboards(
     ratings: DataFrame, tz: str | None = None, text_month: bool = False
 ) -> Leaderboards:
-    """All three boards from one pass over the ratings.
+    """All three boards from one pass over the ratings, which runs at once.
 
-    Counts and score sums per product and month are checkpointed; the boards are rolled up
-    from those, which hold at most one row per product and month.
+    Counts and score sums per product and month are stored; the boards are rolled up
+    from those, which hold at most one row per product and month. ``Leaderboards.free``
+    deletes them.
     """
-    ensure_checkpoint_dir(ratings.sparkSession)
-    monthly = (
-        ratings.groupBy("productId", year_month("timestamp", tz).alias("yearmonth"))
-        .agg(
-            F.count("productId").alias("count"),
-            F.sum("score").alias("score_sum"),
-            F.count("score").alias("score_count"),
-        )
-        .checkpoint()
+    folder = new_folder(ratings.sparkSession, "boards")
+    monthly = ratings.groupBy("productId", year_month("timestamp", tz).alias("yearmonth")).agg(
+        F.count("productId").alias("count"),
+        F.sum("score").alias("score_sum"),
+        F.count("score").alias("score_count"),
     )
+    monthly = stored(monthly, folder)
     by_product = monthly.groupBy("productId")
     mean = F.try_divide(F.sum("score_sum"), F.sum("score_count"))
     return Leaderboards(
         popular=_most_first(by_product.agg(F.sum("count").alias("count"))),
         popular_by_month=_newest_first(monthly, text_month),
         top_rated=_best_first(by_product.agg(mean.alias("avg"))),
+        folder=folder,
     )
 
 

@@ -2,8 +2,8 @@
 
 Users are split into blocks and products into shards of bounded size; every block meets
 every shard in one task, which keeps only the best ``n`` products of each of its users.
-So what is shuffled is the two factor tables, copied once per shard and per block, and
-never a pair.
+So what is shuffled is the two factor tables, copied once per shard and per block, and,
+with more than one shard, the list of each user in each shard.
 """
 
 from __future__ import annotations

@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession, functions as F
 
 from starledger import schemas
 from starledger.operators import leaderboards, similar_items, train, user_lists
+from starledger.shared import delete_folder, new_folder, stored
 from starledger.sources import (
     Store,
     parse_products,
@@ -37,23 +38,28 @@ def load(
     """Parse both text sources and replace both tables.
 
     ``indexed`` lays products and ratings out by product and makes ratings findable by
-    user; without it the rows are written as they come, in one pass. In mode
+    user; without it, or in a store that keeps no layout, the rows are written as they come,
+    in one pass. In mode
     ``permissive`` the lines that cannot be read are stored as well, as (source, value).
     """
     products = parse_products(scan_lines(spark, products_path), trim, mode)
     ratings = parse_ratings(scan_lines(spark, ratings_path), mode)
-    if mode == "permissive":
+    parsed = new_folder(spark, "parsed")
+    if mode == "permissive":  # parsed once for the tables and for the rejected lines
+        products, ratings = stored(products, f"{parsed}/p"), stored(ratings, f"{parsed}/r")
         products, bad_products = rejects(products)
         ratings, bad_ratings = rejects(ratings)
         rejected = bad_products.select(F.lit("products").alias("source"), "value").union(
             bad_ratings.select(F.lit("ratings").alias("source"), "value")
         )
         write_table(rejected, store, rejected_table)
+    indexed = indexed and store.keeps_layout
     key = "productId" if indexed else None
     write_table(products, store, product_table, cluster_by=key)
     write_table(
         ratings, store, rating_table, cluster_by=key, lookup_keys=["userId"] if indexed else []
     )
+    delete_folder(spark, parsed)
 
 
 def statistics(
@@ -66,7 +72,7 @@ def statistics(
     top_rated_table: str = "AverageProducts",
     tz: str | None = None,
     text_month: bool = False,
-    single_file: bool = False,
+    files: int | None = None,
 ) -> None:
     """Compute the three leaderboards in one pass over the ratings and store them."""
     ratings = read_table(spark, store, rating_table, schemas.RATING)
@@ -80,10 +86,11 @@ def statistics(
         top_rated_table: (boards.top_rated, [F.desc("avg"), "productId"]),
     }
     for name, (board, order) in orders.items():
-        write_table(board, store, name, order_by=order, single_file=single_file)
+        write_table(board, store, name, order_by=order, files=files)
+    boards.free()
 
 
-def recommend(
+def product_lists(
     spark: SparkSession,
     store: Store,
     *,
@@ -97,22 +104,24 @@ def recommend(
     reg: float = 0.01,
     seed: int = 0,
     cache: bool = False,
-    single_file: bool = False,
+    files: int | None = None,
+    solver: str = "ml",
 ) -> None:
     """Train factors, store each user's best products and, if named, similar products.
 
-    Training reads the ratings once; ``cache`` keeps them on the executors as well, for a
-    source that is costly to read again.
+    Training reads the ratings to count them and to fit; ``cache`` keeps them on the
+    executors, for a source that is costly to read again.
     """
     ratings = read_table(spark, store, rating_table, schemas.RATING)
     if cache:
         ratings = ratings.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = train(ratings, rank, iterations, reg, seed)
+        model = train(ratings, rank, iterations, reg, seed, solver=solver)
         lists = user_lists(model, n, min_score)
-        write_table(lists, store, user_table, single_file=single_file)
+        write_table(lists, store, user_table, files=files)
         if product_table:
             write_table(similar_items(model.item_factors, n), store, product_table)
+        model.free()
     finally:
         if cache:
             ratings.unpersist()

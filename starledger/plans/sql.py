@@ -27,7 +27,7 @@ def top_rated_sql(view: str) -> str:
         FROM {view} GROUP BY productId ORDER BY avg DESC, productId"""
 
 
-def register_ratings(ratings: DataFrame, view: str = "ratings") -> None:
-    """Name the ratings for SQL, with the month functions at hand."""
+def register_ratings(ratings: DataFrame, view: str = "ratings", tz: str | None = None) -> None:
+    """Name the ratings for SQL, with the month functions, in UTC or ``tz``, at hand."""
     ratings.createOrReplaceTempView(view)
-    register_month_functions(ratings.sparkSession)
+    register_month_functions(ratings.sparkSession, tz)

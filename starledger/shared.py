@@ -6,12 +6,13 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; a temporary one in local mode only."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    """The checkpoint folder in use, else that of ``spark.checkpoint.dir``; a temporary one
+    in local mode only."""
+    configured = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
@@ -45,3 +46,9 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     fs, folder = file_system(spark, path)
     if fs.exists(folder):
         fs.delete(folder, True)
+
+
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """The rows, written once and read from there."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

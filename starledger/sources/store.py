@@ -17,10 +17,6 @@ from pyspark.sql.types import StructType
 from starledger.shared import delete_folder, file_system
 from starledger.sources.layout import clustered
 
-# A table is only put into one file, and so through one task, up to this many rows.
-SINGLE_FILE_ROWS = 10_000_000
-
-
 @dataclass(frozen=True)
 class Store:
     root: str | None = None
@@ -28,6 +24,11 @@ class Store:
     options: Mapping[str, str] = field(default_factory=dict)
     name_option: str = "collection"
 
+    @property
+    def keeps_layout(self) -> bool:
+        """Whether rows laid out by a key are found faster: in column files of a folder."""
+        return self.root is not None and self.format in ("parquet", "orc")
+
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
@@ -35,6 +36,7 @@ class Store:
         reader = spark.read.format(self.format).options(**self.options)
         if self.root is None:
             return reader.option(self.name_option, name).load()
+        _recover(spark, self.path(name))
         return reader.load(self.path(name))
 
 
@@ -54,71 +56,74 @@ def write_table(
     cluster_by: str | None = None,
     lookup_keys: Sequence[str] = (),
     order_by: Sequence[Column | str] = (),
-    single_file: bool = False,
+    files: int | None = None,
     staged: bool = True,
 ) -> None:
     """Replace a named table.
 
     ``cluster_by`` lays the rows out by that key; ``lookup_keys`` get Bloom filters, so a
-    second key can be looked up too. ``order_by`` sorts the whole table.
+    second key can be looked up too. Both raise for a store that ``keeps_layout`` is false
+    of. ``order_by`` sorts the whole table. ``files`` asks for so many files, or partitions
+    handed to a connector, at any size; they keep the order from one to the next. Fewer are
+    written only if there are fewer different rows.
 
     In a folder store the rows go to a staging folder that takes the table's place once it
     is complete: a failed job leaves the old table as it was, and ``df`` may read the table
-    it replaces. ``staged=False`` writes in place, for object stores where renaming copies.
-
-    ``single_file`` asks for one file. Tables over ``SINGLE_FILE_ROWS`` stay whole in
-    several files, which keep the order of ``order_by`` from file to file.
+    it replaces. If the driver is lost while the folders are renamed, the next read or write
+    of the table puts the old one back. ``staged=False`` writes in place, for object stores
+    where renaming copies.
     """
+    if (cluster_by or lookup_keys) and not store.keeps_layout:
+        raise ValueError(f"a {store.format} store cannot lay rows out by a key")
     order = list(order_by) or ([cluster_by] if cluster_by else [])
-    if cluster_by:
+    if files is not None:
+        df = df.repartitionByRange(files, *order) if order and files > 1 else df.repartition(files)
+        df = df.sortWithinPartitions(*order) if order else df
+    elif cluster_by:
         df = clustered(df, cluster_by)
     elif order:
         df = df.orderBy(*order)
     options = {**store.options, **_lookup_options(store.format, lookup_keys)}
-
-    def save(rows: DataFrame, path: str | None = None) -> None:
-        writer = rows.write.format(store.format).options(**options).mode("overwrite")
-        if path is None:
-            writer.option(store.name_option, name).save()
-        else:
-            writer.save(path)
-
+    writer = df.write.format(store.format).options(**options).mode("overwrite")
     if store.root is None:
-        save(df)
+        writer.option(store.name_option, name).save()
         return
-    if not (staged or single_file):
-        save(df, store.path(name))
+    spark, target = df.sparkSession, store.path(name)
+    _recover(spark, target)
+    if not staged:
+        writer.save(target)
         return
-
-    spark = df.sparkSession
-    staging = [f"{store.root.rstrip('/')}/_staging-{name}-{uuid.uuid4().hex}"]
+    staging = f"{_staging(target)}{uuid.uuid4().hex}"
     try:
-        save(df, staging[-1])
-        if single_file:
-            written = (
-                spark.read.format(store.format)
-                .options(**store.options)
-                .schema(df.schema)
-                .load(staging[-1])
-            )
-            if written.count() <= SINGLE_FILE_ROWS:
-                one = written.repartition(1)
-                staging.append(f"{staging[0]}-one")
-                save(one.sortWithinPartitions(*order) if order else one, staging[-1])
-        _put_in_place(spark, staging[-1], store.path(name))
+        writer.save(staging)
+        _put_in_place(spark, staging, target)
     finally:
-        for folder in staging:
-            delete_folder(spark, folder)
+        delete_folder(spark, staging)
+
+
+def _staging(target: str) -> str:
+    """What the names of a table's staging folders begin with."""
+    root, _, name = target.rpartition("/")
+    return f"{root}/_staging-{name}-"
 
 
 def _lookup_options(fmt: str, keys: Sequence[str]) -> dict[str, str]:
     if not keys:
         return {}
-    if fmt == "parquet":
-        return {f"parquet.bloom.filter.enabled#{key}": "true" for key in keys}
     if fmt == "orc":
         return {"orc.bloom.filter.columns": ",".join(keys)}
-    return {}
+    return {f"parquet.bloom.filter.enabled#{key}": "true" for key in keys}
+
+
+def _recover(spark: SparkSession, target: str) -> None:
+    """Put the table back that a lost driver had moved aside."""
+    fs, place = file_system(spark, target)
+    if fs.exists(place):
+        return
+    _, left = file_system(spark, f"{_staging(target)}{'[0-9a-f]' * 32}-old")
+    for old in fs.globStatus(left) or ():
+        if fs.rename(old.getPath(), place):
+            return
 
 
 def _put_in_place(spark: SparkSession, staging: str, target: str) -> None:

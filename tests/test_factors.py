@@ -4,6 +4,7 @@ from pyspark.ml.recommendation import ALS
 from pyspark.sql import functions as F
 
 from starledger.operators import FactorModel, factors, score_pairs, split_als, train, user_lists
+from starledger.sources import parse_ratings
 
 
 @pytest.fixture(scope="module")
@@ -93,11 +94,8 @@ def test_sums_equal_spark_ml_from_the_same_start(ratings, monkeypatch, broadcast
         assert all(np.allclose(a[key], b[key], rtol=1e-4, atol=1e-5) for key in a)
 
 
-def test_hot_products_take_the_sums(ratings, monkeypatch):
-    monkeypatch.setattr(factors, "RATINGS_PER_BLOCK", 500)  # the hot product alone has more
-    monkeypatch.setattr(factors, "MAX_BLOCKS", 1000)
-    assert not factors._fits_blocks(ratings, ratings.count())
-    model = train(ratings, seed=5)
+def test_sums_solver_learns(ratings):
+    model = train(ratings, seed=5, solver="sums")
     scored = score_pairs(ratings.withColumnRenamed("score", "actual"), model)
     error, spread = scored.agg(
         F.sqrt(F.avg((F.col("score") - F.col("actual")) ** 2)), F.stddev("actual")
@@ -106,12 +104,43 @@ def test_hot_products_take_the_sums(ratings, monkeypatch):
     assert isinstance(model, FactorModel) and model.user_factors.count() == 60
 
 
-def test_even_ratings_fit_blocks(ratings, monkeypatch):
-    monkeypatch.setattr(factors, "RATINGS_PER_BLOCK", 1000)
-    monkeypatch.setattr(factors, "MAX_BLOCKS", 1000)
-    assert factors._fits_blocks(ratings, ratings.count())
-    monkeypatch.setattr(factors, "MAX_BLOCKS", 1)
-    assert not factors._fits_blocks(ratings, ratings.count())
+def test_bounds_do_not_change_the_factors(ratings, monkeypatch):
+    def factors_of(solver):
+        model = train(ratings, seed=5, iterations=2, solver=solver)
+        return by_id(model.user_factors.withColumnRenamed("userId", "id"))
+
+    before = {solver: factors_of(solver) for solver in ("ml", "sums")}
+    monkeypatch.setattr(split_als, "BROADCAST_VALUES", 1)
+    after = {solver: factors_of(solver) for solver in ("ml", "sums")}
+    for solver, want in before.items():
+        assert all(np.allclose(after[solver][key], want[key], atol=1e-5) for key in want)
+
+
+def test_unknown_solvers_and_blocks_of_sums_are_errors(ratings):
+    with pytest.raises(ValueError):
+        train(ratings, solver="other")
+    with pytest.raises(ValueError):
+        train(ratings, solver="sums", blocks=3)
+
+
+@pytest.mark.parametrize("solver", ["ml", "sums"])
+@pytest.mark.parametrize("line", ["1,2,NaN,3", None, "user"])
+def test_bad_ratings_are_an_error_in_both(spark, solver, line):
+    if line == "1,2,NaN,3":
+        lines = spark.createDataFrame([("1,1,3.0,1",), (line,)], "value string")
+        broken = parse_ratings(lines)
+    else:
+        row = (1, 2, None) if line is None else (None, 2, 1.0)
+        broken = spark.createDataFrame([(1, 1, 3.0), row], "userId int, productId int, score double")
+    with pytest.raises(Exception, match="a rating has no"):
+        train(broken, solver=solver)
+
+
+def test_a_model_is_freed(spark, ratings):
+    model = train(ratings, iterations=1)
+    model.free()
+    with pytest.raises(Exception):
+        model.user_factors.collect()
 
 
 def test_missing_ids_are_an_error(spark):

@@ -35,7 +35,7 @@ def test_all_jobs(spark, sources, tmp_path, indexed):
     assert sorted(r.name for r in products.collect()) == ["cup", "mouse", "pen"]
     assert sorted(map(tuple, read_table(spark, store, "Rating", schemas.RATING).collect())) == RATINGS
 
-    jobs.statistics(spark, store, single_file=True)
+    jobs.statistics(spark, store, files=1)
     board = read_table(spark, store, "RateMoreProducts", schemas.POPULAR)
     assert board.collect() == [(1, 2), (2, 2), (3, 2)]
     monthly = read_table(spark, store, "RateMoreRecentlyProducts", schemas.POPULAR_BY_MONTH)
@@ -44,7 +44,7 @@ def test_all_jobs(spark, sources, tmp_path, indexed):
     assert top.collect() == [(1, 4.5), (2, 3.5), (3, 1.5)]
     assert len(glob.glob(f"{tmp_path}/store/AverageProducts/*.parquet")) == 1
 
-    jobs.recommend(spark, store, n=2, product_table="ProductRecs", cache=True)
+    jobs.product_lists(spark, store, n=2, product_table="ProductRecs", cache=True)
     lists = read_table(spark, store, "UserRecs", schemas.USER_RECS).collect()
     assert sorted(r.userId for r in lists) == [1, 2, 3] and all(len(r.recs) <= 2 for r in lists)
     similar = read_table(spark, store, "ProductRecs", schemas.PRODUCT_RECS).collect()
@@ -88,7 +88,7 @@ def test_command_line(spark, sources, tmp_path):
     store = ["--root", str(tmp_path / "store"), "--format", "orc", "--option", "compression=zlib"]
     main([*store, "load", *sources, "--mode", "drop", "--no-trim"])
     main([*store, "statistics", "--text-month", "--single-file"])
-    main([*store, "recommend", "-n", "1", "--unfiltered", "--iterations", "2"])
+    main([*store, "product-lists", "-n", "1", "--unfiltered", "--iterations", "2"])
     read = lambda name, schema: read_table(
         spark, Store(str(tmp_path / "store"), "orc"), name, schema
     )

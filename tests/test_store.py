@@ -60,7 +60,7 @@ def test_reading_orders_casts_and_drops_columns(spark, tmp_path):
 def test_nested_lists_roundtrip(spark, tmp_path):
     store = Store(str(tmp_path))
     lists = spark.createDataFrame([(1, [(2, 3.0), (4, 1.0)])], schemas.USER_RECS)
-    write_table(lists, store, "UserRecs", single_file=True)
+    write_table(lists, store, "UserRecs", files=1)
     assert read_table(spark, store, "UserRecs", schemas.USER_RECS).collect() == lists.collect()
 
 
@@ -135,24 +135,40 @@ def test_a_hot_key_is_spread(spark):
 
 def test_single_file_is_sorted(spark, ratings, tmp_path):
     store = Store(str(tmp_path))
-    write_table(ratings, store, "Rating", order_by=[F.desc("timestamp")], single_file=True)
+    write_table(ratings, store, "Rating", order_by=[F.desc("timestamp")], files=1)
     assert len(files(tmp_path)) == 1
     stamps = pq.read_table(files(tmp_path)[0]).column("timestamp").to_pylist()
     assert stamps == sorted(stamps, reverse=True) and len(stamps) == 500
 
 
-def test_a_large_single_file_request_stays_whole_and_ordered(
-    ratings, tmp_path, monkeypatch, uncoalesced
-):
-    monkeypatch.setattr(store_module, "SINGLE_FILE_ROWS", 100)
+def test_number_of_files_is_kept_and_ordered(ratings, tmp_path, uncoalesced):
     store = Store(str(tmp_path))
-    write_table(ratings, store, "Rating", order_by=["timestamp"], single_file=True)
+    write_table(ratings, store, "Rating", order_by=["timestamp"], files=3)
     parts = files(tmp_path)
-    assert len(parts) > 1
+    assert len(parts) == 3
     stamps = [s for path in parts for s in pq.read_table(path).column("timestamp").to_pylist()]
     assert stamps == sorted(stamps) and len(stamps) == 500
 
 
+@pytest.mark.parametrize("store", [Store(None, format="noop"), Store("/nowhere", format="json")])
+@pytest.mark.parametrize("layout", [{"cluster_by": "productId"}, {"lookup_keys": ["userId"]}])
+def test_layout_that_a_store_cannot_keep_is_an_error(ratings, store, layout):
+    with pytest.raises(ValueError):
+        write_table(ratings, store, "Rating", **layout)
+
+
+def test_a_table_moved_aside_comes_back(spark, ratings, tmp_path):
+    store = Store(str(tmp_path))
+    write_table(ratings, store, "Rating")
+    # As a driver leaves it that stops between the two renames.
+    (tmp_path / "Rating").rename(tmp_path / f"_staging-Rating-{'0' * 32}-old")
+    assert read_table(spark, store, "Rating", schemas.RATING).count() == 500
+    (tmp_path / "Rating").rename(tmp_path / f"_staging-Rating-{'1' * 32}-old")
+    write_table(read_table(spark, store, "Rating", schemas.RATING).limit(7), store, "Rating")
+    assert read_table(spark, store, "Rating", schemas.RATING).count() == 7
+    assert [p.name for p in tmp_path.iterdir()] == ["Rating"]
+
+
 def test_lookup_filters_reach_the_scan(spark, ratings, tmp_path):
     store = Store(str(tmp_path))
     write_table(ratings, store, "Rating", cluster_by="productId")
