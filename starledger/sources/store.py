@@ -112,7 +112,9 @@ def _lookup_options(fmt: str, keys: Sequence[str]) -> dict[str, str]:
         return {}
     if fmt == "orc":
         return {"orc.bloom.filter.columns": ",".join(keys)}
-    return {f"parquet.bloom.filter.enabled#{key}": "true" for key in keys}
+    if fmt == "parquet":
+        return {f"parquet.bloom.filter.enabled#{key}": "true" for key in keys}
+    return {}
 
 
 def _recover(spark: SparkSession, target: str) -> None:
