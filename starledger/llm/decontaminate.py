@@ -1,10 +1,12 @@
-"""Benchmark decontamination: rare n-grams as seeds, local alignment as the judge.
+"""Benchmark decontamination: n-grams as seeds, local alignment as the judge.
 
-Documents are searched for n-grams of the test items. How many documents hold each n-gram is
-counted over the whole corpus, and of every few consecutive n-grams of an item the rarest is
-its seed: copies hit seeds wherever enough words in a row are left, while common phrases start
-few alignments. Around each seed the passage is aligned with the item by Smith-Waterman, so
-copies with words replaced, added or left out are found as well.
+Documents are searched for n-grams of the test items. Every n-gram of an item is a seed, however
+common or rare, so an edited copy is found by whichever one it has kept. A document that holds
+a seed is aligned with the item by Smith-Waterman, so copies with words replaced, added or left
+out are found as well. What keeps common phrases cheap is a bound: no alignment scores more than
+if each of the document's words that the item has anywhere were a match, and only the passages
+where that is enough for a copy are aligned. Nothing is lost by it: the results are those of
+aligning whole documents with every item that they share an n-gram with.
 
 Test items are the stated query set. They are taken in blocks of bounded size, each of which
 goes to all tasks, and every block meets every document.
@@ -27,8 +29,6 @@ from starledger.llm.common import as_bytes
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SEED_WORDS = 3
-#: Of so many consecutive n-grams one is a seed.
-SPACING = 3
 #: Alignment scores of a word: equal, replaced, added or left out.
 MATCH, OTHER, GAP = 2, -1, -1
 #: A passage is a copy if it scores like this share of the item, or like so many words in a
@@ -44,13 +44,13 @@ _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
 
 class Block(NamedTuple):
-    """Test items, and their seeds sorted by hash with the places where they stand."""
+    """Test items, and their n-grams sorted by hash with the items that hold them."""
 
     items: list  # of word hashes
+    known: list  # the different word hashes of each item, sorted
     grams: np.ndarray
-    first: np.ndarray  # of each gram's places; one longer than grams
+    first: np.ndarray  # of each gram's items; one longer than grams
     item: np.ndarray
-    place: np.ndarray
 
 
 def contaminated(
@@ -63,7 +63,8 @@ def contaminated(
     row's words (letters and digits between anything ASCII else, compared in lower case). Of
     several copies in a row the best is returned, the first if equal. A row repeated is
     searched each time; null ids are returned as such. Null or empty texts and items, and items
-    of less than ``SEED_WORDS`` words, have no copies. Equal items are all returned. Other
+    of less than ``SEED_WORDS`` words, have no copies; nor is a row compared with an item that it
+    shares no ``SEED_WORDS`` words in a row with. Equal items are all returned. Other
     columns are not read.
     """
     rows = docs.select(F.col(id).alias("id"), as_bytes(text).alias("text"))
@@ -71,7 +72,7 @@ def contaminated(
     item_kind = items.schema[item_id].dataType
     schema = f"id {kind}, item {item_kind.simpleString()}, score double, start long, end long"
     found = None
-    for ids, block in _blocks(rows, items, item_id, item_text, block_words):
+    for ids, block in _blocks(items, item_id, item_text, block_words):
         one = rows.mapInArrow(_searcher(rows, ids, block), schema)
         found = one if found is None else found.union(one)
     if found is None:
@@ -86,7 +87,7 @@ def without_copies(
     place = "_searched_text"
     rows = docs.withColumn(place, as_bytes(text))
     numbered = items.select(F.lit(0).cast(LongType()).alias("n"), F.col(item_text).alias("text"))
-    for _, block in _blocks(docs.select(as_bytes(text).alias("text")), numbered, "n", "text", block_words):
+    for _, block in _blocks(numbered, "n", "text", block_words):
         rows = rows.mapInArrow(_keeper(rows, block), rows.schema)
     return rows.drop(place)
 
@@ -122,8 +123,8 @@ def _keeper(rows: DataFrame, block: Block):
     return keep
 
 
-def _blocks(rows: DataFrame, items: DataFrame, item_id: str, item_text: str, block_words: int):
-    """Blocks of items with the ids of each, seeds chosen by counts over all ``rows``."""
+def _blocks(items: DataFrame, item_id: str, item_text: str, block_words: int):
+    """Blocks of items with the ids of each."""
     words = F.size(F.split(F.coalesce(F.col(item_text), F.lit("")), r"\s+"))
     total = items.agg(F.sum(words)).first()[0] or 0
     blocks = -(-total // block_words)
@@ -136,36 +137,18 @@ def _blocks(rows: DataFrame, items: DataFrame, item_id: str, item_text: str, blo
         texts = [text.as_py() or b"" for text in table.column("text")]
         if not texts:
             continue
-        whole = _indexed(_hashed(texts, _Hashes()), None)
-        if len(whole.grams):
-            counts = _document_counts(rows, whole)
-            ids = table.column("id").chunk(0)
-            yield ids, _indexed(whole.items, dict(zip(whole.grams.tolist(), counts.tolist())))
-
-
-def _indexed(items: list, counts: dict | None) -> Block:
-    """The n-grams of the items, or their seeds once it is known in how many documents each is."""
-    grams, owner, place = [np.zeros(0, np.uint64)], [[]], [[]]
-    for number, words in enumerate(items):
-        gram = _grams(words)
-        if counts is None:
-            chosen = range(len(gram))
-        else:
-            often = [counts[g] for g in gram.tolist()]
-            chosen = sorted(
-                {
-                    min(range(at, min(at + SPACING, len(gram))), key=often.__getitem__)
-                    for at in range(max(1, len(gram) - SPACING + 1) if len(gram) else 0)
-                }
-            )
-        grams.append(gram[list(chosen)])
-        owner.append([number] * len(chosen))
-        place.append(list(chosen))
-    grams = np.concatenate(grams)
+        block = _indexed(_hashed(texts, _Hashes()))
+        if len(block.grams):
+            yield table.column("id").chunk(0), block
+
+
+def _indexed(items: list) -> Block:
+    parts = [np.unique(_grams(words)) for words in items]
+    grams = np.concatenate(parts)
+    owner = np.repeat(np.arange(len(items)), [len(part) for part in parts])
     order = np.argsort(grams, kind="stable")
     distinct, first = np.unique(grams[order], return_index=True)
-    flat = lambda parts: np.array([x for part in parts for x in part], np.int64)[order]
-    return Block(items, distinct, np.append(first, len(grams)), flat(owner), flat(place))
+    return Block(items, [np.unique(words) for words in items], distinct, np.append(first, len(grams)), owner[order])
 
 
 class _Hashes(dict):
@@ -214,7 +197,7 @@ def _chunks(texts: pa.Array) -> Iterator[list[bytes]]:
 
 
 def _hits(texts: pa.Array, block: Block):
-    """For chunks of texts: their words, and text, place and number of every known n-gram."""
+    """For chunks of texts: their words, and text and number of every known n-gram, by text."""
     memo = _Hashes()
     flags = np.zeros(1 << _FILTER_BITS, bool)
     shift = np.uint64(64 - _FILTER_BITS)
@@ -231,77 +214,64 @@ def _hits(texts: pa.Array, block: Block):
         number = np.searchsorted(block.grams, grams[some])
         number = np.minimum(number, len(block.grams) - 1)
         known = block.grams[number] == grams[some]
-        yield words, owner[some[known]], place[some[known]], number[known]
-
-
-def _document_counts(rows: DataFrame, block: Block) -> np.ndarray:
-    """In how many rows each n-gram of the block is."""
-    shared = rows.sparkSession.sparkContext.broadcast(block)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = shared.value
-        total = np.zeros(len(block.grams), np.int64)
-        for rows in batches:
-            for _, owner, _, number in _hits(rows.column(0), block):
-                once = np.unique(owner * len(total) + number) % len(total)
-                total += np.bincount(once, minlength=len(total))
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["gram", "n"])
-
-    counted = rows.select("text").mapInArrow(count, "gram long, n long").groupBy("gram")
-    found = counted.agg(F.sum("n").alias("n")).toArrow()  # a row per n-gram of the block at most
-    out = np.zeros(len(block.grams), np.int64)
-    out[found.column(0).to_numpy()] = found.column(1).to_numpy()
-    return out
+        yield words, owner[some[known]], number[known]
 
 
 def _copies(texts: pa.Array, block: Block) -> Iterator[list[tuple]]:
     """For each text: item number, score, start and end of the best copy of each item."""
     seen: dict = {}  # passages that many rows share are aligned once
-    for words, owner, place, number in _hits(texts, block):
+    for words, owner, number in _hits(texts, block):
         found: list[dict] = [{} for _ in words]
-        windows: dict = {}
-        for text, at, gram in zip(owner.tolist(), place.tolist(), number.tolist()):
-            for k in range(block.first[gram], block.first[gram + 1]):
-                item = int(block.item[k])
-                size = len(block.items[item])
-                begin, slack = at - int(block.place[k]), size // 4 + 2
-                windows.setdefault((text, item), []).append((begin - slack, begin + size + slack))
-        for (text, item), spans in windows.items():
-            for begin, end in _merged(spans, len(words[text])):
-                passage = words[text][begin:end]
-                key = (item, passage.tobytes())
-                if key not in seen:
-                    if len(seen) >= _MEMO // 16:
-                        seen.clear()
-                    seen[key] = _judged(block.items[item], passage)
-                if seen[key] is not None:
-                    score, a, b = seen[key]
-                    best = found[text].get(item)
-                    if best is None or score > best[0]:
-                        found[text][item] = (score, begin + a, begin + b)
+        ends = np.searchsorted(owner, np.arange(len(words) + 1))
+        for text in np.unique(owner).tolist():
+            grams = np.unique(number[ends[text] : ends[text + 1]]).tolist()
+            items = np.unique(np.concatenate([block.item[block.first[g] : block.first[g + 1]] for g in grams]))
+            for item in items.tolist():
+                need = _needed(block.items[item])
+                for begin, end in _passages(block.known[item], words[text], need):
+                    passage = words[text][begin:end]
+                    key = (item, passage.tobytes())
+                    if key not in seen:
+                        if len(seen) >= _MEMO // 16:
+                            seen.clear()
+                        seen[key] = _judged(block.items[item], passage)
+                    if seen[key] is not None:
+                        score, a, b = seen[key]
+                        best = found[text].get(item)
+                        if best is None or score > best[0]:
+                            found[text][item] = (score, begin + a, begin + b)
         for copies in found:
-            yield [(item, *copy) for item, copy in sorted(copies.items())]
+            yield [(item, *copy) for item, copy in copies.items()]
+
+
+def _passages(known: np.ndarray, text: np.ndarray, need: float) -> Iterator[tuple[int, int]]:
+    """Passages of the text outside of which no alignment with the item scores ``need``.
+
+    An alignment scores no more than the sum over its words of the text, ``MATCH`` for each that
+    the item has at all. The best one sums to more than zero from its first word to any other,
+    so it is within one stretch between two places where the running sum, held at zero or more,
+    is zero.
+    """
+    place = np.minimum(np.searchsorted(known, text), len(known) - 1)
+    total = np.zeros(len(text) + 1, np.int64)
+    np.cumsum(np.where(known[place] == text, MATCH, max(OTHER, GAP)), out=total[1:])
+    total -= np.minimum.accumulate(total)
+    enough = np.flatnonzero(total >= need)
+    if len(enough):
+        zeros = np.append(np.flatnonzero(total == 0), len(text))
+        for k in np.unique(np.searchsorted(zeros, enough)).tolist():
+            yield int(zeros[k - 1]), int(zeros[k])
 
 
-def _merged(spans: list, length: int) -> Iterator[tuple[int, int]]:
-    begin, end = None, None
-    for a, b in sorted(spans):
-        a, b = max(a, 0), min(b, length)
-        if begin is None:
-            begin, end = a, b
-        elif a <= end:
-            end = max(end, b)
-        else:
-            yield begin, end
-            begin, end = a, b
-    yield begin, end
+def _needed(item: np.ndarray) -> float:
+    """Least score of a copy of the item."""
+    return MATCH * min(SHARE * len(item), RUN_WORDS)
 
 
 def _judged(item: np.ndarray, passage: np.ndarray) -> tuple[float, int, int] | None:
     """Score, start and end of the best alignment if it makes the passage a copy."""
     score, i, j = align(item, passage)
-    if score < MATCH * min(SHARE * len(item), RUN_WORDS):
+    if score < _needed(item):
         return None
     _, _, back = align(item[: i + 1][::-1], passage[: j + 1][::-1])
     return score / (MATCH * len(item)), j - back, j + 1

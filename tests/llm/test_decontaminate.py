@@ -91,3 +91,41 @@ def test_nulls_empty_long_repeated(spark):
     assert contaminated(docs.limit(0), items).count() == 0
     assert contaminated(docs, items.limit(0)).count() == 0
     assert without_copies(docs, items.limit(0)).count() == 6
+
+
+def test_every_surviving_ngram_is_a_seed(spark):
+    draw = random.Random(11)
+    vocabulary = [f"v{i}" for i in range(3000)] + ["the", "of", "and"] * 300
+    texts = [[draw.choice(vocabulary) for _ in range(40)] for _ in range(24)]
+    rows, edited = [], set()
+    for n, text in enumerate(texts):
+        copy = list(text)
+        for at in range(n % 3, 40, 4 + n % 2):
+            copy[at] = f"other{n}x{at}"
+        body = [draw.choice(vocabulary) for _ in range(200)]
+        rows.append((n, " ".join(body[:100] + copy + body[100:])))
+        edited.add((n, n))
+        if n % 4 > 1:  # an exact copy elsewhere
+            rows.append((100 + n, " ".join(body[50:] + text)))
+    # Words put in between, more than a quarter of the item's, and words before all n-grams.
+    rows.append((200, " ".join(texts[0][:9] + ["more"] * 15 + texts[0][9:10] + texts[0][12:13] + texts[0][14:20])))
+    # All its n-grams are in many documents.
+    rows += [(300 + k, " ".join(texts[1][3 * (k % 9) : 3 * (k % 9) + 5])) for k in range(90)]
+
+    code = {}
+    numbers = lambda text: np.array([code.setdefault(w, len(code)) for w in words(text)], np.int64)
+    grams = lambda x: {tuple(x[i : i + 3]) for i in range(len(x) - 2)}
+    want = set()
+    for row, text in rows:
+        for item, item_words in enumerate(texts):
+            a, b = numbers(" ".join(item_words)), numbers(text)
+            score = decontaminate.align(a, b)[0]
+            if grams(a) & grams(b) and score >= 2 * min(0.6 * len(a), 13):
+                want.add((row, item, score / (2 * len(a))))
+    assert edited <= {w[:2] for w in want}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "item_id long, text string")
+    for size in (200_000, 150):
+        assert {tuple(r)[:3] for r in contaminated(docs, items, block_words=size).collect()} == want
+    kept = {r.doc_id for r in without_copies(docs, items).collect()}
+    assert kept == {row for row, _ in rows} - {w[0] for w in want}
