@@ -15,6 +15,7 @@ goes to all tasks, and every block meets every document.
 from __future__ import annotations
 
 import sys
+import unicodedata
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -60,8 +61,8 @@ def contaminated(
     """``id``, ``item_id``, ``score``, ``start`` and ``end`` of each copy of an item in a row.
 
     ``score`` is the alignment's as a share of the item's best, ``start`` and ``end`` count the
-    row's words (letters and digits between anything ASCII else, compared in lower case). Of
-    several copies in a row the best is returned, the first if equal. A row repeated is
+    row's words (letters, marks and numbers of any script between anything else, compared in
+    lower case). Of several copies in a row the best is returned, the first if equal. A row repeated is
     searched each time; null ids are returned as such. Null or empty texts and items, and items
     of less than ``SEED_WORDS`` words, have no copies; nor is a row compared with an item that it
     shares no ``SEED_WORDS`` words in a row with. Equal items are all returned. Other
@@ -125,7 +126,7 @@ def _keeper(rows: DataFrame, block: Block):
 
 def _blocks(items: DataFrame, item_id: str, item_text: str, block_words: int):
     """Blocks of items with the ids of each."""
-    words = F.size(F.split(F.coalesce(F.col(item_text), F.lit("")), r"\s+"))
+    words = F.size(F.split(F.coalesce(F.col(item_text), F.lit("")), r"[^\p{L}\p{M}\p{N}]+"))
     total = items.agg(F.sum(words)).first()[0] or 0
     blocks = -(-total // block_words)
     for number in range(blocks):
@@ -167,10 +168,19 @@ class _Hashes(dict):
 _PARTS = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
 
 
+def _other_parts(text: str) -> list[str]:
+    """The other characters of the text that part words: all but letters, marks and numbers."""
+    return [c for c in set(text) if c > "\x7f" and unicodedata.category(c)[0] not in "LMN"]
+
+
 def _hashed(texts: list[bytes], memo: _Hashes) -> list[np.ndarray]:
     out = []
     for text in texts:
-        words = text.decode("utf-8", "replace").lower().encode().translate(_PARTS).split()
+        text = text.decode("utf-8", "replace").lower()
+        if not text.isascii():
+            for part in _other_parts(text):
+                text = text.replace(part, " ")
+        words = text.encode().translate(_PARTS).split()
         out.append(np.fromiter(map(memo.__getitem__, words), np.uint64, len(words)))
     return out
 

@@ -129,3 +129,17 @@ def test_every_surviving_ngram_is_a_seed(spark):
         assert {tuple(r)[:3] for r in contaminated(docs, items, block_words=size).collect()} == want
     kept = {r.doc_id for r in without_copies(docs, items).collect()}
     assert kept == {row for row, _ in rows} - {w[0] for w in want}
+
+
+def test_words_are_parted_at_every_script_s_spaces_and_marks_of_punctuation(spark):
+    plain = "alpha beta gamma délta epsilon zeta eta thëta iota kappa lambda my"
+    indic = "हिन्दी में लिखा हुआ एक छोटा सा वाक्य यहाँ है"
+    web = " ".join(plain.split())
+    quoted = "—".join(f"“{word}”" for word in plain.split())
+    rows = [(1, f"before {web}　after"), (2, quoted), (3, plain.upper()), (4, "…".join(indic.split())), (5, "none")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for texts in ((plain, indic), (web, indic), (quoted, " ".join(indic.split()))):
+        items = spark.createDataFrame(list(enumerate(texts)), "item_id int, text string")
+        found = {(r.doc_id, r.item_id, r.score, r.start, r.end) for r in contaminated(docs, items).collect()}
+        assert found == {(1, 0, 1.0, 1, 13), (2, 0, 1.0, 0, 12), (3, 0, 1.0, 0, 12), (4, 1, 1.0, 0, 10)}
+        assert [r.doc_id for r in without_copies(docs, items).collect()] == [5]
