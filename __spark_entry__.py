@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 from importlib import import_module
-from importlib.util import find_spec
 
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -470,7 +470,7 @@ def job_statistics_top_rated(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def job_lists(spark: SparkSession, sf: str) -> DataFrame:
-    """What must hold of the stored lists, and that no better product was left out."""
+    """What must hold of the stored lists."""
     store = _loaded(spark, sf)
     jobs.product_lists(spark, store, seed=SEED)
     lists = read_table(spark, store, "UserRecs", schemas.USER_RECS)
@@ -485,9 +485,14 @@ def film_ratings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _training_data():
-    """Modules of the training-data subpackage and its pipeline, where they are installed."""
-    names = ["starledger.llm.queries"] if find_spec("starledger.llm") else []
-    return [import_module(name) for name in [*names, "corpus_pipeline"] if find_spec(name)]
+    """The training-data subpackage's queries and its pipeline, if they can be imported."""
+    modules = []
+    for name in ("starledger.llm.queries", "corpus_pipeline"):
+        try:
+            modules.append(import_module(name))
+        except ImportError as missing:
+            warnings.warn(f"queries of {name} are left out: {missing}", stacklevel=2)
+    return modules
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

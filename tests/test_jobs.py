@@ -87,7 +87,7 @@ def test_a_bad_line_stops_a_strict_load_and_keeps_the_tables(spark, sources, tmp
 def test_command_line(spark, sources, tmp_path):
     store = ["--root", str(tmp_path / "store"), "--format", "orc", "--option", "compression=zlib"]
     main([*store, "load", *sources, "--mode", "drop", "--no-trim"])
-    main([*store, "statistics", "--text-month", "--single-file"])
+    main([*store, "statistics", "--text-month", "--files", "1"])
     main([*store, "product-lists", "-n", "1", "--unfiltered", "--iterations", "2"])
     read = lambda name, schema: read_table(
         spark, Store(str(tmp_path / "store"), "orc"), name, schema
