@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from starledger.llm.common import table
 from starledger.llm import bpe, quality_model, quality_rules
 from starledger.llm.decontaminate import contaminated
+from starledger.llm.filter_audit import audit, filter_failures
 from starledger.llm.licenses import scan_licenses
 from starledger.llm.secret_scan import BASE, RULES, find_secrets, span_text
 from starledger.llm.simhash import near_duplicates
@@ -106,6 +107,14 @@ def op7_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("doc_id", *quality_rules.BASE, "base_failed", "kept")
 
 
+def op13_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    failures = filter_failures(table(spark, sf, "documents"))
+    labels = table(spark, sf, "labels").where("doc_id is not null").groupBy("doc_id").agg(
+        F.max(F.col("quality") == 1).alias("good"), F.max(F.col("toxic") == 1).alias("toxic")
+    )
+    return audit(failures.join(labels, failures["id"] == labels["doc_id"], "left"))
+
+
 _OP1 = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
 d AS (SELECT *, sha1(body) AS hex, max(page_id) OVER (PARTITION BY body) AS kept FROM p),
@@ -145,9 +154,54 @@ SELECT any_value(d.doc_id) AS doc_id, count(*) FILTER (ord = 0) AS n_assign,
 FROM d LEFT JOIN s USING (copy) GROUP BY copy"""
 
 
+_OP13 = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS part,
+  regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+l AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+  CASE WHEN len(words) < 50 THEN 'A' ELSE '' END
+  || CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 'B' ELSE '' END
+  || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) THEN 'C' ELSE '' END
+  || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+  || CASE WHEN d.doc_id > min(d.doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END AS failed
+  FROM d LEFT JOIN l USING (doc_id)),
+n AS (SELECT part, failed, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f GROUP BY ALL),
+c AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM c a, c b, c, c d, c e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT filter_order, CAST(step AS INT) AS step, filter_order[step] AS filter,
+  '[' || filter_order[1:step - 1] || '-]' AS before FROM o, range(1, 6) r(step)),
+t AS (SELECT part, filter_order, step, filter,
+  sum(n) FILTER (NOT regexp_matches(failed, before) AND NOT contains(failed, filter)) AS kept,
+  sum(n) FILTER (NOT regexp_matches(failed, before) AND contains(failed, filter)) AS removed,
+  sum(n) FILTER (regexp_matches(failed, before) AND contains(failed, filter)) AS redundant,
+  sum(n) FILTER (failed = filter) AS unique_fails,
+  sum(good) FILTER (NOT regexp_matches(failed, before) AND contains(failed, filter)) AS good_lost,
+  sum(toxic) FILTER (NOT regexp_matches(failed, before) AND contains(failed, filter)) AS toxic_lost
+  FROM n, s GROUP BY ALL)
+SELECT part, filter_order, step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+  CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+  CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+  CAST(coalesce(sum(removed) OVER (PARTITION BY part, filter), 0) AS BIGINT) AS shapley
+FROM t"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in (op1_warc, op2_simhash, op3_substring, op4_url_filter, op5_licenses, op6_quality_model, op7_quality_rules, op8_bpe, op9_decontaminate, op10_secret_scan)}
+    found = (
+        op1_warc,
+        op2_simhash,
+        op3_substring,
+        op4_url_filter,
+        op5_licenses,
+        op6_quality_model,
+        op7_quality_rules,
+        op8_bpe,
+        op9_decontaminate,
+        op10_secret_scan,
+        op13_filter_audit,
+    )
+    return {query.__name__: query for query in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": _OP1, "op10_secret_scan": _op10()}
+    return {"op1_warc": _OP1, "op10_secret_scan": _op10(), "op13_filter_audit": _OP13}

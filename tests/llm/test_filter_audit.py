@@ -1,0 +1,97 @@
+from itertools import permutations
+from math import factorial
+
+import pytest
+from pyspark.sql import functions as F
+
+from oracle import connect, difference
+from starledger.llm import filter_audit, queries
+from starledger.llm.filter_audit import audit, filter_failures
+
+SF = "/root/testdata/sf0.001"
+
+
+def plain_failures(rows):
+    """(part, failed letters) of (id, text, part)."""
+    out = []
+    for id, text, part in rows:
+        text = text or ""
+        words = text.encode().split()
+        failed = "A" if len(words) < 50 else ""
+        failed += "B" if 100 * len(set(words)) < 65 * len(words) else ""
+        failed += "C" if 100 * sum("A" <= c <= "Z" for c in text) > 5 * len(text) else ""
+        failed += "D" if set(text) & set("#$%&*|") else ""
+        copy = any(i is not None and id is not None and i < id and (t or "") == text for i, t, _ in rows)
+        out.append((id, part or "", failed + ("E" if copy else "")))
+    return out
+
+
+def plain_audit(failures):
+    """Filters applied one after the other, for (part, failed letters, good, toxic)."""
+    rows, shapley = {}, {}
+    for part in {f[0] for f in failures}:
+        for order in permutations("ABCDE"):
+            left = [f for f in failures if f[0] == part]
+            gone = []
+            for step, name in enumerate(order, 1):
+                removed = [f for f in left if name in f[1]]
+                left = [f for f in left if name not in f[1]]
+                rows[part, "".join(order), step] = [
+                    len(left),
+                    len(removed),
+                    sum(name in f[1] for f in gone),
+                    sum(f[0] == part and f[1] == name for f in failures),
+                    sum(f[2] for f in removed),
+                    sum(f[3] for f in removed),
+                ]
+                gone += removed
+                shapley[part, name] = shapley.get((part, name), 0) + len(removed)
+    return {(*key, *row, shapley[key[0], key[1][key[2] - 1]]) for key, row in rows.items()}
+
+
+def test_query_equals_sql(spark):
+    for folder in (SF, "/root/testdata/sf0.01"):
+        df = queries.op13_filter_audit(spark, folder)
+        assert difference(df, connect(folder), queries.oracle_sql()["op13_filter_audit"]) is None
+
+
+def test_query_equals_filters_one_after_the_other(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "source").collect()
+    labels = {r.doc_id: (r.quality == 1, r.toxic == 1) for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    failures = [(part, failed, *labels.get(id, (False, False))) for id, part, failed in plain_failures(docs)]
+    assert set(map(tuple, queries.op13_filter_audit(spark, SF).collect())) == plain_audit(failures)
+
+
+def test_nulls_empty_long_ties_repeated_clashing(spark):
+    long = " ".join(f"w{i}" for i in range(200_000))
+    prose = " ".join(f"word{i}" for i in range(60))
+    rows = [
+        (1, None, "a"), (2, "", None), (3, "", "a"), (None, "", "a"), (4, prose, "a"), (4, prose, "b"), (5, prose, None),
+        (6, long, "b"), (6, long, "b"), (7, long + " #", "b"), (8, "A" + prose * 3, "b"), (9, "é" * 10 + "A", ""),
+        (10, "x " * 60, "a"), (-1, prose + " é", "a"), (None, None, None), (11, prose.upper(), "a"), (12, prose.upper(), "a"),
+    ]
+    docs = spark.createDataFrame([(*r, 0, "x", "y") for r in rows],
+                                 "doc_id long, text string, source string, failed int, part string, digest string")
+    found = filter_failures(docs)
+    letters = lambda bits: "".join(name for bit, name in enumerate("ABCDE") if bits >> bit & 1)
+    got = [(r.id, r.part, letters(r.failed)) for r in found.collect()]
+    assert sorted(got, key=str) == sorted(plain_failures(rows), key=str)
+    marked = found.withColumn("good", F.col("id") % 2 == 0).withColumn("toxic", F.lit(None).cast("boolean"))
+    want = plain_audit([(part, failed, id is not None and id % 2 == 0, False) for id, part, failed in plain_failures(rows)])
+    assert set(map(tuple, audit(marked).collect())) == want
+    assert filter_failures(docs.limit(0)).count() == 0 and audit(marked.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        audit(marked, "AAB")
+
+
+def test_paths_are_counted(spark):
+    for n in range(1, 7):
+        reach, leave = filter_audit.order_counts(n)
+        assert all(reach[s] == factorial(s.bit_count()) for s in range(1 << n))
+        assert all(leave[s] == factorial(n - s.bit_count()) for s in range(1 << n))
+    # Other filters: a row that fails both is removed by whichever comes first.
+    rows = [("p", 3, True, None)] * 4 + [("p", 1, None, True), ("p", None, True, True)]
+    got = audit(spark.createDataFrame(rows, "part string, failed int, good boolean, toxic boolean"), "xy").collect()
+    assert {tuple(r)[1:] for r in got} == {
+        ("xy", 1, 1, 5, 0, 1, 4, 1, 6), ("xy", 2, 1, 0, 4, 0, 0, 0, 4), ("yx", 1, 2, 4, 0, 0, 4, 0, 4), ("yx", 2, 1, 1, 4, 1, 0, 1, 6),
+    }
