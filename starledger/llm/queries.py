@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starledger.llm.common import table
 from starledger.llm import bpe, quality_model, quality_rules
+from starledger.llm.conversations import damage, repair
 from starledger.llm.decontaminate import contaminated
 from starledger.llm.filter_audit import audit, filter_failures
 from starledger.llm.licenses import scan_licenses
@@ -107,6 +108,10 @@ def op7_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("doc_id", *quality_rules.BASE, "base_failed", "kept")
 
 
+def op12_conversations(spark: SparkSession, sf: str) -> DataFrame:
+    return repair(damage(table(spark, sf, "conversations")), copies="copies")
+
+
 def op13_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
     failures = filter_failures(table(spark, sf, "documents"))
     labels = table(spark, sf, "labels").where("doc_id is not null").groupBy("doc_id").agg(
@@ -154,6 +159,51 @@ SELECT any_value(d.doc_id) AS doc_id, count(*) FILTER (ord = 0) AS n_assign,
 FROM d LEFT JOIN s USING (copy) GROUP BY copy"""
 
 
+#: Damage by a CRC-32 in bits; then every way to edit a turn from every state, turn by turn, of
+#: which the least by cost and audit is kept.
+_OP12 = """
+WITH RECURSIVE raw AS (SELECT dense_rank() OVER (ORDER BY conv_id) AS conv, conv_id, turn, coalesce(role, ' ') AS role,
+  coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS said
+  FROM conversations),
+kinds AS (SELECT *, xor(4294967295, list_reduce(
+  list_transform(range(0, length(said) + 1), lambda i: CASE WHEN i = 0 THEN 4294967295 ELSE CAST(ascii(said[i]) AS BIGINT) END),
+  lambda crc, byte: list_reduce([xor(crc, byte), 1, 2, 3, 4, 5, 6, 7, 8],
+    lambda c, step: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)))) % 20 AS kind FROM raw),
+damaged AS (SELECT conv, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+  CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM kinds, range(2) copy(n) WHERE kind <> 0 AND (n = 0 OR kind = 3)),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
+judged AS (SELECT *, left(role, 1) AS letter, lag(left(role, 1)) OVER (PARTITION BY conv ORDER BY i) AS before,
+  CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'blank'
+    WHEN i > min(i) OVER (PARTITION BY conv, role, text) THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') THEN 'truncated' ELSE '' END AS fault FROM numbered),
+inserts(a, b, added, tag, put) AS (VALUES (0, 0, 0, '', []), (1, 1, 0, '', []), (2, 2, 0, '', []), (3, 3, 0, '', []),
+  (0, 2, 2, 'I', ['user:']), (1, 2, 2, 'I', ['user:']), (3, 2, 2, 'I', ['user:']), (2, 3, 2, 'I', ['assistant:']),
+  (0, 3, 4, 'II', ['user:', 'assistant:']), (1, 3, 4, 'II', ['user:', 'assistant:'])),
+edits(b, c, price, name, letter, becomes) AS (VALUES (0, 0, 3, 'D', NULL, NULL), (1, 1, 3, 'D', NULL, NULL),
+  (2, 2, 3, 'D', NULL, NULL), (3, 3, 3, 'D', NULL, NULL), (0, 1, 0, 'K', 's', NULL), (0, 2, 0, 'K', 'u', NULL),
+  (1, 2, 0, 'K', 'u', NULL), (3, 2, 0, 'K', 'u', NULL), (2, 3, 0, 'K', 'a', NULL), (0, 2, 2, 'R', NULL, 'user'),
+  (1, 2, 2, 'R', NULL, 'user'), (3, 2, 2, 'R', NULL, 'user'), (2, 3, 2, 'R', NULL, 'assistant')),
+paths AS (SELECT DISTINCT conv, CAST(0 AS BIGINT) AS i, 0 AS state, {'cost': 0, 'audit': '', 'out': CAST([] AS VARCHAR[])} AS way FROM raw
+  UNION ALL
+  SELECT p.conv, p.i + 1, e.c, min({'cost': p.way.cost + n.added + e.price + CASE WHEN e.name <> 'D' AND j.fault = 'truncated' THEN 1 ELSE 0 END,
+    'audit': p.way.audit || n.tag || e.name,
+    'out': p.way.out || n.put || CASE WHEN e.name = 'D' THEN [] ELSE [coalesce(e.becomes, j.role) || ':' || j.text] END})
+  FROM paths p JOIN judged j ON j.conv = p.conv AND j.i = p.i + 1 JOIN inserts n ON n.a = p.state JOIN edits e ON e.b = n.b
+  WHERE (e.name = 'D' OR j.fault NOT IN ('blank', 'duplicate')) AND (e.letter IS NULL OR e.letter = j.letter)
+  GROUP BY p.conv, p.i, e.c),
+counts AS (SELECT conv, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+  count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+  count(*) FILTER (fault = 'truncated') AS truncated,
+  count(*) FILTER (before IS NOT NULL AND before || letter NOT IN ('su', 'ua', 'au')) AS illegal FROM judged GROUP BY conv),
+ends AS (SELECT p.conv, min({'cost': p.way.cost + n.added, 'audit': p.way.audit || n.tag, 'out': p.way.out || n.put}) AS way
+  FROM paths p LEFT JOIN counts c ON c.conv = p.conv JOIN inserts n ON n.a = p.state
+  WHERE p.i = coalesce(c.n, 0) AND n.b IN (0, 3) GROUP BY p.conv)
+SELECT r.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(e.way.cost AS BIGINT) AS cost, e.way.audit AS audit,
+  sha256(array_to_string(e.way.out, chr(10))) AS repaired_sha256
+FROM (SELECT DISTINCT conv, conv_id FROM raw) r JOIN ends e ON e.conv = r.conv LEFT JOIN counts c ON c.conv = r.conv"""
+
 _OP13 = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS part,
   regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
@@ -198,10 +248,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_bpe,
         op9_decontaminate,
         op10_secret_scan,
+        op12_conversations,
         op13_filter_audit,
     )
     return {query.__name__: query for query in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": _OP1, "op10_secret_scan": _op10(), "op13_filter_audit": _OP13}
+    return {"op1_warc": _OP1, "op10_secret_scan": _op10(), "op12_conversations": _OP12, "op13_filter_audit": _OP13}
