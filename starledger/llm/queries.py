@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starledger.llm.common import table
-from starledger.llm import bpe, quality_model, quality_rules
+from starledger.llm import bpe, minhash, quality_model, quality_rules
 from starledger.llm.conversations import damage, repair
 from starledger.llm.decontaminate import contaminated
 from starledger.llm.filter_audit import audit, filter_failures
@@ -108,6 +108,10 @@ def op7_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("doc_id", *quality_rules.BASE, "base_failed", "kept")
 
 
+def op11_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf, "documents"), shingle_words=3, percent=85)
+
+
 def op12_conversations(spark: SparkSession, sf: str) -> DataFrame:
     return repair(damage(table(spark, sf, "conversations")), copies="copies")
 
@@ -248,6 +252,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_bpe,
         op9_decontaminate,
         op10_secret_scan,
+        op11_minhash,
         op12_conversations,
         op13_filter_audit,
     )
