@@ -59,7 +59,7 @@ def near_duplicates(
     """``id``, ``n_shingles``, ``component_id`` and ``kept`` of every row.
 
     Rows are linked if their sets of different shingles, of words in lower case (A-Z), have
-    ``percent`` of their union in common. Fewer than ``shingle_words`` words are one shingle; a
+    ``percent`` of their union in common; the bands suit 80 and more, lower ones need more bands. Fewer than ``shingle_words`` words are one shingle; a
     text without words, empty or null, is linked with nothing. Shingles count as equal if
     64 bits of hash are, sets if 128 are. The component is the smallest id that links lead to;
     ``kept`` says that it is the row's own. Repeated rows are repeated, and all kept if their id

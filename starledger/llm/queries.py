@@ -163,6 +163,25 @@ SELECT any_value(d.doc_id) AS doc_id, count(*) FILTER (ord = 0) AS n_assign,
 FROM d LEFT JOIN s USING (copy) GROUP BY copy"""
 
 
+#: All pairs of different sets that share a shingle.
+_OP11 = """
+WITH RECURSIVE w AS (SELECT row_number() OVER () AS copy, doc_id,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+d AS (SELECT copy, doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+  ELSE list_sort(list_distinct(list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i:i + 2], ' ')))) END AS shingles FROM w),
+sets AS (SELECT shingles, len(shingles) AS n, row_number() OVER () AS s FROM d WHERE len(shingles) > 0 GROUP BY shingles),
+e AS (SELECT s, n, unnest(shingles) AS shingle FROM sets),
+links AS (SELECT a.s AS a, b.s AS b FROM e a JOIN e b ON a.shingle = b.shingle AND a.s < b.s
+  AND 100 * a.n >= 85 * b.n AND 100 * b.n >= 85 * a.n
+  GROUP BY a.s, b.s, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT s AS a, s AS b FROM sets UNION SELECT r.a, l.b FROM reach r JOIN both_ways l ON l.a = r.b),
+firsts AS (SELECT s, min(doc_id) AS first FROM d JOIN sets USING (shingles) GROUP BY s),
+classes AS (SELECT r.a AS s, min(f.first) AS component FROM reach r JOIN firsts f ON f.s = r.b GROUP BY r.a)
+SELECT d.doc_id, CAST(len(d.shingles) AS BIGINT) AS n_shingles, CASE WHEN len(d.shingles) = 0 THEN d.doc_id ELSE c.component END AS component_id,
+  coalesce(d.doc_id = CASE WHEN len(d.shingles) = 0 THEN d.doc_id ELSE c.component END, false) AS kept
+FROM d LEFT JOIN sets ON sets.shingles = d.shingles LEFT JOIN classes c ON c.s = sets.s"""
+
 #: Damage by a CRC-32 in bits; then every way to edit a turn from every state, turn by turn, of
 #: which the least by cost and audit is kept.
 _OP12 = """
@@ -260,4 +279,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": _OP1, "op10_secret_scan": _op10(), "op12_conversations": _OP12, "op13_filter_audit": _OP13}
+    return {"op1_warc": _OP1, "op10_secret_scan": _op10(), "op11_minhash": _OP11, "op12_conversations": _OP12, "op13_filter_audit": _OP13}

@@ -4,9 +4,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from oracle import connect, difference
 from starledger.llm import minhash
 from starledger.llm.minhash import near_duplicates
-from starledger.llm.queries import op11_minhash
+from starledger.llm.queries import op11_minhash, oracle_sql
 from tests.llm.test_simhash import groups
 
 SF = "/root/testdata/sf0.001"
@@ -39,6 +40,10 @@ def got(frame):
     return sorted(map(tuple, frame.collect()), key=str)
 
 
+def test_query_equals_sql(spark):
+    assert difference(op11_minhash(spark, SF), connect(SF), oracle_sql()["op11_minhash"]) is None
+
+
 @pytest.mark.parametrize("folder", [SF, "/root/testdata/sf0.01"])
 def test_query_equals_brute_force(spark, folder):
     rows = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
