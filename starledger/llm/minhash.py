@@ -177,16 +177,18 @@ def candidates(signatures: DataFrame, agreement: int, block_rows: int = BLOCK_RO
     shared = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     # Stored, so that its size is known when the join is planned.
     shared = stored(shared, "minhash-buckets")
-    members = signatures.select("key", "signature", F.explode("buckets").alias("bucket")).join(shared, "bucket")
+    # Signatures join the entries that are left: most buckets have one.
+    members = entries.join(shared, "bucket")
     # Block i of a large bucket meets every other block j in group (i, j), i < j, which holds both.
     blocks = F.ceil(F.col("n") / block_rows).cast("long")
     block = F.pmod(F.xxhash64("key"), blocks)
     other = F.explode(F.when(blocks == 1, F.array(F.lit(0).cast("long"))).otherwise(
         F.filter(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda o: o != block)
     ))
-    members = members.select("bucket", "key", "signature", blocks.alias("blocks"), block.alias("block"), other.alias("other"))
+    members = members.select("bucket", "key", blocks.alias("blocks"), block.alias("block"), other.alias("other"))
     pair = F.least("block", "other") * F.col("blocks") + F.greatest("block", "other")
-    members = members.select("bucket", pair.alias("pair"), "key", "signature")
+    members = members.select("bucket", pair.alias("pair"), "key").join(signatures.select("key", "signature"), "key")
+    members = members.select("bucket", "pair", "key", "signature")
     grouped = members.repartition("bucket", "pair").sortWithinPartitions("bucket", "pair")
     similar = lambda run: _similar(run[0], run[1], agreement)
     found = grouped.mapInArrow(lambda batches: _by_run(batches, 2, similar), "a binary, b binary")
