@@ -2,8 +2,8 @@
 
 Each different set of shingles gets the minima of many universal hash functions. Sets that share
 all minima of a band are candidates; those whose signatures agree too little are dropped, and
-connected components of the rest bring the sets that have to be compared together, so each set
-of shingles is shuffled once and only if it has a candidate. There links are confirmed on
+connected components of the rest bring the sets that have to be compared together, so a set of
+shingles is shuffled once, and hardly any without a candidate. There links are confirmed on
 the whole sets, and components of the links, by alternating stars, are the result.
 
 Texts with equal sets are one entry, so exact copies cost nothing further. Neither candidates
@@ -41,6 +41,8 @@ BLOCK_ROWS, BLOCK_SHINGLES = 1 << 15, 1 << 21
 _SEED = 42
 _PIECE = 2048
 _MEMO = 1 << 19
+#: Bits that tell which sets have candidates: 8 MB.
+_FILTER_BITS = 1 << 26
 #: One of so many sets of a component in blocks goes to each block.
 _SHARED = 64
 
@@ -68,7 +70,7 @@ def near_duplicates(
     """
     rows = docs.select(F.col(id).alias("id"), as_bytes(text).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, n_shingles long, key binary, shingles binary, signature binary, buckets array<long>"
+    schema = f"id {kind}, n_shingles long, key binary, signature binary, buckets array<long>"
     sets = rows.mapInArrow(lambda batches: _sets(batches, shingle_words, bands, band_rows), schema)
     sets = stored(sets, "minhash-sets")
     one = sets.where("key is not null").groupBy("key").agg(
@@ -79,7 +81,8 @@ def near_duplicates(
     agreement = int((percent / 100 - MARGIN) * bands * band_rows)
     near = components(candidates(one, agreement, block_rows))
     near = stored(near.withColumnsRenamed({"node": "key", "root": "near"}), "minhash-candidates")
-    linked = components(_confirmed(sets, one, near, percent, block_shingles))
+    bodies = _bodies(rows, near, shingle_words)
+    linked = components(_confirmed(bodies, one, near, percent, block_shingles))
     rooted = one.join(linked, one["key"] == linked["node"], "left").select(
         "key", "first", F.coalesce("root", "key").alias("root")
     )
@@ -105,43 +108,79 @@ class _Hashes(dict):
         return value
 
 
-def _sets(batches: Iterator[pa.RecordBatch], shingle_words: int, bands: int, band_rows: int):
-    from xxhash import xxh3_128_digest
-
+def _sets(batches: Iterator[pa.RecordBatch], shingle_words: int, bands: int, band_rows: int) -> Iterator[pa.RecordBatch]:
     draw = np.random.Generator(np.random.PCG64(_SEED))
     odd = lambda n: draw.integers(0, 1 << 64, n, np.uint64) | np.uint64(1)
-    word_factors, factors, band_factors = odd(shingle_words), odd(bands * band_rows), odd(band_rows)
+    factors, band_factors = odd(bands * band_rows), odd(band_rows)
     offsets = draw.integers(0, 1 << 64, bands * band_rows, np.uint64)
     band_names = draw.integers(0, 1 << 64, bands, np.uint64)
+    for ids, found in _pieces(batches, shingle_words):
+        signatures, buckets = [], []
+        for one in found:
+            if not len(one):
+                signatures.append(None)
+                buckets.append(None)
+                continue
+            least = _minima(one, factors, offsets)
+            signatures.append(least.astype(np.uint8).tobytes())
+            banded = least.reshape(bands, band_rows)
+            buckets.append((_mixed((banded * band_factors).sum(axis=1)) + band_names).view(np.int64))
+        yield pa.RecordBatch.from_arrays(
+            [ids, pa.array(map(len, found), pa.int64()), pa.array(map(_key, found), pa.binary()),
+             pa.array(signatures, pa.binary()), pa.array(buckets, pa.list_(pa.int64()))],
+            ["id", "n_shingles", "key", "signature", "buckets"],
+        )
+
+
+def _pieces(batches: Iterator[pa.RecordBatch], shingle_words: int) -> Iterator[tuple[pa.Array, list]]:
+    """Ids and sets of shingles of a few rows at a time."""
     memo = _Hashes()
     for rows in batches:
         for at in range(0, rows.num_rows, 256):
             piece = rows.slice(at, 256)
-            counts, keys, shingles, signatures, buckets = [], [], [], [], []
-            for text in piece.column(1):
-                found = _shingles((text.as_py() or b"").lower().split(), word_factors, memo)
-                counts.append(len(found))
-                if not len(found):
-                    for column in (keys, shingles, signatures, buckets):
-                        column.append(None)
-                    continue
-                packed = found.tobytes()
-                least = _minima(found, factors, offsets)
-                keys.append(xxh3_128_digest(packed))
-                shingles.append(packed)
-                signatures.append(least.astype(np.uint8).tobytes())
-                banded = least.reshape(bands, band_rows)
-                buckets.append((_mixed((banded * band_factors).sum(axis=1)) + band_names).view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [piece.column(0), pa.array(counts, pa.int64()), pa.array(keys, pa.binary()), pa.array(shingles, pa.binary()),
-                 pa.array(signatures, pa.binary()), pa.array(buckets, pa.list_(pa.int64()))],
-                ["id", "n_shingles", "key", "shingles", "signature", "buckets"],
-            )
-
-
-def _shingles(words: list[bytes], factors: np.ndarray, memo: _Hashes) -> np.ndarray:
+            texts = ((text.as_py() or b"").lower().split() for text in piece.column(1))
+            yield piece.column(0), [_shingles(words, shingle_words, memo) for words in texts]
+
+
+def _key(shingles: np.ndarray) -> bytes | None:
+    from xxhash import xxh3_128_digest
+
+    return xxh3_128_digest(shingles.tobytes()) if len(shingles) else None
+
+
+def _bodies(rows: DataFrame, near: DataFrame, shingle_words: int) -> DataFrame:
+    """``key`` and ``shingles`` of all rows whose key may be in ``near``, and of few others.
+
+    Sets are made of the texts once more, as that is less than storing them. Which keys there
+    are is told to the tasks by a table of bits, whose size does not grow; where it is full, all
+    sets go into the join that follows.
+    """
+    number = F.conv(F.hex(F.substring("key", 1, 4)), 16, 10).cast("long") % _FILTER_BITS
+    bit = F.expr("shiftleft(1L, cast(number % 64 as int))")
+    words = near.select(number.alias("number")).groupBy(F.floor(F.col("number") / 64).alias("word"))
+    table = words.agg(F.bit_or(bit).alias("bits")).toArrow()
+    bits = np.zeros(_FILTER_BITS // 64, np.int64)
+    bits[table.column("word").to_numpy()] = table.column("bits").to_numpy()
+    shared = rows.sparkSession.sparkContext.broadcast(bits.view(np.uint8))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        for _, found in _pieces(batches, shingle_words):
+            keys, shingles = [], []
+            for one in found:
+                key = _key(one)
+                if key is not None:
+                    number = int.from_bytes(key[:4], "big") % _FILTER_BITS
+                    if known[number >> 3] >> (number & 7) & 1:
+                        keys.append(key)
+                        shingles.append(one.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(shingles, pa.binary())], ["key", "shingles"])
+
+    return rows.mapInArrow(work, "key binary, shingles binary")
+
+
+def _shingles(words: list[bytes], n: int, memo: _Hashes) -> np.ndarray:
     """The different shingles as sorted hashes."""
-    n = len(factors)
     if len(words) < n:
         words = [b" ".join(words)] if words else []
         n = 1
@@ -149,8 +188,8 @@ def _shingles(words: list[bytes], factors: np.ndarray, memo: _Hashes) -> np.ndar
     count = max(0, len(words) - n + 1)
     total = np.zeros(count, np.uint64)
     for k in range(n):
-        total += hashes[k : k + count] * factors[k]
-    return np.unique(_mixed(total))
+        total = _mixed(total + hashes[k : k + count])
+    return np.unique(total)
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:
@@ -195,16 +234,17 @@ def candidates(signatures: DataFrame, agreement: int, block_rows: int = BLOCK_RO
     return found.distinct()
 
 
-def _confirmed(sets: DataFrame, one: DataFrame, near: DataFrame, percent: int, block_shingles: int) -> DataFrame:
+def _confirmed(bodies: DataFrame, one: DataFrame, near: DataFrame, percent: int, block_shingles: int) -> DataFrame:
     """Links ``a``, ``b`` confirmed on whole sets that connect all sets that links connect.
 
-    ``near`` has the ``key`` of each set with a candidate, and the component of candidates.
+    ``bodies`` has the ``shingles`` of each ``key``, copies included; ``near`` has the ``key`` of
+    each set with a candidate, and the component of candidates.
     """
     sized = near.join(one.select("key", "n_shingles"), "key")
     blocks = F.ceil(F.sum("n_shingles") / block_shingles).cast("long")
     blocks = stored(sized.groupBy("near").agg(blocks.alias("blocks")), "minhash-blocks")
     placed = near.join(blocks, "near").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")))
-    bodies = sets.where("key is not null").select("key", "shingles").join(placed, "key")
+    bodies = bodies.join(placed, "key")
     # Copies combine before the shuffle. Hot components are split by block.
     bodies = bodies.groupBy("near", "blocks", "block", "key").agg(F.first("shingles").alias("shingles"))
     large = placed.where("blocks > 1")
