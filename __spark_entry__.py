@@ -365,6 +365,12 @@ def similar_products(spark: SparkSession, sf: str) -> DataFrame:
     return _flat(lists, "productId")
 
 
+def similar_products_in_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """The same lists with cells so small that there are many pivots."""
+    factors = factors_from_embeddings(spark, sf, "productId")
+    return _flat(similar_items(factors, n=10, products_per_cell=40), "productId")
+
+
 def als_users(spark: SparkSession, sf: str) -> DataFrame:
     return train(ratings_from_orders(spark, sf), seed=SEED).user_factors.select("userId")
 
@@ -536,6 +542,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             matched_lists_sharded,
             matched_lists_pruned,
             similar_products,
+            similar_products_in_cells,
             als_users,
             als_items,
             als_scores,
@@ -723,6 +730,7 @@ def oracle_sql() -> dict[str, str]:
         "matched_lists_unfiltered": _matched(400, ""),
         "matched_lists_sharded": matched,
         "similar_products": _SIMILAR,
+        "similar_products_in_cells": _SIMILAR,
         "als_users": f'WITH {_RATINGS} SELECT DISTINCT "userId" FROM ratings',
         "als_items": f'WITH {_RATINGS} SELECT DISTINCT "productId" FROM ratings',
         "als_scores": f"""

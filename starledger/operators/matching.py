@@ -1,16 +1,20 @@
 """The best products of every user by dot product, without forming the pairs.
 
-Users are split into blocks and products into shards of bounded size; every block meets
-every shard in one task, which keeps only the best ``n`` products of each of its users.
-So what is shuffled is the two factor tables, copied once per shard and per block, and,
-with more than one shard, the list of each user in each shard.
+Products are split into shards of bounded size by the length of their vectors, longest first,
+and users into blocks; a block meets a shard in one task, which keeps only the best ``n`` products
+of each of its users. A user's n-th best score is handed on to the next shards, and as no score
+exceeds the product of the two lengths, a user whose n-th best no shorter product can reach is
+settled and sent to no further shard. Shards are searched in rounds of 1, 2, 4, ... of them.
+
+So what is shuffled is the products once per block, and each user once per shard that may
+still change the list, with one list of at most ``n`` to merge.
 """
 
 from __future__ import annotations
 
 import math
 import sys
-from collections.abc import Callable
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +22,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starledger import schemas
+from starledger.operators.ranking import to_lists, top_n
+from starledger.shared import new_folder, stored
 
 # The functions below travel with the job, so that executors need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -49,65 +55,137 @@ def best_matches(
     The sizes of blocks and shards do not change the result; by default they follow from
     the length of the vectors and of the lists.
     """
-    user_count = user_factors.count()
     item_count, rank = item_factors.agg(F.count("*"), F.max(F.size("features"))).first()
-    rank = rank or 1
+    users_per_block, products_per_shard = bounds(rank or 1, n, users_per_block, products_per_shard)
+    shards = max(math.ceil(item_count / products_per_shard), 1)
+    users = user_factors.select(
+        "userId",
+        F.col("features").alias("user_vector"),
+        F.lit(-math.inf if min_score is None else min_score).alias("needed"),
+    )
+    items = item_factors.select("productId", F.col("features").alias("item_vector"))
+    matcher = _cell_matcher(n, min_score, exclude_same_id)
+    if shards == 1:
+        only = F.lit(0).alias("cell")
+        return searched(users.select("*", only), items.select("*", only), matcher, users_per_block, products_per_shard)
+    rounds = by_length(users, items, n, matcher, shards, users_per_block, products_per_shard)
+    lists = [settled.select("userId", "recs") for _, settled in rounds]
+    together = lists[0]
+    for part in lists[1:]:
+        together = together.union(part)
+    return together.where(F.size("recs") > 0)
+
+
+def bounds(rank: int, n: int, users_per_block: int | None, products_per_shard: int | None) -> tuple[int, int]:
+    """Users and products that meet in a task, where not given."""
     if users_per_block is None:
         users_per_block = max(min(USERS_PER_BLOCK, VALUES_PER_SIDE // max(rank, n)), 1)
-    if products_per_shard is None:
-        products_per_shard = max(VALUES_PER_SIDE // rank, 1)
-    cores = user_factors.sparkSession.sparkContext.defaultParallelism
-    blocks = max(
-        math.ceil(user_count / users_per_block),
-        min(cores, math.ceil(user_count / _MIN_USERS_PER_BLOCK)),
-        1,
-    )
-    shards = max(math.ceil(item_count / products_per_shard), 1)
+    return users_per_block, products_per_shard or max(VALUES_PER_SIDE // rank, 1)
 
-    block = F.pmod(F.hash("userId"), F.lit(blocks))
-    shard = F.pmod(F.hash("productId"), F.lit(shards))
-    # Names of their own on either side, as both may come from the same table.
-    users = _copied(
-        user_factors.select("userId", F.col("features").alias("user_vector")),
-        shards,
-        lambda s: block * shards + s,
-    )
-    items = _copied(
-        item_factors.select("productId", F.col("features").alias("item_vector")),
-        blocks,
-        lambda b: b * shards + shard,
+
+def by_length(
+    users: DataFrame, items: DataFrame, n: int, matcher, shards: int, users_per_block: int, products_per_shard: int
+) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """Search shards by length; of each round the users searched for, and those settled by it.
+
+    Users have ``userId``, ``user_vector`` and ``needed``, the score that a product must reach;
+    items have ``productId`` and ``item_vector``. What is settled has ``userId`` and ``recs``.
+    """
+    folder = new_folder(users.sparkSession, "matches")
+    # Copies of a vector are as long as each other: the id parts them as well.
+    sized = items.withColumn("length", _length("item_vector"))
+    ranged = sized.repartitionByRange(shards, F.desc("length"), "productId")
+    ranged = stored(ranged.withColumn("cell", F.spark_partition_id()), f"{folder}/shards")
+    tops = ranged.groupBy("cell").agg(F.max("length").alias("top")).orderBy("cell").collect()
+    none = F.expr(f"cast(array() as {schemas.RECOMMENDATIONS})")
+    state = users.select("*", _length("user_vector").alias("length"), none.alias("recs"))
+    at, width = 0, 1
+    while at < len(tops):
+        active = state.where(_may_reach(tops[at].top))
+        if at and active.isEmpty():
+            break
+        cells = [row.cell for row in tops[at : at + width]]
+        visits = active.select("userId", "user_vector", "needed", F.explode(F.lit(cells)).alias("cell"))
+        visited = ranged.where(F.col("cell").isin(cells)).select("productId", "item_vector", "cell")
+        found = searched(visits, visited, matcher, users_per_block, products_per_shard)
+        state = stored(with_found(active, found, n), f"{folder}/users-{at}")
+        at, width = at + width, 2 * width
+        settled = state if at >= len(tops) else state.where(~_may_reach(tops[at].top))
+        yield active, settled
+
+
+def with_found(state: DataFrame, found: DataFrame, n: int) -> DataFrame:
+    """Users with the lists found merged into ``recs``, and the score they ``need`` now."""
+    listed = lambda lists: lists.select("userId", F.explode("recs").alias("rec")).select("userId", "rec.*")
+    best = to_lists(top_n(listed(state).union(listed(found)), n, None))
+    merged = state.drop("recs").join(best, "userId", "left")
+    nth = F.get("recs", F.lit(n - 1))["score"]
+    none = F.expr(f"cast(array() as {schemas.RECOMMENDATIONS})")
+    return merged.withColumns({"needed": F.coalesce(nth, F.col("needed")), "recs": F.coalesce("recs", none)}).select(
+        state.columns
     )
-    # One task per cell: cells are few and heavy, so hash collisions would leave cores idle.
-    cells = blocks * shards
-    lists = (
-        users.repartitionById(cells, F.col("cell"))
-        .groupBy("cell")
-        .cogroup(items.repartitionById(cells, F.col("cell")).groupBy("cell"))
-        .applyInArrow(_cell_matcher(n, min_score, exclude_same_id), schemas.USER_RECS)
+
+
+def searched(
+    visits: DataFrame, items: DataFrame, matcher, users_per_block: int, products_per_shard: int
+) -> DataFrame:
+    """(userId, recs) of users in the cells that they visit, one list per cell and part of it.
+
+    Both sides have a ``cell``. Cells with more users or products than a task should hold are cut
+    into blocks and parts, which all meet.
+    """
+    spark = visits.sparkSession
+    count = lambda rows: dict(rows.groupBy("cell").count().collect())  # as many rows as cells
+    users, products = count(visits), count(items)
+    cores = spark.sparkContext.defaultParallelism
+    total, plan = 0, []
+    for cell in sorted(users.keys() & products.keys()):
+        blocks = math.ceil(users[cell] / users_per_block)
+        spread = math.ceil(cores / len(users))
+        blocks = max(blocks, min(spread, math.ceil(users[cell] / _MIN_USERS_PER_BLOCK)))
+        parts = math.ceil(products[cell] / products_per_shard)
+        plan.append((cell, blocks, parts, total))
+        total += blocks * parts
+    if not plan:
+        return spark.createDataFrame([], schemas.USER_RECS)
+    block, part = F.pmod(F.hash("userId"), F.col("blocks")), F.pmod(F.hash("productId"), F.col("parts"))
+    every = lambda name: F.explode(F.sequence(F.lit(0), F.col(name) - 1)).alias("copy")
+    group = lambda block, part: (F.col("first") + block * F.col("parts") + part).cast("int").alias("group")
+    ours = _planned(visits, plan).select("*", every("parts"))
+    theirs = _planned(items, plan).select("*", every("blocks"))
+    ours = ours.select("userId", "user_vector", "needed", group(block, F.col("copy")))
+    theirs = theirs.select("productId", "item_vector", group(F.col("copy"), part))
+    # One task per group: they are few and heavy, so hash collisions would leave cores idle.
+    return (
+        ours.repartitionById(total, F.col("group"))
+        .groupBy("group")
+        .cogroup(theirs.repartitionById(total, F.col("group")).groupBy("group"))
+        .applyInArrow(matcher, schemas.USER_RECS)
     )
-    return lists if shards == 1 else _merged(lists, n)
 
 
-def _copied(rows: DataFrame, copies: int, cell: Callable[[Column], Column]) -> DataFrame:
-    """Every row once per copy, each with the ``cell`` it belongs to."""
-    copy = F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("copy")
-    return rows.select("*", copy).select(*rows.columns, cell(F.col("copy")).alias("cell"))
+def _planned(rows: DataFrame, plan: list[tuple]) -> DataFrame:
+    """The rows of planned cells with ``blocks``, ``parts`` and the ``first`` group of their cell."""
+    if len(plan) == 1:
+        cell, blocks, parts, first = plan[0]
+        return rows.where(F.col("cell") == cell).select(
+            "*", F.lit(blocks).alias("blocks"), F.lit(parts).alias("parts"), F.lit(first).alias("first")
+        )
+    cells = rows.sparkSession.createDataFrame(plan, "cell int, blocks int, parts int, first int")
+    return rows.join(F.broadcast(cells), "cell")
 
 
-def _merged(lists: DataFrame, n: int) -> DataFrame:
-    """The best ``n`` of each user's lists, one list of at most ``n`` per shard."""
-    key = lambda rec: F.struct(
-        (~F.isnan(rec["score"])).alias("number"),
-        (-rec["score"]).alias("order"),
-        rec["productId"].alias("productId"),
-        rec["score"].alias("score"),
-    )
-    together = F.flatten(F.collect_list(F.transform("recs", key)))
-    best = F.slice(F.array_sort(together), 1, n)
-    rec = lambda entry: F.struct(
-        entry["productId"].alias("productId"), entry["score"].alias("score")
-    )
-    return lists.groupBy("userId").agg(F.transform(best, rec).alias("recs"))
+def _length(vector: str) -> Column:
+    """Euclidean length; a vector that is not finite counts as infinitely long."""
+    value = lambda x: x.cast("double")
+    length = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda total, x: total + value(x) * value(x)))
+    return F.nanvl(length, F.lit(math.inf))
+
+
+def _may_reach(longest: float) -> Column:
+    """Whether products of a length may matter to a user; with room for rounding."""
+    reach = F.col("length") * F.lit(longest) * (1 + 1e-9)
+    return F.isnan("needed") | ~(reach < F.col("needed"))
 
 
 def _cell_matcher(n: int, min_score: float | None, exclude_same_id: bool):
@@ -115,6 +193,7 @@ def _cell_matcher(n: int, min_score: float | None, exclude_same_id: bool):
         if users.num_rows == 0 or items.num_rows == 0:
             return _as_lists(np.empty(0, int), np.empty(0, int), np.empty(0, int), np.empty(0))
         user_ids, user_vectors = _vectors(users, "userId", "user_vector")
+        needed = users.column("needed").to_numpy()
         item_ids, item_vectors = _vectors(items, "productId", "item_vector")
         # Longest vectors first: once a product is too short to matter, so are the rest.
         lengths = _lengths(item_vectors)
@@ -128,6 +207,7 @@ def _cell_matcher(n: int, min_score: float | None, exclude_same_id: bool):
             row, product, score = _best_of_tile(
                 user_ids[tile],
                 user_vectors[tile],
+                needed[tile].copy(),
                 item_ids,
                 item_columns,
                 lengths,
@@ -143,18 +223,17 @@ def _cell_matcher(n: int, min_score: float | None, exclude_same_id: bool):
 
 
 def _best_of_tile(
-    user_ids, users, item_ids, items, item_lengths, n, min_score, exclude_same_id, scratch
+    user_ids, users, needed, item_ids, items, item_lengths, n, min_score, exclude_same_id, scratch
 ):
     """Best products of a few users as (row, product, score), by row and rank.
 
     ``items`` has a column per product. A matrix product finds the candidates; its rounding
     depends on the machine, so they are let through with some slack and scored again in
-    index order.
+    index order. ``needed`` is what a product must reach to matter to a user: the bound, or the
+    n-th best from elsewhere, and then the n-th best so far.
     """
     user_lengths = _lengths(users)
     rounding = 4 * users.shape[1] * np.finfo(float).eps
-    # What a product must reach to matter to a user: the bound, then the n-th best so far.
-    needed = np.full(len(users), -np.inf if min_score is None else min_score)
     best = (np.empty(0, int), np.empty(0, int), np.empty(0))
     active = np.arange(len(users))
     wanted = n + exclude_same_id
@@ -189,7 +268,7 @@ def _best_of_tile(
         fresh = (row[kept], product[kept], score[kept])
         best = _first_n(*(np.concatenate(pair) for pair in zip(best, fresh)), n)
         last = np.flatnonzero(np.bincount(best[0], minlength=len(users)) == n)
-        needed[last] = best[2][np.searchsorted(best[0], last, side="right") - 1]
+        needed[last] = np.fmax(needed[last], best[2][np.searchsorted(best[0], last, side="right") - 1])
     return best
 
 

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 
 from starledger import schemas
-from starledger.operators import FactorModel, best_matches, similar_items, user_lists
+from starledger.operators import FactorModel, best_matches, matching, neighbors, similar_items, user_lists
 
 NAN = float("nan")
 
@@ -72,6 +72,64 @@ def test_blocks_and_shards_do_not_change_the_result(spark, random_factors, per_b
     assert got.schema.simpleString() == f"struct<userId:int,recs:{schemas.RECOMMENDATIONS}>"
 
 
+def test_settled_users_are_not_sent_to_later_shards(spark):
+    rng = np.random.default_rng(8)
+    users = [(i, rng.normal(size=4)) for i in range(200)]
+    # Lengths halve every 100 products, so a few shards settle everybody.
+    items = [(i, rng.normal(size=4) * 0.5 ** (i // 100)) for i in range(1600)]
+    model = factors(spark, "userId", users, "double"), factors(spark, "productId", items, "double")
+    matcher = matching._cell_matcher(5, 0.0, False)
+    rounds = matching.by_length(
+        model[0].selectExpr("userId", "features as user_vector", "0.0D as needed"),
+        model[1].selectExpr("productId", "features as item_vector"),
+        5, matcher, 16, 50, 100,
+    )
+    searched, settled = zip(*((s.select("userId").collect(), done.select("userId").collect()) for s, done in rounds))
+    assert len(searched) < 5 and len(searched[0]) == 200 and len(searched[-1]) < 100
+    for k in range(1, len(searched)):
+        gone = {r.userId for part in settled[:k] for r in part}
+        assert gone.isdisjoint(r.userId for r in searched[k]) and len(gone) + len(searched[k]) == 200
+    got = best_matches(*model, 5, users_per_block=50, products_per_shard=100)
+    assert same(lists(got), brute_force(users, items, 5, 0.0))
+    plan = got._jdf.queryExecution().analyzed().toString()
+    assert "flatten" not in plan
+
+
+def clustered_vectors(products, clusters, rank=6):
+    rng = np.random.default_rng(4)
+    centers = rng.normal(size=(clusters, rank))
+    rows = [(i, centers[i % clusters] + 0.02 * rng.normal(size=rank)) for i in range(products)]
+    # A cluster with a third of all products, copies among them, and some in no cluster.
+    rows += [(products + i, centers[0] + 0.02 * (i % 50) * np.ones(rank)) for i in range(products // 2)]
+    return rows + [(2 * products + i, rng.normal(size=rank)) for i in range(40)]
+
+
+def test_similar_items_visit_few_cells(spark):
+    rows = clustered_vectors(1200, 40)
+    unit = [(i, v / np.sqrt((v * v).sum())) for i, v in rows]
+    vectors = factors(spark, "productId", unit, "double").withColumnRenamed("features", "item_vector")
+    pivots = np.array([v for _, v in unit[:60]])
+    items = neighbors.in_cells(vectors, pivots).cache()
+    own = matching.searched(
+        items.selectExpr("productId as userId", "item_vector as user_vector", "double('-inf') as needed", "cell"),
+        items, matching._cell_matcher(5, None, True), 10_000, 10_000,
+    )
+    state = items.selectExpr(
+        "productId as userId", "item_vector as user_vector", "double('-inf') as needed", "cell",
+        f"cast(array() as {schemas.RECOMMENDATIONS}) as recs",
+    )
+    state = matching.with_found(state, own, 5)
+    visits = neighbors.cells_to_visit(state, items, pivots).count()
+    items.unpersist()
+    assert visits < 0.2 * len(rows) * 60
+    want = brute_force(unit, unit, 5, None, True)
+    for cell in (30, 400, None):
+        got = lists(similar_items(factors(spark, "productId", rows, "double"), 5, products_per_cell=cell))
+        assert got.keys() == want.keys()
+        for product, recs in want.items():
+            assert [s for _, s in got[product]] == pytest.approx([s for _, s in recs], abs=1e-12)
+
+
 def test_many_tiles(spark):
     rng = np.random.default_rng(5)
     users = [(i, rng.normal(size=2)) for i in range(3)]
