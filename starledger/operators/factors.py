@@ -12,10 +12,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from starledger.operators.split_als import checked, train_by_sums
 from starledger.shared import delete_folder, ensure_checkpoint_dir, new_folder, stored
 
-# Blocks are made this small, between a few and as many as Spark ML copes with.
+# Blocks have so many ratings while there are few blocks, as Spark ML has work for every pair of
+# blocks; many ratings are in blocks of at most the number that a task can hold.
 _EVEN_BLOCK = 1_000_000
-_MIN_BLOCKS = 8
-_MAX_BLOCKS = 500
+_MIN_BLOCKS, _FEW_BLOCKS = 8, 500
+LARGEST_BLOCK = 20_000_000
 
 
 @dataclass(frozen=True)
@@ -41,12 +42,14 @@ def train(
     seed: int = 0,
     blocks: int | None = None,
     solver: str = "ml",
+    largest_block: int = LARGEST_BLOCK,
 ) -> FactorModel:
     """Explicit-feedback alternating least squares over (userId, productId, score).
 
     ``solver="ml"`` is Spark ML's. It splits the ratings into ``blocks`` on either side, by
-    default one per million ratings, so that a seed gives the same factors on any cluster;
-    it keeps all ratings of an id in one block, so the largest blocks must fit an executor.
+    default as many as ``block_count`` finds from the ratings alone, so that a seed gives the same
+    factors on any cluster. It keeps all ratings of an id in one block: an id with more than
+    ``largest_block`` ratings is an error, found before training.
     ``solver="sums"`` solves the same systems by grouped sums that combine before the
     shuffle; no id is too large for it, but it is slower, starts elsewhere for the same
     seed, and has no blocks. The size of the data never changes the solver.
@@ -67,7 +70,7 @@ def train(
         raise ValueError(f"no solver {solver!r}")
     ensure_checkpoint_dir(spark)
     if blocks is None:
-        blocks = min(max(_MIN_BLOCKS, math.ceil(ratings.count() / _EVEN_BLOCK)), _MAX_BLOCKS)
+        blocks = block_count(ratings, largest_block)
     als = ALS(
         rank=rank,
         maxIter=iterations,
@@ -86,6 +89,39 @@ def train(
     return _stored_model(users, model.itemFactors.withColumnRenamed("id", "productId"), rank)
 
 
+def block_count(ratings: DataFrame, largest_block: int = LARGEST_BLOCK) -> int:
+    """Blocks of ids modulo their number, of which none has more ratings than the largest may.
+
+    The ratings of every id are counted once, combined before the shuffle; the load of the blocks is
+    summed from these counts for one number of blocks after the other, until all fit.
+    """
+    sides = F.explode(F.array(
+        F.struct(F.lit("userId").alias("side"), F.col("userId").alias("id")),
+        F.struct(F.lit("productId").alias("side"), F.col("productId").alias("id")),
+    ))
+    folder = new_folder(ratings.sparkSession, "loads")
+    loads = ratings.select(sides.alias("key")).groupBy("key.side", "key.id").agg(F.count(F.lit(1)).alias("n"))
+    loads = stored(loads, folder)
+    try:
+        total, worst = loads.agg(F.sum("n") / 2, F.max(F.struct("n", "side", "id"))).first()
+        if not total:
+            return _MIN_BLOCKS
+        if worst.n > largest_block:
+            raise ValueError(
+                f"{worst.side} {worst.id} has {worst.n} ratings, and a block holds {largest_block}: "
+                'use solver="sums", or executors for a greater largest_block'
+            )
+        blocks = max(_MIN_BLOCKS, min(math.ceil(total / _EVEN_BLOCK), _FEW_BLOCKS), math.ceil(total / largest_block))
+        while True:
+            block = F.pmod("id", F.lit(blocks)).alias("block")
+            load = loads.groupBy("side", block).agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0]
+            if load <= largest_block:
+                return blocks
+            blocks = 2 * blocks + 1  # odd, so that ids in steps of two part as well
+    finally:
+        delete_folder(ratings.sparkSession, folder)
+
+
 def _stored_model(users: DataFrame, items: DataFrame, rank: int) -> FactorModel:
     folder = new_folder(users.sparkSession, "factors")
     return FactorModel(stored(users, f"{folder}/users"), stored(items, f"{folder}/items"), rank, folder)

@@ -1,12 +1,19 @@
-"""Named tables: typed reads, and overwrites that never lose the old content first.
+"""Named tables: typed reads, and overwrites that readers see whole or not at all.
 
 ``format`` and ``options`` go straight to Spark's reader and writer, so any deployed
 connector works. A store with a ``root`` keeps each table in a folder of its own; one
 without passes the table name in the connector's option (``name_option``).
+
+In a folder store every write is a version: a folder of its own under the table's, which nobody
+reads until an empty marker file names it. Creating that file is the commit, a single step on any
+file system or object store, and the marker with the greatest number is the table. Nothing
+is renamed or replaced, so there is no moment without a table; readers keep the version they began
+with, and of two writers at a time one is the later version, whole.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
@@ -17,12 +24,18 @@ from pyspark.sql.types import StructType
 from starledger.shared import delete_folder, file_system
 from starledger.sources.layout import clustered
 
+_MARKERS = "_versions"
+
+
 @dataclass(frozen=True)
 class Store:
+    """``versions`` of a table are kept, so that whoever reads one may finish."""
+
     root: str | None = None
     format: str = "parquet"
     options: Mapping[str, str] = field(default_factory=dict)
     name_option: str = "collection"
+    versions: int = 2
 
     @property
     def keeps_layout(self) -> bool:
@@ -32,12 +45,22 @@ class Store:
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
+    def folder(self, spark: SparkSession, name: str) -> str:
+        """Where the table's rows are now: its last version, or what others wrote to its path."""
+        target = self.path(name)
+        markers = _markers(spark, target)
+        return f"{target}/{_version(markers[-1])}" if markers else target
+
+    def exists(self, spark: SparkSession, name: str) -> bool:
+        """Whether a folder store has the table."""
+        fs, place = file_system(spark, self.path(name))
+        return bool(_markers(spark, self.path(name))) or (fs.exists(place) and not _has_versions(fs, place))
+
     def load(self, spark: SparkSession, name: str) -> DataFrame:
         reader = spark.read.format(self.format).options(**self.options)
         if self.root is None:
             return reader.option(self.name_option, name).load()
-        _recover(spark, self.path(name))
-        return reader.load(self.path(name))
+        return reader.load(self.folder(spark, name))
 
 
 def read_table(
@@ -57,7 +80,6 @@ def write_table(
     lookup_keys: Sequence[str] = (),
     order_by: Sequence[Column | str] = (),
     files: int | None = None,
-    staged: bool = True,
 ) -> None:
     """Replace a named table.
 
@@ -67,11 +89,10 @@ def write_table(
     handed to a connector, at any size; they keep the order from one to the next. Fewer are
     written only if there are fewer different rows.
 
-    In a folder store the rows go to a staging folder that takes the table's place once it
-    is complete: a failed job leaves the old table as it was, and ``df`` may read the table
-    it replaces. If the driver is lost while the folders are renamed, the next read or write
-    of the table puts the old one back. ``staged=False`` writes in place, for object stores
-    where renaming copies.
+    In a folder store the rows are a new version of the table once they are complete: a failed
+    job leaves the table as it was, and ``df`` may read the table it replaces. Versions before
+    the last ``store.versions`` are deleted. A driver that is lost leaves a folder that no marker
+    names, which ``delete_unfinished`` removes.
     """
     if (cluster_by or lookup_keys) and not store.keeps_layout:
         raise ValueError(f"a {store.format} store cannot lay rows out by a key")
@@ -89,22 +110,27 @@ def write_table(
         writer.option(store.name_option, name).save()
         return
     spark, target = df.sparkSession, store.path(name)
-    _recover(spark, target)
-    if not staged:
-        writer.save(target)
-        return
-    staging = f"{_staging(target)}{uuid.uuid4().hex}"
+    version = f"version-{uuid.uuid4().hex}"
     try:
-        writer.save(staging)
-        _put_in_place(spark, staging, target)
-    finally:
-        delete_folder(spark, staging)
+        writer.save(f"{target}/{version}")
+    except BaseException:
+        delete_folder(spark, f"{target}/{version}")
+        raise
+    _commit(spark, target, version, store.versions)
 
 
-def _staging(target: str) -> str:
-    """What the names of a table's staging folders begin with."""
-    root, _, name = target.rpartition("/")
-    return f"{root}/_staging-{name}-"
+def delete_unfinished(spark: SparkSession, store: Store, name: str, older_than_hours: float = 168) -> None:
+    """Delete versions without a marker, as lost drivers leave them, that are older than given."""
+    target = store.path(name)
+    fs, place = file_system(spark, target)
+    if not fs.exists(place):
+        return
+    before = time.time() * 1000 - older_than_hours * 3_600_000
+    known = {_version(marker) for marker in _markers(spark, target)}
+    for status in fs.listStatus(place):
+        found = status.getPath().getName()
+        if found.startswith("version-") and found not in known and status.getModificationTime() < before:
+            fs.delete(status.getPath(), True)
 
 
 def _lookup_options(fmt: str, keys: Sequence[str]) -> dict[str, str]:
@@ -117,28 +143,27 @@ def _lookup_options(fmt: str, keys: Sequence[str]) -> dict[str, str]:
     return {}
 
 
-def _recover(spark: SparkSession, target: str) -> None:
-    """Put the table back that a lost driver had moved aside."""
-    fs, place = file_system(spark, target)
-    if fs.exists(place):
-        return
-    _, left = file_system(spark, f"{_staging(target)}{'[0-9a-f]' * 32}-old")
-    for old in fs.globStatus(left) or ():
-        if fs.rename(old.getPath(), place):
-            return
-
-
-def _put_in_place(spark: SparkSession, staging: str, target: str) -> None:
-    fs, new = file_system(spark, staging)
-    _, place = file_system(spark, target)
-    _, old = file_system(spark, f"{staging}-old")
-    had_old = fs.exists(place)
-    if had_old and not fs.rename(place, old):
-        raise OSError(f"cannot move {target} aside")
-    if not fs.rename(new, place):
-        if had_old:
-            fs.rename(old, place)
-        raise OSError(f"cannot move {staging} to {target}")
-    if had_old:
-        fs.delete(old, True)
-    spark.catalog.refreshByPath(target)
+def _markers(spark: SparkSession, target: str) -> list[str]:
+    """Names of the markers, the last version's at the end: a number and the version."""
+    fs, folder = file_system(spark, f"{target}/{_MARKERS}")
+    if not fs.exists(folder):
+        return []
+    return sorted(status.getPath().getName() for status in fs.listStatus(folder))
+
+
+def _version(marker: str) -> str:
+    return marker.partition("-")[2]
+
+
+def _has_versions(fs, place) -> bool:
+    return any(status.getPath().getName().startswith("version-") for status in fs.listStatus(place))
+
+
+def _commit(spark: SparkSession, target: str, version: str, keep: int) -> None:
+    markers = _markers(spark, target)
+    number = int(markers[-1].partition("-")[0]) + 1 if markers else 0
+    fs, marker = file_system(spark, f"{target}/{_MARKERS}/{number:020d}-{version}")
+    fs.create(marker, False).close()
+    for old in _markers(spark, target)[: -max(keep, 1)]:
+        fs.delete(file_system(spark, f"{target}/{_MARKERS}/{old}")[1], False)
+        delete_folder(spark, f"{target}/{_version(old)}")

@@ -4,6 +4,7 @@ from pyspark.ml.recommendation import ALS
 from pyspark.sql import functions as F
 
 from starledger.operators import FactorModel, factors, score_pairs, split_als, train, user_lists
+from starledger.operators.factors import block_count
 from starledger.sources import parse_ratings
 
 
@@ -175,3 +176,23 @@ def test_hot_products_are_split_when_pairs_are_scored(spark, model):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value) if value else spark.conf.unset(key)
+
+
+def test_blocks_follow_the_measured_load(spark):
+    even = spark.range(4000).selectExpr("int(id % 100) as userId", "int(id / 100) as productId", "1.0D as score")
+    assert block_count(even) == 8
+    assert block_count(even, largest_block=200) >= 20
+    # All even ids: with a power of two half of the blocks would stay empty.
+    steps = spark.range(4000).selectExpr("int(id % 100) * 64 as userId", "int(id / 100) as productId", "1.0D as score")
+    blocks = block_count(steps, largest_block=400)
+    loads = steps.groupBy(F.expr(f"userId % {blocks}")).count().agg(F.max("count")).first()[0]
+    assert loads <= 400
+    assert block_count(even.limit(0)) == 8
+
+
+def test_an_id_that_fits_no_block_is_named_before_training(spark):
+    ratings = spark.range(300).selectExpr("int(id) as userId", "int(if(id < 250, 7, id)) as productId", "1.0D as score")
+    with pytest.raises(ValueError, match='productId 7 has 250 ratings.*solver="sums"'):
+        train(ratings, largest_block=200)
+    model = train(ratings, rank=2, iterations=1, solver="sums", largest_block=200)
+    assert model.user_factors.count() == 300

@@ -42,7 +42,7 @@ def test_all_jobs(spark, sources, tmp_path, indexed):
     assert monthly.collect() == [(1, 2, 201403), (3, 2, 201403), (2, 1, 201403), (2, 1, 201402)]
     top = read_table(spark, store, "AverageProducts", schemas.TOP_RATED)
     assert top.collect() == [(1, 4.5), (2, 3.5), (3, 1.5)]
-    assert len(glob.glob(f"{tmp_path}/store/AverageProducts/*.parquet")) == 1
+    assert len(glob.glob(f"{tmp_path}/store/AverageProducts/version-*/*.parquet")) == 1
 
     jobs.product_lists(spark, store, n=2, product_table="ProductRecs", cache=True)
     lists = read_table(spark, store, "UserRecs", schemas.USER_RECS).collect()

@@ -1,4 +1,5 @@
 import glob
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow.parquet as pq
 import pytest
@@ -30,14 +31,13 @@ def rows(df):
     return sorted(map(tuple, df.collect()))
 
 
-@pytest.mark.parametrize("staged", [True, False])
 @pytest.mark.parametrize(
     "fmt, options", [("parquet", {}), ("orc", {}), ("json", {}), ("csv", {"header": "true"})]
 )
-def test_roundtrip(spark, ratings, tmp_path, fmt, options, staged):
+def test_roundtrip(spark, ratings, tmp_path, fmt, options):
     options = {**options, **({"inferSchema": "true"} if fmt == "csv" else {})}
     store = Store(str(tmp_path), fmt, options)
-    write_table(ratings, store, "Rating", staged=staged)
+    write_table(ratings, store, "Rating")
     back = read_table(spark, store, "Rating", schemas.RATING)
     assert back.dtypes == ratings.dtypes and rows(back) == rows(ratings)
 
@@ -72,6 +72,7 @@ def test_a_table_can_replace_itself(spark, ratings, tmp_path):
     write_table(high, store, "Rating")
     assert rows(read_table(spark, store, "Rating", schemas.RATING)) == [r for r in ROWS if r[2] >= 3]
     assert [p.name for p in tmp_path.iterdir()] == ["Rating"]
+    assert len(list(tmp_path.glob("Rating/version-*"))) == len(list(tmp_path.glob("Rating/_versions/0*"))) == 2
 
 
 def test_a_failed_write_keeps_the_old_table(spark, ratings, tmp_path):
@@ -81,7 +82,7 @@ def test_a_failed_write_keeps_the_old_table(spark, ratings, tmp_path):
     with pytest.raises(Exception):
         write_table(failing, store, "Rating")
     assert rows(read_table(spark, store, "Rating", schemas.RATING)) == ROWS
-    assert [p.name for p in tmp_path.iterdir()] == ["Rating"]
+    assert len(list(tmp_path.glob("Rating/version-*"))) == 1
 
 
 def test_connector_without_a_root(spark, ratings, tmp_path):
@@ -94,7 +95,7 @@ def test_connector_without_a_root(spark, ratings, tmp_path):
 
 
 def files(tmp_path, name="Rating"):
-    return sorted(glob.glob(f"{tmp_path}/{name}/*.parquet"))
+    return sorted(glob.glob(f"{tmp_path}/{name}/version-*/*.parquet"))
 
 
 def test_clustered_files_cover_separate_key_ranges(spark, ratings, tmp_path, uncoalesced):
@@ -157,16 +158,58 @@ def test_layout_that_a_store_cannot_keep_is_an_error(ratings, store, layout):
         write_table(ratings, store, "Rating", **layout)
 
 
-def test_a_table_moved_aside_comes_back(spark, ratings, tmp_path):
+def test_readers_keep_the_version_they_began_with(spark, ratings, tmp_path):
     store = Store(str(tmp_path))
     write_table(ratings, store, "Rating")
-    # As a driver leaves it that stops between the two renames.
-    (tmp_path / "Rating").rename(tmp_path / f"_staging-Rating-{'0' * 32}-old")
-    assert read_table(spark, store, "Rating", schemas.RATING).count() == 500
-    (tmp_path / "Rating").rename(tmp_path / f"_staging-Rating-{'1' * 32}-old")
+    before = read_table(spark, store, "Rating", schemas.RATING)
+    write_table(ratings.limit(7), store, "Rating")
+    assert before.count() == 500
+    assert read_table(spark, store, "Rating", schemas.RATING).count() == 7
+
+
+def test_readers_see_whole_tables_while_two_writers_replace_them(spark, tmp_path):
+    store = Store(str(tmp_path), versions=50)
+    table = lambda kind: spark.range(300, numPartitions=3).select("id", F.lit(kind).alias("kind"))
+    write_table(table("first"), store, "Rating")
+
+    def writes(kind):
+        for _ in range(6):
+            write_table(table(kind), store, "Rating")
+
+    seen, failed = [], []
+    with ThreadPoolExecutor(2) as pool:
+        writers = [pool.submit(writes, kind) for kind in ("left", "right")]
+        while not all(w.done() for w in writers):
+            counts = store.load(spark, "Rating").groupBy("kind").count().collect()
+            seen += [tuple(c) for c in counts]
+            failed += [counts] if len(counts) != 1 else []
+        for writer in writers:
+            writer.result()
+    assert not failed and {count for _, count in seen} == {300} and len(seen) > 1
+    assert len(list(tmp_path.glob("Rating/_versions/0*"))) == 13
+
+
+def test_a_table_that_others_wrote_is_read_until_it_is_replaced(spark, ratings, tmp_path):
+    store = Store(str(tmp_path))
+    assert not store.exists(spark, "Rating")
+    ratings.write.parquet(str(tmp_path / "Rating"))
+    assert store.exists(spark, "Rating")
+    assert rows(read_table(spark, store, "Rating", schemas.RATING)) == ROWS
     write_table(read_table(spark, store, "Rating", schemas.RATING).limit(7), store, "Rating")
     assert read_table(spark, store, "Rating", schemas.RATING).count() == 7
-    assert [p.name for p in tmp_path.iterdir()] == ["Rating"]
+
+
+def test_what_a_lost_driver_leaves_is_not_read_and_can_be_deleted(spark, ratings, tmp_path):
+    store = Store(str(tmp_path))
+    ratings.write.parquet(str(tmp_path / "Rating" / "version-unfinished"))
+    assert not store.exists(spark, "Rating")
+    write_table(ratings.limit(7), store, "Rating")
+    assert read_table(spark, store, "Rating", schemas.RATING).count() == 7
+    store_module.delete_unfinished(spark, store, "Rating")
+    assert len(list(tmp_path.glob("Rating/version-*"))) == 2
+    store_module.delete_unfinished(spark, store, "Rating", older_than_hours=-1)
+    assert len(list(tmp_path.glob("Rating/version-*"))) == 1
+    assert read_table(spark, store, "Rating", schemas.RATING).count() == 7
 
 
 def test_lookup_filters_reach_the_scan(spark, ratings, tmp_path):
