@@ -28,6 +28,7 @@ from starledger.operators import (
     train,
     user_lists,
 )
+from starledger.operators.pages import page, ranked, write_ranked
 from starledger.operators.split_als import train_by_sums
 from starledger.plans import jobs
 from starledger.plans.derived import (
@@ -484,6 +485,54 @@ def job_lists(spark: SparkSession, sf: str) -> DataFrame:
     return _checked_lists(lists, train(ratings, seed=SEED))
 
 
+def job_lists_cached(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with the ratings kept on the executors while factors are trained."""
+    store = _loaded(spark, sf)
+    jobs.product_lists(spark, store, seed=SEED, cache=True)
+    lists = read_table(spark, store, "UserRecs", schemas.USER_RECS)
+    ratings = read_table(spark, store, "Rating", schemas.RATING)
+    return _checked_lists(lists, train(ratings, seed=SEED))
+
+
+def _refreshed(spark: SparkSession, sf: str) -> Store:
+    """Statistics of older ratings, brought up to date when the files of newer ones are there."""
+    store, folder = _store(spark), new_folder(spark, "lines")
+    newer = F.col("timestamp") >= 883_612_800  # 1998
+    for part in (~newer, newer):
+        lines = ratings_from_orders(spark, sf).where(part).select(F.concat_ws(",", *_rating_fields()).alias("value"))
+        lines.write.mode("append").text(folder)
+        jobs.refresh_statistics(spark, store, folder)
+    return store
+
+
+def refreshed_popular(spark: SparkSession, sf: str) -> DataFrame:
+    return read_table(spark, _refreshed(spark, sf), "RateMoreProducts", schemas.POPULAR)
+
+
+def refreshed_month(spark: SparkSession, sf: str) -> DataFrame:
+    return read_table(spark, _refreshed(spark, sf), "RateMoreRecentlyProducts", schemas.POPULAR_BY_MONTH)
+
+
+def refreshed_top_rated(spark: SparkSession, sf: str) -> DataFrame:
+    return read_table(spark, _refreshed(spark, sf), "AverageProducts", schemas.TOP_RATED)
+
+
+def _monthly_order() -> list:
+    return [F.desc("yearmonth"), F.desc("count"), "productId"]
+
+
+def ranked_months(spark: SparkSession, sf: str) -> DataFrame:
+    """Every row of the monthly board with its rank in the whole board."""
+    return ranked(popular_by_month(ratings_from_orders(spark, sf)), _monthly_order())
+
+
+def board_page(spark: SparkSession, sf: str) -> DataFrame:
+    """Fifty rows from the middle of a stored board."""
+    store = _store(spark)
+    write_ranked(popular_by_month(ratings_from_orders(spark, sf)), _monthly_order(), store, "Ranked")
+    return page(spark, store, "Ranked", 2001, 2050)
+
+
 def film_ratings(spark: SparkSession, sf: str) -> DataFrame:
     """Film ratings under their own names, taken over as ratings."""
     films = ratings_from_orders(spark, sf).withColumnsRenamed({"userId": "uid", "productId": "mid"})
@@ -555,6 +604,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             job_statistics_popular,
             job_statistics_top_rated,
             job_lists,
+            job_lists_cached,
+            refreshed_popular,
+            refreshed_month,
+            refreshed_top_rated,
+            ranked_months,
+            board_page,
             film_ratings,
         )
     }
@@ -665,6 +720,9 @@ def oracle_sql() -> dict[str, str]:
     top_rated_rows = f"WITH {_RATINGS} {_TOP_RATED}"
     month = _by_month(f"CAST({_MONTH} AS INT)")
     month_text = _by_month(_MONTH)
+    ranked_rows = f"""
+        WITH board AS ({month})
+        SELECT *, row_number() OVER (ORDER BY yearmonth DESC, count DESC, "productId") AS rank FROM board"""
     matched = _matched(20, "WHERE score > 0")
     trimmed = _PRODUCTS.format(name="p_name")
     checked_lists = f"""
@@ -738,6 +796,12 @@ def oracle_sql() -> dict[str, str]:
         "als_lists_checked": checked_lists,
         "als_sums_lists_checked": checked_lists,
         "job_lists": checked_lists,
+        "job_lists_cached": checked_lists,
+        "refreshed_popular": popular_rows,
+        "refreshed_month": month,
+        "refreshed_top_rated": top_rated_rows,
+        "ranked_months": ranked_rows,
+        "board_page": f"{ranked_rows} QUALIFY rank BETWEEN 2001 AND 2050",
         "job_load_ratings": rows,
         "job_statistics_popular": popular_rows,
         "job_statistics_top_rated": top_rated_rows,

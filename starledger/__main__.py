@@ -47,6 +47,14 @@ def arguments() -> argparse.ArgumentParser:
     statistics.add_argument("--text-month", action="store_true")
     statistics.add_argument("--files", type=int)
 
+    refresh = commands.add_parser("refresh", help="count new rating files and update the leaderboards")
+    refresh.add_argument("ratings")
+    refresh.add_argument("--counts-table", default="RatingCounts")
+    refresh.add_argument("--mode", choices=["strict", "drop"], default="strict")
+    refresh.add_argument("--tz")
+    refresh.add_argument("--text-month", action="store_true")
+    refresh.add_argument("--files", type=int)
+
     lists = commands.add_parser("product-lists", help="train and store product lists")
     lists.add_argument("--user-table", default="UserRecs")
     lists.add_argument("--product-table")
@@ -76,6 +84,9 @@ def main(argv: list[str] | None = None) -> None:
         jobs.load(spark, store, given.pop("products"), given.pop("ratings"), **given)
     elif command == "statistics":
         jobs.statistics(spark, store, **given)
+    elif command == "refresh":
+        del given["rating_table"]
+        jobs.refresh_statistics(spark, store, given.pop("ratings"), **given)
     else:
         jobs.product_lists(spark, store, **given)
 

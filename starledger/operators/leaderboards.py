@@ -20,11 +20,12 @@ class Leaderboards:
     popular: DataFrame
     popular_by_month: DataFrame
     top_rated: DataFrame
-    folder: str
+    folder: str | None
 
     def free(self) -> None:
         """Delete the stored counts; the boards are of no use afterwards."""
-        delete_folder(self.popular.sparkSession, self.folder)
+        if self.folder:
+            delete_folder(self.popular.sparkSession, self.folder)
 
 
 def popular(ratings: DataFrame) -> DataFrame:
@@ -57,17 +58,32 @@ def leaderboards(
     deletes them.
     """
     folder = new_folder(ratings.sparkSession, "boards")
-    monthly = ratings.groupBy("productId", year_month("timestamp", tz).alias("yearmonth")).agg(
+    return boards_of(stored(monthly_counts(ratings, tz), folder), text_month, folder)
+
+
+def monthly_counts(ratings: DataFrame, tz: str | None = None) -> DataFrame:
+    """``schemas.RATING_COUNTS``: what all three boards follow from, per product and month."""
+    return ratings.groupBy("productId", year_month("timestamp", tz).alias("yearmonth")).agg(
         F.count("productId").alias("count"),
         F.sum("score").alias("score_sum"),
         F.count("score").alias("score_count"),
     )
-    monthly = stored(monthly, folder)
-    by_product = monthly.groupBy("productId")
+
+
+def merged_counts(counts: DataFrame, more: DataFrame) -> DataFrame:
+    """The monthly counts of two sets of ratings together."""
+    return counts.unionByName(more).groupBy("productId", "yearmonth").agg(
+        *(F.sum(name).alias(name) for name in ("count", "score_sum", "score_count"))
+    )
+
+
+def boards_of(counts: DataFrame, text_month: bool = False, folder: str | None = None) -> Leaderboards:
+    """The boards of monthly counts; ``folder`` is what ``Leaderboards.free`` deletes."""
+    by_product = counts.groupBy("productId")
     mean = F.try_divide(F.sum("score_sum"), F.sum("score_count"))
     return Leaderboards(
         popular=_most_first(by_product.agg(F.sum("count").alias("count"))),
-        popular_by_month=_newest_first(monthly, text_month),
+        popular_by_month=_newest_first(counts, text_month),
         top_rated=_best_first(by_product.agg(mean.alias("avg"))),
         folder=folder,
     )

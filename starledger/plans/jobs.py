@@ -1,4 +1,4 @@
-"""The three batch jobs, from files to stored tables to stored results.
+"""The batch jobs, from files to stored tables to stored results.
 
 They run on the session they are given; table names and paths are arguments.
 """
@@ -9,8 +9,9 @@ from pyspark import StorageLevel
 from pyspark.sql import SparkSession, functions as F
 
 from starledger import schemas
-from starledger.operators import leaderboards, similar_items, train, user_lists
-from starledger.shared import delete_folder, new_folder, stored
+from starledger.operators import Leaderboards, leaderboards, similar_items, train, user_lists
+from starledger.operators.leaderboards import boards_of, merged_counts, monthly_counts
+from starledger.shared import delete_folder, list_files, new_folder, stored
 from starledger.sources import (
     Store,
     parse_products,
@@ -77,6 +78,66 @@ def statistics(
     """Compute the three leaderboards in one pass over the ratings and store them."""
     ratings = read_table(spark, store, rating_table, schemas.RATING)
     boards = leaderboards(ratings, tz, text_month)
+    _write_boards(boards, store, popular_table, monthly_table, top_rated_table, files)
+    boards.free()
+
+
+def refresh_statistics(
+    spark: SparkSession,
+    store: Store,
+    ratings_path: str,
+    *,
+    counts_table: str = "RatingCounts",
+    popular_table: str = "RateMoreProducts",
+    monthly_table: str = "RateMoreRecentlyProducts",
+    top_rated_table: str = "AverageProducts",
+    mode: str = "strict",
+    tz: str | None = None,
+    text_month: bool = False,
+    files: int | None = None,
+) -> list[str]:
+    """Bring the leaderboards up to date with rating files that were not counted yet.
+
+    Counts and sums per product and month are kept in ``counts_table`` with the names of the files
+    that they are of, committed together. Only files that are not among them are read, and their
+    paths are returned; counts of both are merged, and the boards follow from the counts.
+
+    A counted file that has changed, or another ``tz`` than before, is an error: delete the
+    table of counts to start over. A file that is gone stays counted. The store needs a root.
+    """
+    if store.root is None:
+        raise ValueError("refreshing needs a store with a root")
+    known = None
+    counted: dict = {}
+    if store.exists(spark, counts_table):
+        known = read_table(spark, store, counts_table, schemas.COUNTED_FILES)
+        for row in known.where("file is not null").select("file", "size", "modified", "zone").collect():
+            counted[row.file] = (row.size, row.modified)
+            if row.zone != tz:
+                raise ValueError(f"counted with months of {row.zone or 'UTC'}")
+    new = []
+    for path, size, modified in list_files(spark, ratings_path):
+        if path not in counted:
+            new.append((path, size, modified, tz))
+        elif counted[path] != (size, modified):
+            raise ValueError(f"{path} has changed since it was counted")
+    if new:
+        counts = monthly_counts(parse_ratings(scan_lines(spark, [path for path, *_ in new]), mode), tz)
+        names = spark.createDataFrame(new, "file string, size bigint, modified bigint, zone string")
+        if known is not None:
+            counts = merged_counts(known.where("file is null").select(counts.columns), counts)
+            names = names.unionByName(known.where("file is not null").select(names.columns))
+        together = counts.unionByName(names, allowMissingColumns=True)
+        write_table(together.repartition("productId", "file"), store, counts_table)
+    if new or known is not None:
+        counts = read_table(spark, store, counts_table, schemas.COUNTED_FILES).where("file is null")
+        _write_boards(boards_of(counts, text_month), store, popular_table, monthly_table, top_rated_table, files)
+    return [path for path, *_ in new]
+
+
+def _write_boards(
+    boards: Leaderboards, store: Store, popular_table: str, monthly_table: str, top_rated_table: str, files: int | None
+) -> None:
     orders = {
         popular_table: (boards.popular, [F.desc("count"), "productId"]),
         monthly_table: (
@@ -87,7 +148,6 @@ def statistics(
     }
     for name, (board, order) in orders.items():
         write_table(board, store, name, order_by=order, files=files)
-    boards.free()
 
 
 def product_lists(

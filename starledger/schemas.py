@@ -12,6 +12,9 @@ POPULAR = "productId int, count bigint"
 POPULAR_BY_MONTH = "productId int, count bigint, yearmonth int"
 POPULAR_BY_MONTH_TEXT = "productId int, count bigint, yearmonth string"
 TOP_RATED = "productId int, avg double"
+RATING_COUNTS = "productId int, yearmonth int, count bigint, score_sum double, score_count bigint"
+#: Counts, and rows without any that name the files they are of and the zone of the months.
+COUNTED_FILES = f"{RATING_COUNTS}, file string, size bigint, modified bigint, zone string"
 RECOMMENDATIONS = "array<struct<productId:int,score:double>>"
 USER_RECS = f"userId int, recs {RECOMMENDATIONS}"
 PRODUCT_RECS = f"productId int, recs {RECOMMENDATIONS}"

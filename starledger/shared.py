@@ -48,6 +48,20 @@ def delete_folder(spark: SparkSession, path: str) -> None:
         fs.delete(folder, True)
 
 
+def list_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """Path, size and time of change of the files that reading a path would read."""
+    fs, pattern = file_system(spark, path)
+    found = []
+    for status in fs.globStatus(pattern) or ():
+        files = fs.listFiles(status.getPath(), True)
+        while files.hasNext():
+            file = files.next()
+            name = file.getPath().toString()
+            if not any(part.startswith(("_", ".")) for part in name[len(status.getPath().toString()) :].split("/")):
+                found.append((name, file.getLen(), file.getModificationTime()))
+    return sorted(found)
+
+
 def stored(df: DataFrame, path: str) -> DataFrame:
     """The rows, written once and read from there."""
     df.write.parquet(path)

@@ -19,8 +19,8 @@ from starledger.functions.fields import double_field, int_field, split_fields, t
 CORRUPT = "_corrupt_record"
 
 
-def scan_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of a text file or folder, in a column ``value``."""
+def scan_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Lines of a text file or folder, or of several, in a column ``value``."""
     return spark.read.text(path)
 
 

@@ -8,8 +8,9 @@ import pytest
 
 from starledger import schemas
 from starledger.__main__ import main
+from starledger.operators.leaderboards import merged_counts
 from starledger.plans import jobs
-from starledger.sources import Store, read_table
+from starledger.sources import Store, parse_ratings, read_table, scan_lines, write_table
 
 PRODUCTS = "1^ mouse ^c^x^u^k^t\n2^pen^c^x^u^k^t\n3^cup^c^x^u^k^t\n"
 RATINGS = [
@@ -84,10 +85,56 @@ def test_a_bad_line_stops_a_strict_load_and_keeps_the_tables(spark, sources, tmp
     assert sorted(rejected.collect()) == [("products", "no product"), ("ratings", "1,2,oops")]
 
 
+def test_refreshing_reads_new_files_only_and_equals_a_full_run(spark, tmp_path):
+    store, folder = Store(str(tmp_path / "store")), tmp_path / "ratings"
+    folder.mkdir()
+    boards = {"RateMoreProducts": schemas.POPULAR, "RateMoreRecentlyProducts": schemas.POPULAR_BY_MONTH,
+              "AverageProducts": schemas.TOP_RATED}
+    read = lambda: [sorted(map(tuple, read_table(spark, store, name, schema).collect())) for name, schema in boards.items()]
+    assert jobs.refresh_statistics(spark, store, str(folder)) == []
+    for part in range(3):
+        new = folder / f"part-{part}"
+        new.write_text("".join(",".join(map(str, rating)) + "\n" for rating in RATINGS[part::3]))
+        (folder / "_SUCCESS").write_text("hidden")
+        got = jobs.refresh_statistics(spark, store, str(folder))
+        assert [path.rpartition("/")[2] for path in got] == [new.name]
+        if part < 2:  # what is counted is not read again
+            new.chmod(0)
+    seen = read()
+    assert jobs.refresh_statistics(spark, store, str(folder)) == [] and read() == seen
+    for part in range(2):
+        (folder / f"part-{part}").chmod(0o600)
+    other = Store(str(tmp_path / "other"))
+    write_table(parse_ratings(scan_lines(spark, str(folder))), other, "Rating")
+    jobs.statistics(spark, other)
+    store = other
+    assert read() == seen
+    store = Store(str(tmp_path / "store"))
+    with pytest.raises(ValueError, match="months of UTC"):
+        jobs.refresh_statistics(spark, store, str(folder), tz="Asia/Shanghai")
+    with open(folder / "part-1", "a") as changed:
+        changed.write("9,9,1.0,1393632000\n")
+    with pytest.raises(ValueError, match="part-1 has changed"):
+        jobs.refresh_statistics(spark, store, str(folder))
+    assert read() == seen
+
+
+def test_the_plan_of_a_refresh_has_the_new_files_only(spark, tmp_path, monkeypatch):
+    store, folder = Store(str(tmp_path / "store")), tmp_path / "ratings"
+    folder.mkdir()
+    plans = []
+    monkeypatch.setattr(jobs, "merged_counts", lambda a, b: plans.append(b.inputFiles()) or merged_counts(a, b))
+    for part in range(2):
+        (folder / f"part-{part}").write_text("1,1,5.0,1393632000\n")
+        jobs.refresh_statistics(spark, store, str(folder))
+    assert [[path.rpartition("/")[2] for path in files] for files in plans] == [["part-1"]]
+
+
 def test_command_line(spark, sources, tmp_path):
     store = ["--root", str(tmp_path / "store"), "--format", "orc", "--option", "compression=zlib"]
     main([*store, "load", *sources, "--mode", "drop", "--no-trim"])
     main([*store, "statistics", "--text-month", "--files", "1"])
+    main([*store, "refresh", sources[1], "--text-month"])
     main([*store, "product-lists", "-n", "1", "--unfiltered", "--iterations", "2"])
     read = lambda name, schema: read_table(
         spark, Store(str(tmp_path / "store"), "orc"), name, schema
