@@ -39,6 +39,14 @@ def as_bytes(text: str | Column) -> Column:
     return column.cast("binary")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """The name, lengthened until no column of the rows has it."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def batch(schema: pa.Schema, columns: Iterable) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, schema.types)],

@@ -1,15 +1,16 @@
-"""Benchmark decontamination: n-grams as seeds, local alignment as the judge.
-
-Documents are searched for n-grams of the test items. Every n-gram of an item is a seed, however
-common or rare, so an edited copy is found by whichever one it has kept. A document that holds
-a seed is aligned with the item by Smith-Waterman, so copies with words replaced, added or left
-out are found as well. What keeps common phrases cheap is a bound: no alignment scores more than
-if each of the document's words that the item has anywhere were a match, and only the passages
-where that is enough for a copy are aligned. Nothing is lost by it: the results are those of
-aligning whole documents with every item that they share an n-gram with.
-
-Test items are the stated query set. They are taken in blocks of bounded size, each of which
-goes to all tasks, and every block meets every document.
+"""Benchmark decontamination: rare word triples as seeds, local alignment as the judge.
+
+Seeds are triples of words in their order, next to each other or with one word between, of test
+items and of documents alike. So a copy has a seed in common with its item wherever three words
+are left with one edit between them, be it a word replaced, added or left out. The documents
+count how common each seed is, and only those that are rare for their item are joined: a phrase
+that everybody uses says nothing, while in a passage that many documents share no seed is more
+common than the others. Documents and items that meet are aligned by Smith-Waterman, in the
+passages where a bound on the score allows a copy.
+
+Documents are scanned once for seeds and once for the texts that met an item, whatever the number
+of items; copies of a text are searched and aligned once. All that grows is joined by Spark; what
+is sent to all tasks is a table of bits that says which seeds there are, of a fixed size.
 """
 
 from __future__ import annotations
@@ -17,139 +18,186 @@ from __future__ import annotations
 import sys
 import unicodedata
 from collections.abc import Iterator
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import LongType
+from pyspark.sql.window import Window
 
-from starledger.llm.common import as_bytes
+from starledger.llm.common import as_bytes, stored, unused
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SEED_WORDS = 3
+#: A seed of an item is rare if it is in no more documents than this, or than so many times the
+#: median of the item's seeds that are in any document.
+RARE_SHARE, RARE_AT_LEAST, RARE_TIMES = 1e-4, 10, 4
 #: Alignment scores of a word: equal, replaced, added or left out.
 MATCH, OTHER, GAP = 2, -1, -1
 #: A passage is a copy if it scores like this share of the item, or like so many words in a
 #: row, whichever is less.
 SHARE, RUN_WORDS = 0.6, 13
-#: Most words of test items that are sent to the tasks at a time, but for a longer item.
-BLOCK_WORDS = 200_000
 
 _CHUNK = 4 << 20
 _MEMO = 1 << 19
-_FILTER_BITS = 20
+#: Bits that tell which seeds the items have: 8 MB.
+_FILTER_BITS = 26
 _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
-
-
-class Block(NamedTuple):
-    """Test items, and their n-grams sorted by hash with the items that hold them."""
-
-    items: list  # of word hashes
-    known: list  # the different word hashes of each item, sorted
-    grams: np.ndarray
-    first: np.ndarray  # of each gram's items; one longer than grams
-    item: np.ndarray
+#: Places of a seed's words, from its first one.
+_SHAPES = ((0, 1, 2), (0, 1, 3), (0, 2, 3))
 
 
 def contaminated(
     docs: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "text", item_id: str = "item_id",
-    item_text: str = "text", block_words: int = BLOCK_WORDS,
+    item_text: str = "text",
 ) -> DataFrame:
     """``id``, ``item_id``, ``score``, ``start`` and ``end`` of each copy of an item in a row.
 
     ``score`` is the alignment's as a share of the item's best, ``start`` and ``end`` count the
     row's words (letters, marks and numbers of any script between anything else, compared in
-    lower case). Of several copies in a row the best is returned, the first if equal. A row repeated is
-    searched each time; null ids are returned as such. Null or empty texts and items, and items
-    of less than ``SEED_WORDS`` words, have no copies; nor is a row compared with an item that it
-    shares no ``SEED_WORDS`` words in a row with. Equal items are all returned. Other
-    columns are not read.
+    lower case). Of several copies in a row the best is returned, the first if equal. Each of
+    repeated rows has its copies; null ids are returned as such. Null or empty texts and items, and items
+    of less than ``SEED_WORDS`` words, have no copies; nor has a row an item's with which it
+    shares no rare seed. Equal items are all returned. Other columns are not read.
     """
-    rows = docs.select(F.col(id).alias("id"), as_bytes(text).alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-    item_kind = items.schema[item_id].dataType
-    schema = f"id {kind}, item {item_kind.simpleString()}, score double, start long, end long"
-    found = None
-    for ids, block in _blocks(items, item_id, item_text, block_words):
-        one = rows.mapInArrow(_searcher(rows, ids, block), schema)
-        found = one if found is None else found.union(one)
-    if found is None:
-        found = rows.sparkSession.createDataFrame([], schema)
-    return found.withColumnsRenamed({"id": id, "item": item_id})
-
-
-def without_copies(
-    docs: DataFrame, items: DataFrame, text: str = "text", item_text: str = "text", block_words: int = BLOCK_WORDS
-) -> DataFrame:
+    rows = docs.select(F.col(id).alias("id"), _key(text).alias("key"), as_bytes(text).alias("text"))
+    numbered, found = _found(rows, items.select(F.col(item_id).alias("item_id"), as_bytes(item_text).alias("body")))
+    named = found.join(numbered.select("number", "item_id"), "number")
+    ids = rows.select("id", "key").join(named, "key")
+    return ids.select(F.col("id").alias(id), F.col("item_id").alias(item_id), "score", "start", "end")
+
+
+def without_copies(docs: DataFrame, items: DataFrame, text: str = "text", item_text: str = "text") -> DataFrame:
     """The rows, all their columns, that hold no copy of an item; see ``contaminated``."""
-    place = "_searched_text"
-    rows = docs.withColumn(place, as_bytes(text))
-    numbered = items.select(F.lit(0).cast(LongType()).alias("n"), F.col(item_text).alias("text"))
-    for _, block in _blocks(numbered, "n", "text", block_words):
-        rows = rows.mapInArrow(_keeper(rows, block), rows.schema)
-    return rows.drop(place)
-
-
-def _searcher(rows: DataFrame, ids: pa.Array, block: Block):
-    shared = rows.sparkSession.sparkContext.broadcast((ids, block))
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, block = shared.value
-        for rows in batches:
-            copies = [
-                (row, *copy) for row, found in enumerate(_copies(rows.column(1), block)) for copy in found
-            ]
-            if copies:
-                row, item, score, start, end = zip(*copies)
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column(0).take(pa.array(row)), ids.take(pa.array(item)), pa.array(score),
-                     pa.array(start, pa.int64()), pa.array(end, pa.int64())],
-                    ["id", "item", "score", "start", "end"],
-                )
-
-    return search
-
-
-def _keeper(rows: DataFrame, block: Block):
-    shared = rows.sparkSession.sparkContext.broadcast(block)
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
-            clean = [not found for found in _copies(rows.columns[-1], shared.value)]
-            yield rows.filter(pa.array(clean, pa.bool_()))
-
-    return keep
-
-
-def _blocks(items: DataFrame, item_id: str, item_text: str, block_words: int):
-    """Blocks of items with the ids of each."""
-    words = F.size(F.split(F.coalesce(F.col(item_text), F.lit("")), r"[^\p{L}\p{M}\p{N}]+"))
-    total = items.agg(F.sum(words)).first()[0] or 0
-    blocks = -(-total // block_words)
-    for number in range(blocks):
-        part = items if blocks == 1 else items.where(
-            F.pmod(F.xxhash64(item_id, item_text), F.lit(blocks)) == number
-        )
-        table = part.select(F.col(item_id).alias("id"), as_bytes(item_text).alias("text")).toArrow()
-        table = table.combine_chunks()
-        texts = [text.as_py() or b"" for text in table.column("text")]
-        if not texts:
-            continue
-        block = _indexed(_hashed(texts, _Hashes()))
-        if len(block.grams):
-            yield table.column("id").chunk(0), block
-
-
-def _indexed(items: list) -> Block:
-    parts = [np.unique(_grams(words)) for words in items]
-    grams = np.concatenate(parts)
-    owner = np.repeat(np.arange(len(items)), [len(part) for part in parts])
-    order = np.argsort(grams, kind="stable")
-    distinct, first = np.unique(grams[order], return_index=True)
-    return Block(items, [np.unique(words) for words in items], distinct, np.append(first, len(grams)), owner[order])
+    rows = docs.select(_key(text).alias("key"), as_bytes(text).alias("text"))
+    _, found = _found(rows, items.select(F.lit(0).alias("item_id"), as_bytes(item_text).alias("body")))
+    key = unused(docs, "key")
+    # Stored, so that Spark knows whether the keys are few enough to be sent to all tasks.
+    keys = stored(found.select(F.col("key").alias(key)).distinct(), "contaminated")
+    return docs.withColumn(key, _key(text)).join(keys, key, "left_anti").select([f"`{name}`" for name in docs.columns])
+
+
+def _key(text: str):
+    return F.unhex(F.md5(as_bytes(text)))
+
+
+def _found(rows: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Items with a ``number``; ``key``, ``number``, ``score``, ``start``, ``end`` of copies."""
+    numbered = stored(items.withColumn("number", F.monotonically_increasing_id()), "benchmark")
+    asked = numbered.select("number", "body").mapInArrow(_item_seeds, "number long, seed long")
+    asked = stored(asked, "benchmark-seeds")
+    shared = rows.sparkSession.sparkContext.broadcast(_bit_table(asked))
+    hits = rows.select("key", "text").mapInArrow(
+        lambda batches: _known_seeds(batches, shared.value), "key binary, seeds array<long>"
+    )
+    hits = stored(hits, "benchmark-hits")
+    rare = stored(rare_seeds(hits, asked), "benchmark-rare")
+    one = hits.groupBy("key").agg(F.first("seeds").alias("seeds"))  # copies have the same
+    pairs = one.select("key", F.explode("seeds").alias("seed")).join(rare, "seed").select("key", "number").distinct()
+    pairs = stored(pairs, "benchmark-pairs")
+    texts = rows.select("key", "text").join(pairs.select("key").distinct(), "key", "left_semi")
+    texts = texts.groupBy("key").agg(F.first("text").alias("body"))
+    # A text, then the items to align it with, one by one.
+    together = texts.select("key", F.lit(-1).cast("long").alias("number"), "body").union(
+        pairs.join(numbered, "number").select("key", "number", "body")
+    )
+    ordered = together.repartition("key").sortWithinPartitions("key", "number")
+    found = ordered.mapInArrow(_aligned, "key binary, number long, score double, start long, end long")
+    return numbered, stored(found, "benchmark-copies")
+
+
+def rare_seeds(hits: DataFrame, asked: DataFrame) -> DataFrame:
+    """``seed`` and ``number`` of the items' seeds that are rare enough to be searched for.
+
+    ``hits`` has the ``seeds`` of each document, ``asked`` the ``seed`` and ``number`` of items.
+    """
+    found = hits.select(F.explode("seeds").alias("seed")).groupBy("seed").agg(F.count(F.lit(1)).alias("n"))
+    known = asked.join(found, "seed")
+    known = known.withColumn("median", F.percentile("n", 0.5).over(Window.partitionBy("number")))
+    few = max(RARE_SHARE * hits.count(), RARE_AT_LEAST)
+    return known.where((F.col("n") <= few) | (F.col("n") <= RARE_TIMES * F.col("median"))).select("seed", "number")
+
+
+def _bit_table(seeds: DataFrame) -> np.ndarray:
+    place = F.shiftrightunsigned("seed", 64 - _FILTER_BITS)
+    words = seeds.select(place.alias("place")).groupBy(F.shiftrightunsigned("place", 6).alias("word"))
+    table = words.agg(F.bit_or(F.expr("shiftleft(1L, cast(place % 64 as int))")).alias("bits")).toArrow()
+    bits = np.zeros(1 << _FILTER_BITS - 6, np.int64)
+    bits[table.column("word").to_numpy()] = table.column("bits").to_numpy()
+    return bits.view(np.uint8)
+
+
+def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    memo = _Hashes()
+    for rows in batches:
+        for number, body in zip(rows.column(0), rows.column(1)):
+            seeds = np.unique(_seeds(_hashed([body.as_py() or b""], memo)[0])).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(seeds), number.as_py(), np.int64)), pa.array(seeds)], ["number", "seed"]
+            )
+
+
+def _known_seeds(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Key and different seeds, those of ``bits`` and few others, of each text."""
+    memo = _Hashes()
+    shift, byte, bit = np.uint64(64 - _FILTER_BITS), np.uint64(3), np.uint64(7)
+    for rows in batches:
+        at = 0
+        for chunk in _chunks(rows.column(1)):
+            found = []
+            for words in _hashed(chunk, memo):
+                seeds = _seeds(words)
+                place = seeds >> shift
+                known = bits[place >> byte] >> (place & bit).astype(np.uint8) & 1
+                found.append(np.unique(seeds[known.astype(bool)]).view(np.int64))
+            keys = rows.column(0).slice(at, len(chunk))
+            at += len(chunk)
+            yield pa.RecordBatch.from_arrays([keys, pa.array(found, pa.list_(pa.int64()))], ["key", "seeds"])
+
+
+def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    memo, items = _Hashes(), {}
+    seen: dict = {}  # passages that many texts share are aligned once
+    current, words = None, None
+    for rows in batches:
+        copies = []
+        for key, number, body in zip(*(column.to_pylist() for column in rows.columns)):
+            if number < 0:
+                current, words = key, _hashed([body or b""], memo)[0]
+            elif key == current:
+                if number not in items:
+                    if len(items) >= _MEMO // 16:
+                        items.clear()
+                    item = _hashed([body or b""], memo)[0]
+                    items[number] = item, np.unique(item)
+                best = _best_copy(number, *items[number], words, seen)
+                if best is not None:
+                    copies.append((key, number, *best))
+        if copies:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(column, kind) for column, kind in zip(
+                    zip(*copies), (pa.binary(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
+                )],
+                ["key", "number", "score", "start", "end"],
+            )
+
+
+def _best_copy(number: int, item: np.ndarray, known: np.ndarray, words: np.ndarray, seen: dict) -> tuple | None:
+    """Score, start and end of the best copy of the item, the first if equal."""
+    best = None
+    for begin, end in _passages(known, words, _needed(item)):
+        passage = words[begin:end]
+        name = (number, passage.tobytes())
+        if name not in seen:
+            if len(seen) >= _MEMO // 16:
+                seen.clear()
+            seen[name] = _judged(item, passage)
+        if seen[name] is not None:
+            score, a, b = seen[name]
+            if best is None or score > best[0]:
+                best = (score, begin + a, begin + b)
+    return best
 
 
 class _Hashes(dict):
@@ -185,13 +233,16 @@ def _hashed(texts: list[bytes], memo: _Hashes) -> list[np.ndarray]:
     return out
 
 
-def _grams(words: np.ndarray) -> np.ndarray:
-    """Hash of the n-gram that starts at each word but the last."""
-    n = max(0, len(words) - SEED_WORDS + 1)
-    total = np.zeros(n, np.uint64)
-    for k, multiplier in zip(range(SEED_WORDS), _MULTIPLIERS):
-        total += words[k : k + n] * np.uint64(multiplier)
-    return total ^ (total >> np.uint64(29))
+def _seeds(words: np.ndarray) -> np.ndarray:
+    """Hashes of all seeds of a text; the same for each of the shapes."""
+    parts = []
+    for shape in _SHAPES:
+        n = max(0, len(words) - shape[-1])
+        total = np.zeros(n, np.uint64)
+        for place, multiplier in zip(shape, _MULTIPLIERS):
+            total += words[place : place + n] * np.uint64(multiplier)
+        parts.append(total ^ (total >> np.uint64(29)))
+    return np.concatenate(parts)
 
 
 def _chunks(texts: pa.Array) -> Iterator[list[bytes]]:
@@ -206,54 +257,6 @@ def _chunks(texts: pa.Array) -> Iterator[list[bytes]]:
         yield chunk
 
 
-def _hits(texts: pa.Array, block: Block):
-    """For chunks of texts: their words, and text and number of every known n-gram, by text."""
-    memo = _Hashes()
-    flags = np.zeros(1 << _FILTER_BITS, bool)
-    shift = np.uint64(64 - _FILTER_BITS)
-    flags[block.grams >> shift] = True
-    for chunk in _chunks(texts):
-        words = _hashed(chunk, memo)
-        lengths = np.array([len(w) for w in words])
-        grams = _grams(np.concatenate(words))
-        owner = np.repeat(np.arange(len(words)), lengths)[: len(grams)]
-        start = (np.cumsum(lengths) - lengths)[owner]
-        place = np.arange(len(grams)) - start
-        some = np.flatnonzero(flags[grams >> shift])
-        some = some[place[some] + SEED_WORDS <= lengths[owner[some]]]
-        number = np.searchsorted(block.grams, grams[some])
-        number = np.minimum(number, len(block.grams) - 1)
-        known = block.grams[number] == grams[some]
-        yield words, owner[some[known]], number[known]
-
-
-def _copies(texts: pa.Array, block: Block) -> Iterator[list[tuple]]:
-    """For each text: item number, score, start and end of the best copy of each item."""
-    seen: dict = {}  # passages that many rows share are aligned once
-    for words, owner, number in _hits(texts, block):
-        found: list[dict] = [{} for _ in words]
-        ends = np.searchsorted(owner, np.arange(len(words) + 1))
-        for text in np.unique(owner).tolist():
-            grams = np.unique(number[ends[text] : ends[text + 1]]).tolist()
-            items = np.unique(np.concatenate([block.item[block.first[g] : block.first[g + 1]] for g in grams]))
-            for item in items.tolist():
-                need = _needed(block.items[item])
-                for begin, end in _passages(block.known[item], words[text], need):
-                    passage = words[text][begin:end]
-                    key = (item, passage.tobytes())
-                    if key not in seen:
-                        if len(seen) >= _MEMO // 16:
-                            seen.clear()
-                        seen[key] = _judged(block.items[item], passage)
-                    if seen[key] is not None:
-                        score, a, b = seen[key]
-                        best = found[text].get(item)
-                        if best is None or score > best[0]:
-                            found[text][item] = (score, begin + a, begin + b)
-        for copies in found:
-            yield [(item, *copy) for item, copy in copies.items()]
-
-
 def _passages(known: np.ndarray, text: np.ndarray, need: float) -> Iterator[tuple[int, int]]:
     """Passages of the text outside of which no alignment with the item scores ``need``.
 
