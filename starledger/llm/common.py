@@ -47,6 +47,31 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+#: Bits of a table that tells tasks which values there are: 8 MB, however many values.
+TABLE_BITS = 26
+
+
+def bit_table(number: Column, rows: DataFrame):
+    """The table with the bits of the rows' numbers set, as bytes of which a number's eighth has it.
+
+    Numbers are at least 0 and below ``2 ** TABLE_BITS``. Where there are too many of them the
+    table is full, and says nothing more.
+    """
+    import numpy as np
+
+    words = rows.select(number.alias("number")).groupBy(F.shiftrightunsigned("number", 6).alias("word"))
+    table = words.agg(F.bit_or(F.expr("shiftleft(1L, cast(number % 64 as int))")).alias("bits")).toArrow()
+    bits = np.zeros(1 << TABLE_BITS - 6, np.int64)
+    bits[table.column("word").to_numpy()] = table.column("bits").to_numpy()
+    return bits.view(np.uint8)
+
+
+def digest_number(key: str) -> Column:
+    """The number of a binary digest in a table of bits: its first bits."""
+    head = F.conv(F.hex(F.substring(key, 1, 4)), 16, 10).cast("long")
+    return F.shiftrightunsigned(head, 32 - TABLE_BITS)
+
+
 def batch(schema: pa.Schema, columns: Iterable) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, schema.types)],

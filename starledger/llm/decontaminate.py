@@ -10,7 +10,8 @@ passages where a bound on the score allows a copy.
 
 Documents are scanned once for seeds and once for the texts that met an item, whatever the number
 of items; copies of a text are searched and aligned once. All that grows is joined by Spark; what
-is sent to all tasks is a table of bits that says which seeds there are, of a fixed size.
+is sent to all tasks are tables of bits that say which seeds there are, and which texts met an
+item, of a fixed size.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from starledger.llm.common import as_bytes, stored, unused
+from starledger.llm.common import TABLE_BITS, as_bytes, bit_table, digest_number, stored, unused
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -41,8 +42,6 @@ SHARE, RUN_WORDS = 0.6, 13
 
 _CHUNK = 4 << 20
 _MEMO = 1 << 19
-#: Bits that tell which seeds the items have: 8 MB.
-_FILTER_BITS = 26
 _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 #: Places of a seed's words, from its first one.
 _SHAPES = ((0, 1, 2), (0, 1, 3), (0, 2, 3))
@@ -87,7 +86,8 @@ def _found(rows: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
     numbered = stored(items.withColumn("number", F.monotonically_increasing_id()), "benchmark")
     asked = numbered.select("number", "body").mapInArrow(_item_seeds, "number long, seed long")
     asked = stored(asked, "benchmark-seeds")
-    shared = rows.sparkSession.sparkContext.broadcast(_bit_table(asked))
+    spread = rows.sparkSession.sparkContext.broadcast
+    shared = spread(bit_table(F.shiftrightunsigned("seed", 64 - TABLE_BITS), asked))
     hits = rows.select("key", "text").mapInArrow(
         lambda batches: _known_seeds(batches, shared.value), "key binary, seeds array<long>"
     )
@@ -96,7 +96,8 @@ def _found(rows: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
     one = hits.groupBy("key").agg(F.first("seeds").alias("seeds"))  # copies have the same
     pairs = one.select("key", F.explode("seeds").alias("seed")).join(rare, "seed").select("key", "number").distinct()
     pairs = stored(pairs, "benchmark-pairs")
-    texts = rows.select("key", "text").join(pairs.select("key").distinct(), "key", "left_semi")
+    met = spread(bit_table(digest_number("key"), pairs))
+    texts = rows.select("key", "text").mapInArrow(lambda batches: _met(batches, met.value), "key binary, text binary")
     texts = texts.groupBy("key").agg(F.first("text").alias("body"))
     # A text, then the items to align it with, one by one.
     together = texts.select("key", F.lit(-1).cast("long").alias("number"), "body").union(
@@ -119,15 +120,6 @@ def rare_seeds(hits: DataFrame, asked: DataFrame) -> DataFrame:
     return known.where((F.col("n") <= few) | (F.col("n") <= RARE_TIMES * F.col("median"))).select("seed", "number")
 
 
-def _bit_table(seeds: DataFrame) -> np.ndarray:
-    place = F.shiftrightunsigned("seed", 64 - _FILTER_BITS)
-    words = seeds.select(place.alias("place")).groupBy(F.shiftrightunsigned("place", 6).alias("word"))
-    table = words.agg(F.bit_or(F.expr("shiftleft(1L, cast(place % 64 as int))")).alias("bits")).toArrow()
-    bits = np.zeros(1 << _FILTER_BITS - 6, np.int64)
-    bits[table.column("word").to_numpy()] = table.column("bits").to_numpy()
-    return bits.view(np.uint8)
-
-
 def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     memo = _Hashes()
     for rows in batches:
@@ -141,7 +133,7 @@ def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _known_seeds(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Key and different seeds, those of ``bits`` and few others, of each text."""
     memo = _Hashes()
-    shift, byte, bit = np.uint64(64 - _FILTER_BITS), np.uint64(3), np.uint64(7)
+    shift, byte, bit = np.uint64(64 - TABLE_BITS), np.uint64(3), np.uint64(7)
     for rows in batches:
         at = 0
         for chunk in _chunks(rows.column(1)):
@@ -156,6 +148,13 @@ def _known_seeds(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterato
             yield pa.RecordBatch.from_arrays([keys, pa.array(found, pa.list_(pa.int64()))], ["key", "seeds"])
 
 
+def _met(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The texts whose keys are in ``bits``."""
+    for rows in batches:
+        heads = [int.from_bytes(key[:4], "big") >> 32 - TABLE_BITS if key else -1 for key in rows.column(0).to_pylist()]
+        yield rows.filter(pa.array([head >= 0 and bool(bits[head >> 3] >> (head & 7) & 1) for head in heads], pa.bool_()))
+
+
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     memo, items = _Hashes(), {}
     seen: dict = {}  # passages that many texts share are aligned once
