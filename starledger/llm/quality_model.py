@@ -102,12 +102,13 @@ def score(docs: DataFrame, model: Model, text: str = "text", size: str | None =
     """
     kept = [F.col(f"`{name}`") for name in docs.columns if name != "score"]
     rows = docs.select(*kept, *_inputs(docs, text, size, "_fm_"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # As a plain tuple: broadcasts are unpickled where this package need not be installed.
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(model))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             texts, sizes = rows.columns[-2:]
-            parts = [_margins(shared.value, *part) for part in _features(texts, sizes)]
+            parts = [_margins(Model(*shared.value), *part) for part in _features(texts, sizes)]
             margin = np.concatenate(parts) if parts else np.zeros(0)
             scores = 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
             yield pa.RecordBatch.from_arrays(

@@ -13,6 +13,7 @@ meet only share candidates, which are verified anyway.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Callable
 from typing import NamedTuple
 
@@ -55,6 +56,8 @@ ADDED = [
 RULES = BASE + ADDED
 
 _MOST_ALTERNATIVES, _MOST_LETTERS = 64, 6
+#: Trigrams of a set that are looked for in the texts.
+_ASKED = 2
 #: Values whose running total is made at a time, and code points of a text that are cut at a time.
 _STEP, _CUT = 256, 4096
 
@@ -186,11 +189,23 @@ def _runs(pieces: list, states: set | None) -> set | None:
     return states
 
 
+def asked(rules: list[Rule]) -> dict[str, list[frozenset[str]]]:
+    """Of each rule with a query, its sets of trigrams, of each set those to look up.
+
+    A match needs all trigrams of a set, so any of them are a query as well, and the more sets
+    share one, the fewer have to be looked for in every text.
+    """
+    queries = {rule.kind: trigram_query(rule.pattern) or [] for rule in rules}
+    uses = Counter(t for sets in queries.values() for s in sets for t in s)
+    few = lambda s: frozenset(sorted(s, key=lambda t: (-uses[t], t))[:_ASKED])
+    return {kind: list(dict.fromkeys(map(few, sets))) for kind, sets in queries.items()}
+
+
 def trigram_index(docs: DataFrame, rules: list[Rule] = RULES, text: str = "text") -> DataFrame:
     """Postings: ``trigram`` and ``key`` (of a text), each once, of the rules' trigrams."""
-    asked = sorted({t for rule in rules for s in trigram_query(rule.pattern) or () for t in s})
+    trigrams = sorted({t for sets in asked(rules).values() for s in sets for t in s})
     low = F.lower("text")
-    lists = F.array_compact(F.array(*(F.when(low.contains(t), F.lit(t)) for t in asked)))
+    lists = F.array_compact(F.array(*(F.when(low.contains(t), F.lit(t)) for t in trigrams)))
     rows = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.select(_key("text").alias("key"), F.explode(lists).alias("trigram"))
     return rows.distinct()
@@ -199,9 +214,9 @@ def trigram_index(docs: DataFrame, rules: list[Rule] = RULES, text: str = "text"
 def candidates(index: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
     """``key`` and ``kinds``: the rules that may match the text, of those that ask the index."""
     query = [
-        (t, rule.kind, number, len(s))
-        for rule in rules
-        for number, s in enumerate(trigram_query(rule.pattern) or ())
+        (t, kind, number, len(s))
+        for kind, sets in asked(rules).items()
+        for number, s in enumerate(sets)
         for t in sorted(s)
     ]
     # As many rows as the rules have trigrams.

@@ -23,7 +23,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from starledger.llm.common import as_bytes, stored
+from starledger.llm.common import as_bytes, stored, unused
 from starledger.llm.components import components
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -71,14 +71,15 @@ def without_near_duplicates(
     """
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
     prints = stored(_with_prints(rows, "text", shingle_words).drop("text"), "fingerprints")
+    own, root, component = unused(docs, "print"), unused(docs, "root"), unused(docs, "component_id")
     classes = _classes(prints, max_bits, block_rows).withColumnsRenamed(
-        {"print": "_print", "root": "_root", "component_id": "_component"}
+        {"print": own, "root": root, "component_id": component}
     )
-    named = _with_prints(docs, text, shingle_words, "_print")
-    first = named.join(classes, "_print").where(F.col(id).eqNullSafe(F.col("_component")))
+    named = _with_prints(docs, text, shingle_words, own)
+    first = named.join(classes, own).where(F.col(id).eqNullSafe(F.col(component)))
     # Repeated rows combine before the shuffle.
     least = F.min(F.struct(*(F.col(f"`{name}`") for name in docs.columns))).alias("row")
-    return first.groupBy("_root").agg(least).select("row.*")
+    return first.groupBy(root).agg(least).select("row.*")
 
 
 def _classes(prints: DataFrame, max_bits: int, block_rows: int) -> DataFrame:
@@ -95,7 +96,7 @@ def _classes(prints: DataFrame, max_bits: int, block_rows: int) -> DataFrame:
 
 def _with_prints(docs: DataFrame, text: str, shingle_words: int, name: str = "print") -> DataFrame:
     """The rows with the 64 bits of their text as a long."""
-    rows = docs.select(*(F.col(f"`{c}`") for c in docs.columns), as_bytes(text).alias("_bytes"))
+    rows = docs.select(*(F.col(f"`{c}`") for c in docs.columns), as_bytes(text).alias(unused(docs, "bytes")))
     names = [*docs.columns, name]
     fields = [*docs.schema.fields, StructField(name, LongType())]
 

@@ -95,3 +95,11 @@ def test_components(spark):
     least = {r: min(x for x in want if want[x] == r) for r in want.values()}
     assert roots == {x: least[r] for x, r in want.items()}
     assert components.components(frame.limit(0)).count() == 0
+
+
+def test_rows_keep_columns_of_any_name(spark):
+    names = ["print", "root", "component_id", "bytes", "_print", "_root", "node", "row"]
+    docs = spark.createDataFrame([(1, "a b c d e", *names), (2, "A b c d e", *names)],
+                                 f"doc_id long, text string, {', '.join(f'{n} string' for n in names)}")
+    kept = simhash.without_near_duplicates(docs)
+    assert kept.columns == docs.columns and [tuple(r) for r in kept.collect()] == [(1, "a b c d e", *names)]
