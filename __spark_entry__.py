@@ -95,8 +95,8 @@ def _rating_lines(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _damaged_rating_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Rating lines where scores of 1, 2 and 3 mark three kinds of damage."""
+def _damaged_rating_lines(spark: SparkSession, sf: str, which=None) -> DataFrame:
+    """Rating lines, all or which are asked for, where scores of 1, 2 and 3 mark three kinds of damage."""
     user, product, score, seconds = _rating_fields()
     line = (
         F.when(F.col("score") == 1, F.concat_ws(",", user, F.lit("abc"), score, seconds))
@@ -104,7 +104,8 @@ def _damaged_rating_lines(spark: SparkSession, sf: str) -> DataFrame:
         .when(F.col("score") == 3, F.concat_ws(",", user, product, score))
         .otherwise(F.concat_ws(",", user, product, score, seconds))
     )
-    return ratings_from_orders(spark, sf).select(line.alias("value"))
+    ratings = ratings_from_orders(spark, sf)
+    return (ratings if which is None else ratings.where(which)).select(line.alias("value"))
 
 
 def _as_text_file(lines: DataFrame) -> str:
@@ -136,6 +137,17 @@ def scan_rejects(spark: SparkSession, sf: str) -> DataFrame:
     return bad
 
 
+def scan_rejects_by_file(spark: SparkSession, sf: str) -> DataFrame:
+    """Rejected lines of two files, with the file that each is from."""
+    folder = new_folder(spark, "lines")
+    for name, newer in (("older", False), ("newer", True)):
+        ratings = _damaged_rating_lines(spark, sf, F.lit(newer) == (F.col("timestamp") >= 883_612_800))
+        ratings.write.text(f"{folder}/part={name}")
+    lines = scan_lines(spark, f"{folder}/part=*", located=True)
+    _, bad = rejects(parse_ratings(lines, mode="permissive"))
+    return bad.select("value", F.regexp_extract("file", "/part=([a-z]+)/", 1).alias("part"))
+
+
 def raw_first_line(spark: SparkSession, sf: str) -> DataFrame:
     ordered = products_from_part(spark, sf).orderBy("productId")
     line = F.concat_ws("^", F.col("productId").cast("string"), "name")
@@ -182,6 +194,12 @@ def store_clustered(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, store, "Rating", schemas.RATING)
 
 
+def store_interleaved(spark: SparkSession, sf: str) -> DataFrame:
+    store = _store(spark)
+    write_table(ratings_from_orders(spark, sf), store, "Rating", cluster_by=["userId", "productId"])
+    return read_table(spark, store, "Rating", schemas.RATING)
+
+
 def store_single_file(spark: SparkSession, sf: str) -> DataFrame:
     store = _store(spark)
     board = popular(ratings_from_orders(spark, sf))
@@ -559,11 +577,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             scan_ratings,
             scan_kept,
             scan_rejects,
+            scan_rejects_by_file,
             raw_first_line,
             multi_value_tags,
             store_roundtrip,
             store_overwrite,
             store_clustered,
+            store_interleaved,
             store_single_file,
             popular_products,
             popular_products_sql,
@@ -653,6 +673,12 @@ def _by_month(month: str) -> str:
         FROM ratings GROUP BY "productId", yearmonth"""
 
 
+_DAMAGED = """
+            CASE CAST(score AS INT)
+                WHEN 1 THEN concat_ws(',', "userId", 'abc', score, "timestamp")
+                WHEN 2 THEN concat_ws(',', "userId" || '.0', "productId", score, "timestamp")
+                ELSE concat_ws(',', "userId", "productId", score) END"""
+
 _TOP_N = """
     top_pairs AS (
         SELECT "userId", "productId", score,
@@ -735,12 +761,10 @@ def oracle_sql() -> dict[str, str]:
         "scan_products_untrimmed": _PRODUCTS.format(name="'  ' || p_name || ' ' || chr(9)"),
         "scan_ratings": rows,
         "scan_kept": f"{rows} WHERE score > 3",
-        "scan_rejects": f"""
+        "scan_rejects": f"WITH {_RATINGS} SELECT {_DAMAGED} AS value FROM ratings WHERE score <= 3",
+        "scan_rejects_by_file": f"""
             WITH {_RATINGS}
-            SELECT CASE CAST(score AS INT)
-                WHEN 1 THEN concat_ws(',', "userId", 'abc', score, "timestamp")
-                WHEN 2 THEN concat_ws(',', "userId" || '.0', "productId", score, "timestamp")
-                ELSE concat_ws(',', "userId", "productId", score) END AS value
+            SELECT {_DAMAGED} AS value, CASE WHEN "timestamp" >= 883612800 THEN 'newer' ELSE 'older' END AS part
             FROM ratings WHERE score <= 3""",
         "raw_first_line": """
             SELECT p_partkey || '^' || p_name AS value
@@ -751,6 +775,7 @@ def oracle_sql() -> dict[str, str]:
         "store_roundtrip": rows,
         "store_overwrite": f"{rows} WHERE score >= 3",
         "store_clustered": rows,
+        "store_interleaved": rows,
         "store_single_file": popular_rows,
         "popular_products": popular_rows,
         "popular_products_sql": popular_rows,

@@ -37,6 +37,7 @@ def arguments() -> argparse.ArgumentParser:
     load.add_argument("--no-trim", dest="trim", action="store_false")
     load.add_argument("--mode", choices=["strict", "drop", "permissive"], default="strict")
     load.add_argument("--rejected-table", default="RejectedLines")
+    load.add_argument("--max-rejected", type=int)
     load.add_argument("--unindexed", dest="indexed", action="store_false")
 
     statistics = commands.add_parser("statistics", help="compute the leaderboards")

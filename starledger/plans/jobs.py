@@ -35,25 +35,33 @@ def load(
     trim: bool = True,
     mode: str = "strict",
     indexed: bool = True,
+    max_rejected: int | None = None,
 ) -> None:
     """Parse both text sources and replace both tables.
 
     ``indexed`` lays products and ratings out by product and makes ratings findable by
     user; without it, or in a store that keeps no layout, the rows are written as they come,
     in one pass. In mode
-    ``permissive`` the lines that cannot be read are stored as well, as (source, value).
+    ``permissive`` the lines that cannot be read are stored as well, as (source, value, file,
+    block_start). With more than ``max_rejected`` of them the load fails, after storing them and
+    before it replaces another table.
     """
-    products = parse_products(scan_lines(spark, products_path), trim, mode)
-    ratings = parse_ratings(scan_lines(spark, ratings_path), mode)
+    located = mode == "permissive"
+    products = parse_products(scan_lines(spark, products_path, located), trim, mode)
+    ratings = parse_ratings(scan_lines(spark, ratings_path, located), mode)
     parsed = new_folder(spark, "parsed")
     if mode == "permissive":  # parsed once for the tables and for the rejected lines
         products, ratings = stored(products, f"{parsed}/p"), stored(ratings, f"{parsed}/r")
         products, bad_products = rejects(products)
         ratings, bad_ratings = rejects(ratings)
-        rejected = bad_products.select(F.lit("products").alias("source"), "value").union(
-            bad_ratings.select(F.lit("ratings").alias("source"), "value")
+        rejected = bad_products.select(F.lit("products").alias("source"), "*").union(
+            bad_ratings.select(F.lit("ratings").alias("source"), "*")
         )
         write_table(rejected, store, rejected_table)
+        if max_rejected is not None and (found := rejected.count()) > max_rejected:
+            where = rejected.groupBy("file").count().orderBy(F.desc("count"), "file").first()
+            delete_folder(spark, parsed)
+            raise ValueError(f"{found} lines rejected, {where['count']} of them in {where['file']}")
     indexed = indexed and store.keeps_layout
     key = "productId" if indexed else None
     write_table(products, store, product_table, cluster_by=key)

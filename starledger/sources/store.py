@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from starledger.shared import delete_folder, file_system
-from starledger.sources.layout import clustered
+from starledger.sources.layout import clustered, interleaved
 
 _MARKERS = "_versions"
 
@@ -76,15 +76,15 @@ def write_table(
     store: Store,
     name: str,
     *,
-    cluster_by: str | None = None,
+    cluster_by: str | Sequence[str] | None = None,
     lookup_keys: Sequence[str] = (),
     order_by: Sequence[Column | str] = (),
     files: int | None = None,
 ) -> None:
     """Replace a named table.
 
-    ``cluster_by`` lays the rows out by that key; ``lookup_keys`` get Bloom filters, so a
-    second key can be looked up too. Both raise for a store that ``keeps_layout`` is false
+    ``cluster_by`` lays the rows out by that key, or by several so that each can be looked up;
+    ``lookup_keys`` get Bloom filters, so a further key can be looked up too. Both raise for a store that ``keeps_layout`` is false
     of. ``order_by`` sorts the whole table. ``files`` asks for so many files, or partitions
     handed to a connector, at any size; they keep the order from one to the next. Fewer are
     written only if there are fewer different rows.
@@ -96,10 +96,15 @@ def write_table(
     """
     if (cluster_by or lookup_keys) and not store.keeps_layout:
         raise ValueError(f"a {store.format} store cannot lay rows out by a key")
-    order = list(order_by) or ([cluster_by] if cluster_by else [])
+    several = cluster_by is not None and not isinstance(cluster_by, str)
+    if several and (files is not None or order_by):
+        raise ValueError("several keys are laid out without a number of files or an order")
+    order = list(order_by) or ([cluster_by] if cluster_by and not several else [])
     if files is not None:
         df = df.repartitionByRange(files, *order) if order and files > 1 else df.repartition(files)
         df = df.sortWithinPartitions(*order) if order else df
+    elif several:
+        df = interleaved(df, cluster_by)
     elif cluster_by:
         df = clustered(df, cluster_by)
     elif order:

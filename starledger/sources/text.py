@@ -17,11 +17,21 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from starledger.functions.fields import double_field, int_field, split_fields, trim_controls
 
 CORRUPT = "_corrupt_record"
+#: Where a line is from, if the scan says so: its file, and the first byte of the part of the
+#: file that was read with it.
+FILE, BLOCK = "_file", "_block_start"
 
 
-def scan_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Lines of a text file or folder, or of several, in a column ``value``."""
-    return spark.read.text(path)
+def scan_lines(spark: SparkSession, path: str | list[str], located: bool = False) -> DataFrame:
+    """Lines of a text file or folder, or of several, in a column ``value``.
+
+    ``located`` adds where each line is from, in columns that permissive parsers keep.
+    """
+    lines = spark.read.text(path)
+    if not located:
+        return lines
+    place = lambda name: F.col(f"_metadata.{name}")
+    return lines.select("value", place("file_path").alias(FILE), place("file_block_start").alias(BLOCK))
 
 
 def first_line(spark: SparkSession, path: str) -> DataFrame:
@@ -45,6 +55,7 @@ def parse_products(lines: DataFrame, trim: bool = True, mode: str = "strict") ->
     field = lambda position: F.get("fields", F.lit(position))
     typed = _with_fields(lines, "^").select(
         "value",
+        *_places(lines),
         int_field(field(0)).alias("productId"),
         clean(field(1)).alias("name"),
         clean(field(4)).alias("imageUrl"),
@@ -59,6 +70,7 @@ def parse_ratings(lines: DataFrame, mode: str = "strict") -> DataFrame:
     field = lambda position: F.get("fields", F.lit(position))
     typed = _with_fields(lines, ",").select(
         "value",
+        *_places(lines),
         int_field(field(0)).alias("userId"),
         int_field(field(1)).alias("productId"),
         double_field(field(2)).alias("score"),
@@ -68,25 +80,34 @@ def parse_ratings(lines: DataFrame, mode: str = "strict") -> DataFrame:
 
 
 def rejects(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split a ``permissive`` result into good rows and rejected lines."""
-    good = parsed.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = parsed.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("value"))
-    return good, bad
+    """Split a ``permissive`` result into good rows and rejected lines.
+
+    Lines of a located scan come with ``file`` and ``block_start``.
+    """
+    good = parsed.where(F.col(CORRUPT).isNull()).drop(CORRUPT, FILE, BLOCK)
+    bad = parsed.where(F.col(CORRUPT).isNotNull())
+    places = [F.col(name).alias(name[1:]) for name in _places(parsed)]
+    return good, bad.select(F.col(CORRUPT).alias("value"), *places)
+
+
+def _places(rows: DataFrame) -> list[str]:
+    return [name for name in (FILE, BLOCK) if name in rows.columns]
 
 
 def _with_fields(lines: DataFrame, separator: str) -> DataFrame:
-    return lines.select("value", split_fields(F.col("value"), separator).alias("fields"))
+    return lines.select("value", split_fields(F.col("value"), separator).alias("fields"), *_places(lines))
 
 
 def _apply_mode(typed: DataFrame, mode: str, what: str) -> DataFrame:
-    names = [name for name in typed.columns if name != "value"]
+    places = _places(typed)
+    names = [name for name in typed.columns if name not in ("value", *places)]
     # A field that is missing or cannot be read is NULL, and no valid field is.
     valid = F.lit(True)
     for name in names:
         valid = valid & F.col(name).isNotNull()
     if mode == "permissive":
         kept = [F.when(valid, F.col(name)).alias(name) for name in names]
-        return typed.select(*kept, F.when(~valid, F.col("value")).alias(CORRUPT))
+        return typed.select(*kept, F.when(~valid, F.col("value")).alias(CORRUPT), *places)
     if mode not in ("strict", "drop"):
         raise ValueError(f"unknown mode: {mode}")
     # inline() checks and projects in one go: the check cannot be pruned away with

@@ -83,6 +83,11 @@ def test_a_bad_line_stops_a_strict_load_and_keeps_the_tables(spark, sources, tmp
     assert read_table(spark, store, "Rating", schemas.RATING).count() == 6
     rejected = read_table(spark, store, "RejectedLines", "source string, value string")
     assert sorted(rejected.collect()) == [("products", "no product"), ("ratings", "1,2,oops")]
+    places = store.load(spark, "RejectedLines").select("file", "block_start").collect()
+    assert sorted((p.file.rpartition("/")[2], p.block_start) for p in places) == [("products.csv", 0), ("ratings.csv", 0)]
+    jobs.load(spark, store, *sources, mode="permissive", max_rejected=2)
+    with pytest.raises(ValueError, match="2 lines rejected, 1 of them in file:.*products.csv"):
+        jobs.load(spark, store, *sources, mode="permissive", max_rejected=1)
 
 
 def test_refreshing_reads_new_files_only_and_equals_a_full_run(spark, tmp_path):

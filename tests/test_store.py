@@ -212,6 +212,31 @@ def test_what_a_lost_driver_leaves_is_not_read_and_can_be_deleted(spark, ratings
     assert read_table(spark, store, "Rating", schemas.RATING).count() == 7
 
 
+def test_lookups_by_either_of_two_keys_skip_most_row_groups(spark, tmp_path, uncoalesced):
+    store = Store(str(tmp_path), options={"parquet.block.size": str(1 << 14)})
+    pairs = spark.range(0, 120_000, 1, 8).selectExpr(
+        "int((id * 7919) % 3000) as userId", "int(if(id % 3 = 0, 17, (id * 104729) % 2000)) as productId",
+        "1.0D as score", "int(if(id % 50 = 0, null, id)) as timestamp",
+    )
+    write_table(pairs, store, "Rating", cluster_by=["userId", "productId"])
+    assert read_table(spark, store, "Rating", schemas.RATING).exceptAll(pairs).isEmpty()
+    spans = {"userId": [], "productId": []}
+    for path in files(tmp_path):
+        meta = pq.ParquetFile(path).metadata
+        for group in range(meta.num_row_groups):
+            columns = (meta.row_group(group).column(c) for c in range(meta.num_columns))
+            for column in columns:
+                if column.path_in_schema in spans:
+                    spans[column.path_in_schema].append((column.statistics.min, column.statistics.max))
+    for key, values in (("userId", range(0, 3000, 100)), ("productId", [p for p in range(0, 2000, 100)])):
+        share = [sum(low <= v <= high for low, high in spans[key]) / len(spans[key]) for v in values]
+        assert len(spans[key]) > 40 and sum(share) / len(share) < 0.3, (key, share)
+    with pytest.raises(ValueError):
+        write_table(pairs, store, "Rating", cluster_by=["userId", "productId"], files=1)
+    write_table(pairs.limit(0), store, "Rating", cluster_by=["userId", "productId"])
+    assert read_table(spark, store, "Rating", schemas.RATING).count() == 0
+
+
 def test_lookup_filters_reach_the_scan(spark, ratings, tmp_path):
     store = Store(str(tmp_path))
     write_table(ratings, store, "Rating", cluster_by="productId")
