@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starledger.llm.common import table
+from starledger.llm.common import stored, table
 from starledger.llm import bpe, minhash, quality_model, quality_rules
 from starledger.llm.conversations import damage, repair
 from starledger.llm.decontaminate import contaminated
@@ -102,8 +102,8 @@ def op10_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
 def op7_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     good = table(spark, sf, "labels").where("quality = 1").select("doc_id").distinct()
-    # Labels grow with the documents: the join that suits them at any size.
-    good = good.withColumn("trusted", F.lit(True)).hint("merge")
+    # Stored, so that Spark knows whether the ids are few enough to leave the texts where they are.
+    good = stored(good, "trusted").withColumn("trusted", F.lit(True))
     rows = quality_rules.judge(docs, docs.join(good, "doc_id", "left"))
     return rows.select("doc_id", *quality_rules.BASE, "base_failed", "kept")
 
