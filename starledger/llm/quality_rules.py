@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from starledger.llm.common import stored, words_of
+from starledger.llm.common import stored, unused, words_of
 
 #: Fixed values of the base rules.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -34,37 +34,40 @@ def base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows with the ``BASE`` counts, as longs, and ``base_failed``.
 
     A null text is an empty one: all counts are 0 and the base fails. Columns of these names
-    are replaced.
+    are replaced, all others are kept.
     """
+    words, lines, hashes, windows, ordered, starts = names = [
+        unused(docs, name) for name in ("_words", "_lines", "_hashes", "_windows", "_ordered", "_starts")
+    ]
     whole = F.coalesce(F.col(text), F.lit(""))
-    lines = F.filter(F.split(whole, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
-    rows = docs.withColumns({"_words": words_of(F.col(text)), "_lines": lines})
+    with_word = F.filter(F.split(whole, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
+    rows = docs.withColumns({words: words_of(F.col(text)), lines: with_word})
     rows = rows.withColumns(
         {
-            "n_words": F.size("_words"),
-            "word_chars": F.length(F.regexp_replace(whole, SPACE, "")),
+            "n_words": F.size(words),
+            "word_chars": F.length(F.array_join(words, "")),
             "n_symbols": F.length(F.regexp_replace(whole, f"[^{SYMBOLS}]+", "")),
-            "n_dup_lines": F.size("_lines") - F.size(F.array_distinct("_lines")),
-            "_windows": _windows(F.col("_words")),
+            "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
+            hashes: F.transform(words, lambda word: F.xxhash64(word)),
         }
     )
-    rows = rows.withColumn("_ordered", _ordered(F.col("_windows")))
-    rows = rows.withColumn("_starts", _repeated_starts(F.col("_ordered")))
-    rows = rows.withColumn("n_repeat_words", _covered(F.col("_starts")))
+    rows = rows.withColumn(windows, _windows(hashes))
+    rows = rows.withColumn(ordered, _ordered(F.col(windows)))
+    rows = rows.withColumn(starts, _repeated_starts(F.col(ordered)))
+    rows = rows.withColumn("n_repeat_words", _covered(F.col(starts)))
     failed = (F.col("n_words") < LEAST_WORDS) | (
         100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")
     )
     longs = {name: F.col(name).cast("long") for name in BASE}
-    return rows.drop("_words", "_lines", "_windows", "_ordered", "_starts").withColumns(longs).withColumn("base_failed", failed)
+    return rows.drop(*names).withColumns(longs).withColumn("base_failed", failed)
 
 
-def _windows(words: Column) -> Column:
-    """A 64-bit hash of every window of words."""
-    one = lambda i: F.xxhash64(F.slice(words, i, WINDOW))
-    places = F.sequence(F.lit(1), F.size(words) - WINDOW + 1)
-    return F.when(F.size(words) >= WINDOW, F.transform(places, one)).otherwise(
-        F.array().cast("array<bigint>")
-    )
+def _windows(hashes: str) -> Column:
+    """A 64-bit hash of every window of words, from the hashes of its words."""
+    word = lambda at: F.get(hashes, at)
+    one = lambda first, i: F.xxhash64(first, *(word(i + k) for k in range(1, WINDOW)))
+    firsts = F.slice(hashes, 1, F.greatest(F.size(hashes) - WINDOW + 1, F.lit(0)))
+    return F.transform(firsts, one)
 
 
 def _ordered(windows: Column) -> Column:
@@ -93,48 +96,55 @@ def _covered(starts: Column) -> Column:
     return F.aggregate(own_words, F.lit(0), lambda total, n: total + n)
 
 
-def ratios(docs: DataFrame, corpus: DataFrame, text: str = "text", trusted: str = "trusted") -> DataFrame:
-    """``key`` (see ``text_key``) and ``ratio`` of every different text of ``docs``.
+def with_ratio(docs: DataFrame, corpus: DataFrame, text: str = "text", trusted: str = "trusted") -> DataFrame:
+    """The rows with ``ratio``, a column that is replaced; all others are kept.
 
     The ratio is the mean over the text's n-grams of the logarithm of how much likelier they
     are in the rows of ``corpus`` that column ``trusted`` marks than in all of its rows. Texts
-    without n-grams, empty or null, have none. Repeated rows count each time; a null mark is
-    none. Without trusted texts their model is uniform.
+    without n-grams, empty or null, have a null. Repeated rows count each time; a null mark is
+    none. Without trusted texts their model is uniform. The models reach the rows as one array
+    of ``BUCKETS`` numbers, so texts are scored where they are read.
     """
+    tokens, weights = unused(docs, "_tokens"), unused(docs, "_weights")
+    rows = docs.withColumns({tokens: _tokens(text), weights: _weights(corpus, text, trusted).scalar()})
+    add = lambda total, bucket: total + F.get(weights, bucket)
+    total = F.aggregate(_buckets(tokens), F.lit(0).cast("long"), add)
+    ratio = F.when(F.size(tokens) > 0, total / (2 * F.size(tokens) - 1) / SCALE)
+    return rows.withColumn("ratio", ratio).drop(tokens, weights)
+
+
+def _weights(corpus: DataFrame, text: str, trusted: str) -> DataFrame:
+    """One row with the array of the buckets' weights, whole numbers: their sums do not depend
+    on the order of rows."""
     good = F.coalesce(F.col(trusted), F.lit(False))
-    grams = _grams(corpus, text, good.alias("good"))
+    rows = corpus.select(good.alias("good"), _tokens(text).alias("tokens"))
+    rows = rows.select("good", _buckets("tokens").alias("grams"))
+    # Outer, as Spark would otherwise make all n-grams twice to leave out texts without any.
+    grams = rows.select("good", F.explode_outer("grams").alias("bucket")).where("bucket is not null")
     # Combined before the shuffle to a row per bucket: a fixed number.
     counts = grams.groupBy("bucket").agg(
         F.count_if("good").alias("good"), F.count(F.lit(1)).alias("raw")
     )
     counts = stored(counts, "ngrams")
     totals = counts.agg(F.sum("good"), F.sum("raw")).first()
-    chance = lambda n, total: (F.col(n) + SMOOTHING) / ((total or 0) + SMOOTHING * BUCKETS)
+    chance = lambda n, total: (F.coalesce(n, F.lit(0)) + SMOOTHING) / ((total or 0) + SMOOTHING * BUCKETS)
     log = F.log(chance("good", totals[0]) / chance("raw", totals[1]))
-    # Whole numbers, so that sums do not depend on the order of rows.
-    weights = counts.select("bucket", F.round(log * SCALE).cast("long").alias("weight"))
-    weighted = _grams(docs, text, text_key(F.col(text)).alias("key")).join(F.broadcast(weights), "bucket")
-    mean = F.sum("weight") / F.count(F.lit(1)) / SCALE
-    return weighted.groupBy("key").agg(mean.alias("ratio"))
+    buckets = corpus.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
+    weights = buckets.join(counts, "bucket", "left").select("bucket", F.round(log * SCALE).cast("int").alias("weight"))
+    ordered = F.array_sort(F.collect_list(F.struct("bucket", "weight")))
+    return weights.agg(ordered["weight"].alias("weights"))
 
 
-def text_key(text: Column) -> Column:
-    """128 bits that stand for a text."""
-    whole = F.coalesce(text, F.lit(""))
-    return F.struct(F.xxhash64(whole).alias("a"), F.xxhash64(F.lit(1), whole).alias("b"))
+def _tokens(text: str) -> Column:
+    return F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(TOKEN), F.lit(1))
 
 
-def _grams(rows: DataFrame, text: str, by: Column) -> DataFrame:
-    """``by`` and ``bucket`` of each of the text's tokens and pairs of tokens."""
-    tokens = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(TOKEN), F.lit(1))
+def _buckets(tokens: str) -> Column:
+    """The buckets of each token and of each pair of tokens."""
     bucket = lambda *parts: F.pmod(F.xxhash64(*parts), F.lit(BUCKETS)).cast("int")
-    rows = rows.select(by, tokens.alias("tokens"))
-    one = F.transform("tokens", lambda t: bucket(t))
-    n = F.greatest(F.size("tokens") - 1, F.lit(0))
-    pairs = F.zip_with(F.slice("tokens", 1, n), F.slice("tokens", 2, n), lambda a, b: bucket(a, b))
-    # Outer, as Spark would otherwise make all n-grams twice to leave out texts without any.
-    grams = rows.select(rows.columns[0], F.explode_outer(F.concat(one, pairs)).alias("bucket"))
-    return grams.where("bucket is not null")
+    n = F.greatest(F.size(tokens) - 1, F.lit(0))
+    pairs = F.zip_with(F.slice(tokens, 1, n), F.slice(tokens, 2, n), lambda a, b: bucket(a, b))
+    return F.concat(F.transform(tokens, lambda t: bucket(t)), pairs)
 
 
 def judge(
@@ -143,13 +153,11 @@ def judge(
 ) -> DataFrame:
     """The rows with the ``BASE`` counts, ``base_failed``, ``ratio`` and ``kept``.
 
-    The models are counted from ``corpus``, see ``ratios``, which may be ``docs`` themselves.
-    A text is kept if the base holds and its ratio is ``threshold`` or more; without n-grams
-    the ratio is null and the base decides. Equal texts are judged alike. Columns of these
-    names are replaced; an empty table gives no rows.
+    The models are counted from ``corpus``, see ``with_ratio``, which may be ``docs``
+    themselves. A text is kept if the base holds and its ratio is ``threshold`` or more;
+    without n-grams the ratio is null and the base decides. Equal texts are judged alike.
+    Columns of these names are replaced, all others are kept; an empty table gives no rows.
     """
-    found = ratios(docs, corpus, text, trusted)
-    rows = base_counts(docs, text).drop("ratio").withColumn("_key", text_key(F.col(text)))
-    rows = rows.join(found.withColumnRenamed("key", "_key"), "_key", "left").drop("_key")
+    rows = with_ratio(base_counts(docs, text), corpus, text, trusted)
     kept = ~F.col("base_failed") & F.coalesce(F.col("ratio") >= threshold, F.lit(True))
     return rows.withColumn("kept", kept)

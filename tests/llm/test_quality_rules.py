@@ -78,6 +78,25 @@ def test_nulls_empty_long_repeated_and_clashing_columns(spark):
     assert rules.judge(docs, none.limit(0)).count() == rules.judge(docs, none).count() == len(texts)
 
 
+def test_columns_with_the_names_of_steps_are_kept(spark):
+    names = ["_words", "_lines", "_hashes", "_windows", "_ordered", "_starts", "_tokens", "_weights", "key", "bucket", "tokens", "good"]
+    docs = spark.createDataFrame([(1, "a b " * 30), (2, None)], "doc_id long, text string")
+    wide = docs.select("*", *(F.col("doc_id").alias(name) for name in names))
+    marked = F.col("doc_id") == 1
+    plain = rules.judge(docs, docs.withColumn("trusted", marked))
+    rows = rules.judge(wide, wide.withColumn("trusted", marked))
+    assert rows.where(" or ".join(f"{name} != doc_id" for name in names)).count() == 0
+    assert sorted(rows.select(plain.columns).collect()) == sorted(plain.collect())
+
+
+def test_texts_are_judged_where_they_are_read(spark):
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    rows = rules.judge(docs, docs.withColumn("trusted", F.lit(True)))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    # The models come as a value, so the only shuffle is that of their fixed number of buckets.
+    assert plan.count("Exchange SinglePartition") == 1 and "hashpartitioning" not in plan
+
+
 def test_plans_run_no_python(spark):
     plan = op7_quality_rules(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
