@@ -8,7 +8,7 @@ words; a template is found where the window holds ``least`` of its shingles or m
 Each band is a single min-hash: for a window that holds a template, the chance to agree in one
 is their Jaccard similarity, an eighth at worst (a template of one shingle among the eight of
 its window), so that all bands miss it with a chance of (7/8) ** 48 = 0.0017, and far less for
-longer templates.
+longer templates. Notices that differ in a word or two may both be found in one place.
 
 A window that holds no shingle of any template agrees with none of them in any min-hash, so
 its min-hashes are not computed. DataFrame functions only.
@@ -59,6 +59,48 @@ TEMPLATES = {
     ),
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
+    "LGPL-text": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation; either version "
+        "2.1 of the License, or (at your option) any later version."
+    ),
+    "AGPL-text": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+        "General Public License as published by the Free Software Foundation; either version "
+        "3 of the License, or (at your option) any later version."
+    ),
+    "GFDL-text": (
+        "Permission is granted to copy, distribute and/or modify this document under the terms of the GNU Free "
+        "Documentation License"
+    ),
+    "EPL-2.0": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+        "License 2.0"
+    ),
+    "CDDL": (
+        "The contents of this file are subject to the terms of the Common Development and Distribution License"
+    ),
+    "EUPL-1.2": "Licensed under the EUPL, Version 1.2",
+    "BSL-1.0": "Distributed under the Boost Software License, Version 1.0.",
+    "Zlib-text": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors "
+        "be held liable for any damages arising from the use of this software."
+    ),
+    "CC0-1.0": "has waived all copyright and related or neighboring rights to this work",
+    "CC-BY-NC-4.0-text": (
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."
+    ),
+    "CC-BY-ND-4.0": (
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."
+    ),
+    "CC-BY-NC-SA-4.0": (
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International "
+        "License."
+    ),
+    "CC-BY-NC-ND-4.0": (
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International "
+        "License."
+    ),
 }
 
 

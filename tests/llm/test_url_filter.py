@@ -1,7 +1,12 @@
+import math
 import re
+from collections import Counter
 
+import pytest
+import xxhash
 from pyspark.sql import functions as F
 
+from starledger.llm import url_filter as uf
 from starledger.llm.queries import URL_RULES, op4_url_filter
 from starledger.llm.url_filter import Rule, filter_urls
 
@@ -28,9 +33,71 @@ def test_rules_equal_brute_force(spark):
         host, path, rule, verdict = ruled(urls[row.page_id], URL_RULES)
         assert (row.host, row.path, row.rule) == (host, path, rule)
         assert row.verdict == (verdict or ("allow" if row.score > 0 else "block"))
-    # What no rule fits is told apart by language, as the rules do for net.
-    free = [r for r in rows if r.rule is None and r.host.endswith(".net")]
-    assert free
+
+
+def places(url):
+    """For each character and order, the bucket of its context and of both, by plain numbers."""
+    mask = (1 << 64) - 1
+    for i, character in enumerate(url):
+        code = 0
+        for n in range(uf.ORDER + 1):
+            if n:
+                code = ((code ^ (ord(url[i - n]) + 1 if i >= n else 0)) * 0x9E3779B97F4A7C15) & mask
+                code ^= code >> 29
+            gram = ((code ^ (ord(character) + 1)) * 0xBF58476D1CE4E5B9) & mask
+            yield n, code % uf.BUCKETS, (gram ^ gram >> 31) % uf.BUCKETS
+
+
+def model(urls):
+    """Counts of contexts and of characters after them, of each URL as often as it is there."""
+    contexts, grams = Counter(), Counter()
+    for url in urls:
+        for n, context, gram in places(url):
+            contexts[n, context] += 1
+            grams[n, gram] += 1
+    return contexts, grams
+
+
+def likelihood(url, counted):
+    contexts, grams = counted
+    total = 0.0
+    for n, context, gram in places(url):
+        chance = 1 / 256 if n == 0 else chance
+        seen, all_ = grams[n, gram], contexts[n, context]
+        chance = (seen + uf.WEIGHT * chance) / (max(seen, all_) + uf.WEIGHT)
+        total += math.log(chance) if n == uf.ORDER else 0
+    return total / max(1, len(url))
+
+
+def score(url, allow, block):
+    return likelihood(url, allow) - likelihood(url, block)
+
+
+def test_scores_and_threshold_equal_brute_force(spark):
+    urls = dict(map(tuple, spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url").collect()))
+    labelled = {verdict: [u for u in urls.values() if u and ruled(u, URL_RULES)[3] == verdict] for verdict in ("allow", "block")}
+    assert all(labelled.values())
+    fold = lambda url: xxhash.xxh64_intdigest(url.encode(), 42) % 2
+    # Each half is scored by models of the other half; the middle one of the best steps parts them.
+    halves = [[model(u for u in labelled[v] if fold(u) == f) for v in ("allow", "block")] for f in (0, 1)]
+    steps = {
+        v: [math.floor((score(u, *halves[1 - fold(u)]) + uf.SPAN) * uf.STEPS) for u in found]
+        for v, found in labelled.items()
+    }
+    right = [
+        sum(x >= edge for x in steps["allow"]) / len(steps["allow"])
+        + sum(x < edge for x in steps["block"]) / len(steps["block"])
+        for edge in range(2 * uf.SPAN * uf.STEPS + 1)
+    ]
+    best = [edge for edge, share in enumerate(right) if share >= max(right) - 1e-12]
+    threshold = best[len(best) // 2] / uf.STEPS - uf.SPAN
+    whole = [model(labelled[v]) for v in ("allow", "block")]
+    rows = op4_url_filter(spark, SF).collect()
+    assert len(rows) == len(urls)
+    for row in rows:
+        want = score(urls[row.page_id] or "", *whole) - threshold
+        assert row.score == pytest.approx(want, abs=1e-9)
+        assert row.verdict == (ruled(urls[row.page_id], URL_RULES)[3] or ("allow" if want > 0 else "block"))
 
 
 def test_models_agree_with_rules_on_urls_they_have_not_seen(spark):
