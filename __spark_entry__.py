@@ -16,6 +16,7 @@ from starledger.operators import (
     best_matches,
     distinct_products,
     distinct_users,
+    in_buckets,
     keep_positive,
     leaderboards,
     popular,
@@ -297,18 +298,27 @@ def _embedding_model(spark: SparkSession, sf: str) -> FactorModel:
     )
 
 
-def _label_scores(spark: SparkSession, sf: str) -> DataFrame:
-    """Every vector scored against the one its label names: few, very hot products."""
-    pairs = table(spark, sf, "embeddings").select(
+def _label_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Every vector with the one that its label names: few, very hot products."""
+    return table(spark, sf, "embeddings").select(
         F.col("vec_id").cast("int").alias("userId"), F.col("label").alias("productId")
     )
-    return score_pairs(pairs, _embedding_model(spark, sf))
+
+
+def _label_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return score_pairs(_label_pairs(spark, sf), _embedding_model(spark, sf))
 
 
 def scored_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return _label_scores(spark, sf).withColumn("score", F.round("score", 6))
 
 
+def scored_pairs_in_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from factor tables that are cut by id once."""
+    scored = score_pairs(_label_pairs(spark, sf), in_buckets(_embedding_model(spark, sf)))
+    return scored.withColumn("score", F.round("score", 6))
+
+
 def positive_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return keep_positive(_label_scores(spark, sf)).withColumn("score", F.round("score", 6))
 
@@ -603,6 +613,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             products,
             rating_triples,
             scored_pairs,
+            scored_pairs_in_buckets,
             positive_pairs,
             top_n_pairs,
             top_n_lists,
@@ -750,6 +761,9 @@ def oracle_sql() -> dict[str, str]:
         WITH board AS ({month})
         SELECT *, row_number() OVER (ORDER BY yearmonth DESC, count DESC, "productId") AS rank FROM board"""
     matched = _matched(20, "WHERE score > 0")
+    scored = f"""
+        WITH {_LABEL_PAIRS}
+        SELECT "userId", "productId", round(score, 6) AS score FROM pairs"""
     trimmed = _PRODUCTS.format(name="p_name")
     checked_lists = f"""
         WITH {_RATINGS}
@@ -797,9 +811,8 @@ def oracle_sql() -> dict[str, str]:
         "users": f'WITH {_RATINGS} SELECT DISTINCT "userId" FROM ratings',
         "products": f'WITH {_RATINGS} SELECT DISTINCT "productId" FROM ratings',
         "rating_triples": f'WITH {_RATINGS} SELECT "userId", "productId", score FROM ratings',
-        "scored_pairs": f"""
-            WITH {_LABEL_PAIRS}
-            SELECT "userId", "productId", round(score, 6) AS score FROM pairs""",
+        "scored_pairs": scored,
+        "scored_pairs_in_buckets": scored,
         "positive_pairs": f"""
             WITH {_LABEL_PAIRS}
             SELECT "userId", "productId", round(score, 6) AS score FROM pairs WHERE score > 0""",

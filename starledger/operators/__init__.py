@@ -1,4 +1,4 @@
-from starledger.operators.factors import FactorModel, score_pairs, train
+from starledger.operators.factors import FactorModel, in_buckets, score_pairs, train
 from starledger.operators.leaderboards import (
     Leaderboards,
     distinct_products,
@@ -18,6 +18,7 @@ __all__ = [
     "best_matches",
     "distinct_products",
     "distinct_users",
+    "in_buckets",
     "keep_positive",
     "leaderboards",
     "popular",

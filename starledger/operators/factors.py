@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
@@ -18,20 +19,30 @@ _EVEN_BLOCK = 1_000_000
 _MIN_BLOCKS, _FEW_BLOCKS = 8, 500
 LARGEST_BLOCK = 20_000_000
 
+#: Ids of a side whose factors go to every task, where pairs meet tables in buckets.
+HOT_IDS = 1000
+
 
 @dataclass(frozen=True)
 class FactorModel:
-    """``user_factors(userId, features)`` and ``item_factors(productId, features)``."""
+    """``user_factors(userId, features)`` and ``item_factors(productId, features)``.
+
+    ``tables`` are the names of both in the catalog, if they are kept in buckets by id.
+    """
 
     user_factors: DataFrame
     item_factors: DataFrame
     rank: int
     folder: str | None = None
+    tables: tuple[str, ...] = ()
 
     def free(self) -> None:
         """Delete the stored factors; the model is of no use afterwards."""
+        spark = self.user_factors.sparkSession
+        for name in self.tables:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
         if self.folder:
-            delete_folder(self.user_factors.sparkSession, self.folder)
+            delete_folder(spark, self.folder)
 
 
 def train(
@@ -127,6 +138,24 @@ def _stored_model(users: DataFrame, items: DataFrame, rank: int) -> FactorModel:
     return FactorModel(stored(users, f"{folder}/users"), stored(items, f"{folder}/items"), rank, folder)
 
 
+def in_buckets(model: FactorModel, buckets: int | None = None) -> FactorModel:
+    """The same factors, cut by id once: no later scoring sends them through a shuffle.
+
+    Both tables are sorted in ``buckets`` by id, by default as many as the session has shuffle
+    partitions, in files of the shared folder that two tables of the session's catalog name.
+    ``free`` of the new model drops them and leaves the old one as it is.
+    """
+    spark = model.user_factors.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    folder = new_folder(spark, "buckets")
+    names = []
+    for factors, key in ((model.user_factors, "userId"), (model.item_factors, "productId")):
+        names.append(f"factors_{key.lower()}_{uuid.uuid4().hex}")
+        by_id = factors.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).sortBy(key)
+        by_id.option("path", f"{folder}/{key}").saveAsTable(names[-1])
+    return FactorModel(*map(spark.table, names), model.rank, folder, tuple(names))
+
+
 def score_pairs(pairs: DataFrame, model: FactorModel) -> DataFrame:
     """Add the predicted ``score`` to (userId, productId) pairs, in place of any they have.
 
@@ -134,15 +163,45 @@ def score_pairs(pairs: DataFrame, model: FactorModel) -> DataFrame:
 
     Two equi-joins with one row per key on the factor side: Spark broadcasts a factor
     table it has measured as small, and otherwise splits hot keys at run time.
+
+    With a model ``in_buckets`` only pairs are shuffled. Spark splits no keys of such joins, so
+    one pass over the pairs finds the most frequent ids of either side first; the factors of
+    at most ``HOT_IDS`` go to every task, and their pairs are dealt out evenly. Ids of other
+    types than the factors have are compared all the same, but shuffle the factors.
     """
-    known = pairs.join(
-        model.user_factors.withColumnRenamed("features", "user_features"), "userId"
-    ).join(model.item_factors.withColumnRenamed("features", "item_features"), "productId")
+    if model.tables:
+        known = _joined_in_buckets(pairs, model)
+    else:
+        known = pairs.join(
+            model.user_factors.withColumnRenamed("features", "user_features"), "userId"
+        ).join(model.item_factors.withColumnRenamed("features", "item_features"), "productId")
     score = dot_product(F.col("user_features"), F.col("item_features"), model.rank)
     kept = [name for name in pairs.columns if name != "score"]
     return known.select(*kept, score.alias("score"))
 
 
+def _joined_in_buckets(pairs: DataFrame, model: FactorModel) -> DataFrame:
+    frequent = lambda key: F.expr(f"approx_top_k({key}, {HOT_IDS}, {8 * HOT_IDS})").alias(key)
+    hot = pairs.agg(F.count(F.lit(1)).alias("n"), frequent("userId"), frequent("productId")).first()
+    sides = ((model.user_factors, "userId", "user_features"), (model.item_factors, "productId", "item_features"))
+    # The place of a hot id's pairs is that of any id: what they meet there is not used. Equal pairs
+    # part by the task that reads them, which a rerun does not change.
+    pairs = pairs.withColumn("_spread", F.hash("userId", "productId", F.spark_partition_id()))
+    for factors, key, name in sides:
+        # An id with fewer pairs than this is no load for the task that gets its bucket.
+        ids = [x["item"] for x in hot[key] or () if x["item"] is not None and x["count"] * HOT_IDS > hot.n]
+        known = factors.where(F.col(key).isin(ids)) if ids else factors.limit(0)
+        known = known.select(F.col(key).alias("_hot_id"), F.col("features").alias("_hot_features"))
+        pairs = pairs.join(F.broadcast(known), F.col(key) == F.col("_hot_id"), "left")
+        place = F.when(F.col("_hot_id").isNull(), F.col(key)).otherwise(F.col("_spread").cast(factors.schema[key].dataType))
+        pairs = pairs.withColumn("_place", place)
+        cold = factors.select(F.col(key).alias("_cold_id"), F.col("features").alias("_cold_features"))
+        pairs = pairs.join(cold, F.col("_place") == F.col("_cold_id"), "left")
+        pairs = pairs.withColumn(name, F.coalesce("_hot_features", "_cold_features")).where(F.col(name).isNotNull())
+        pairs = pairs.drop("_hot_id", "_hot_features", "_place", "_cold_id", "_cold_features")
+    return pairs
+
+
 def dot_product(left: Column, right: Column, rank: int) -> Column:
     """Sum of products in double precision, in index order, written out for codegen."""
     terms = [

@@ -3,7 +3,7 @@ import pytest
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import functions as F
 
-from starledger.operators import FactorModel, factors, score_pairs, split_als, train, user_lists
+from starledger.operators import FactorModel, factors, in_buckets, score_pairs, split_als, train, user_lists
 from starledger.operators.factors import block_count
 from starledger.sources import parse_ratings
 
@@ -178,6 +178,79 @@ def test_hot_products_are_split_when_pairs_are_scored(spark, model):
             spark.conf.set(key, value) if value else spark.conf.unset(key)
 
 
+def _shuffles_under(plan, table):
+    """Whether a shuffle lies between the scan of the table and the join that reads it."""
+    lines = plan.splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :|+-"))
+    found = []
+    for at, line in enumerate(lines):
+        if table in line:
+            level = depth(line)
+            for above in reversed(lines[:at]):
+                if depth(above) < level:
+                    level = depth(above)
+                    if "Join" in above:
+                        break
+                    found.append("Exchange hash" in above or "ShuffleQueryStage" in above)
+    assert found
+    return any(found)
+
+
+@pytest.mark.parametrize("hot", [True, False])
+def test_factors_in_buckets_are_never_shuffled(spark, model, hot):
+    pairs = spark.range(0, 60_000, 1, 8).select(
+        (90 + F.col("id") % 80).cast("int").alias("userId"),
+        F.when(F.lit(hot) & (F.col("id") % 3 < 2), 3).otherwise(F.col("id") % 50).cast("int").alias("productId"),
+        F.lit(0.5).alias("score"),
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    cut = in_buckets(model, 16)
+    want = sorted(map(tuple, score_pairs(pairs, model).collect()))
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        for _ in range(2):
+            scored = score_pairs(pairs, cut)
+            assert sorted(map(tuple, scored.collect())) == want
+            plan = scored._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+            assert not any(_shuffles_under(plan, name) for name in cut.tables)
+        odd = spark.createDataFrame([(None, 3), (100, None), (100, 999), (100, 3), (100, 3)], pairs.drop("score").schema)
+        assert len(score_pairs(odd, cut).collect()) == 2
+        assert score_pairs(odd.limit(0), cut).collect() == []
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value else spark.conf.unset(key)
+        cut.free()
+    assert not any(spark.catalog.tableExists(name) for name in cut.tables)
+    assert model.user_factors.count() == 60
+
+
+def test_pairs_of_a_hot_id_are_dealt_out(spark, model):
+    """Two thirds of the pairs are one pair; no task of the joins gets more than its share."""
+    pairs = spark.range(0, 90_000, 1, 64).select(
+        F.when(F.col("id") % 3 < 2, 100).otherwise(100 + F.col("id") % 60).cast("int").alias("userId"),
+        F.when(F.col("id") % 3 < 2, 3).otherwise(F.col("id") % 40).cast("int").alias("productId"),
+    )
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {key: spark.conf.get(key, None) for key in settings}
+    cut = in_buckets(model, 8)
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        scored = score_pairs(pairs, cut)
+        sizes = [row["n"] for row in scored.groupBy(F.spark_partition_id().alias("at")).agg(F.count("*").alias("n")).collect()]
+        assert sum(sizes) == 90_000 and max(sizes) < 90_000 / 3
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value else spark.conf.unset(key)
+        cut.free()
+
+
 def test_blocks_follow_the_measured_load(spark):
     even = spark.range(4000).selectExpr("int(id % 100) as userId", "int(id / 100) as productId", "1.0D as score")
     assert block_count(even) == 8
