@@ -138,6 +138,19 @@ SELECT page_id, CAST(octet_length(encode(body)) AS BIGINT) AS payload_bytes,
 FROM b
 """
 
+#: Every window of 50 words by its words, and the places it covers where a smaller document has it.
+_OP3 = """
+WITH d AS (SELECT doc_id, row_number() OVER () AS copy, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+w AS (SELECT doc_id, copy, unnest(range(1, len(words) - 48)) AS start, words FROM d WHERE len(words) >= 50),
+k AS (SELECT doc_id, copy, start, array_to_string(words[start:start + 49], ' ') AS said FROM w),
+hit AS (SELECT copy, start FROM (SELECT *, min(doc_id) OVER (PARTITION BY said) AS first FROM k) WHERE doc_id > first),
+gone AS (SELECT DISTINCT copy, start + i AS place FROM hit, range(50) covered(i)),
+kept AS (SELECT copy, string_agg(word, ' ' ORDER BY place) AS kept, count(*) AS n
+  FROM (SELECT copy, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM d) ANTI JOIN gone USING (copy, place) GROUP BY copy)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (copy)"""
+
 
 def _op10() -> str:
     """Every rule in every text: gaps and matches in turn, their lengths summed to places."""
@@ -279,4 +292,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": _OP1, "op10_secret_scan": _op10(), "op11_minhash": _OP11, "op12_conversations": _OP12, "op13_filter_audit": _OP13}
+    return {"op1_warc": _OP1, "op3_substring": _OP3, "op10_secret_scan": _op10(), "op11_minhash": _OP11, "op12_conversations": _OP12, "op13_filter_audit": _OP13}

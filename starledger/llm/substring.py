@@ -9,11 +9,15 @@ all documents at that depth. The tree is never held whole:
 * Suffixes whose prefix is in one document only have no inner nodes and are left out.
 * The others are grouped by their prefix. A group of up to ``group_rows`` suffixes fits a
   task's memory; its subtree is grown word by word to both sides, and nodes of ``window``
-  words or more that several documents reach are its repeats. If a prefix has more suffixes,
-  its windows are split by the longest prefix that matters, all of their words: the smallest
-  document of each is then found by grouping, combined before the shuffle.
-
-A repeat is known by its words, not by a hash, but in oversized groups, where 128 bits decide.
+  words or more that several documents reach are its repeats.
+* If a prefix has more suffixes, it is lengthened step by step (8, 16, 30 words of a window of 50)
+  until its groups fit. All windows of a group have the words of its prefix, so those that
+  begin closely before the suffix lengthen it to the right, and the others to the left.
+* Only a prefix of which the longest form still has more suffixes, so a passage of 30 words in more
+  documents than a group holds, is split by all words of its windows: the smallest document
+  of each window is then found by grouping, combined before the shuffle.
+
+A repeat is known by its words, not by a hash, but in that last case, where 128 bits decide.
 """
 
 from __future__ import annotations
@@ -35,6 +39,8 @@ WINDOW = 50
 PREFIX = 8
 GROUP_ROWS = 1 << 15
 
+#: How often an oversized prefix is lengthened.
+_DEEPER = 2
 _PLACE = np.uint64((1 << 24) - 1)
 _PIECE = 1 << 22
 _MEMO = 1 << 19
@@ -82,24 +88,30 @@ def without_repeats(
         lambda batches: _starts(batches, window, prefix),
         "id long, hash long, prefix long, place int, low int, high int",
     )
-    rank = F.coalesce("id", F.lit(_LAST))
-    shared = (
-        starts.groupBy("prefix")
-        .agg(F.min(rank).alias("least"), F.max(rank).alias("most"), F.count(F.lit(1)).alias("n"))
-        .where("least < most")
-        .select("prefix", "n")
-    )
     # Stored, so that Spark can split the rows of a hot prefix in the join.
-    shared = stored(shared, "prefixes")
+    shared = stored(_shared(starts, "prefix"), "prefixes")
     branching = starts.join(shared, "prefix")
-    groups = _slices(rows, branching.where(F.col("n") <= group_rows), window)
+    fitting = branching.where(F.col("n") <= group_rows).drop("n")
+    oversized = shared.where(F.col("n") > group_rows)
+    large = None
+    if not oversized.isEmpty():
+        deep = _deepened(rows, oversized.drop("n"), window, prefix)
+        for _ in range(_DEEPER):
+            shared = stored(_shared(deep.select("id", F.get("longer", F.lit(0)).alias("prefix")), "prefix"), "prefixes")
+            deep = deep.withColumn("prefix", F.get("longer", F.lit(0))).join(shared, "prefix")
+            fitting = fitting.unionByName(deep.where(F.col("n") <= group_rows).drop("n", "longer"))
+            deep = deep.where(F.col("n") > group_rows).drop("n")
+            deep = deep.withColumn("longer", F.expr("slice(longer, 2, size(longer))"))
+        if not shared.where(F.col("n") > group_rows).isEmpty():
+            large = deep.drop("longer")
+    groups = _slices(rows, fitting, window)
     groups = groups.repartition("prefix").sortWithinPartitions("prefix")
     found = groups.mapInArrow(
         lambda batches: _repeats(batches, window, prefix, group_rows),
         "id long, hash long, low int, high int",
     )
-    large = _slices(rows, branching.where(F.col("n") > group_rows), window)
-    found = found.union(_large_repeats(large, window))
+    if large is not None:
+        found = found.union(_large_repeats(_slices(rows, large, window), window))
     spans = found.groupBy("id", "hash").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
     joined = _with_rows(rows, spans)
     return joined.mapInArrow(
@@ -108,6 +120,24 @@ def without_repeats(
     ).select(F.col("id").alias(id), "n_words", "n_removed", F.col("kept").cast("string").alias("kept"), "removed")
 
 
+def _shared(starts: DataFrame, key: str) -> DataFrame:
+    """Prefixes that several documents have, with the number ``n`` of their suffixes."""
+    rank = F.coalesce("id", F.lit(_LAST))
+    found = starts.groupBy(key).agg(
+        F.min(rank).alias("least"), F.max(rank).alias("most"), F.count(F.lit(1)).alias("n")
+    )
+    return found.where("least < most").select(key, "n")
+
+
+def _deepened(rows: DataFrame, oversized: DataFrame, window: int, prefix: int) -> DataFrame:
+    """The suffixes of oversized prefixes, parted by side, with their ``longer`` prefixes."""
+    starts = rows.mapInArrow(
+        lambda batches: _starts(batches, window, prefix, True),
+        "id long, hash long, prefix long, place int, low int, high int, longer array<long>",
+    )
+    return stored(starts.join(oversized, "prefix", "left_semi"), "suffixes")
+
+
 def _with_rows(rows: DataFrame, lists: DataFrame, how: str = "left") -> DataFrame:
     """Rows with the list of their id and hash; the same shuffle of texts serves every call."""
     lists = lists.withColumnsRenamed({"id": "its_id", "hash": "its_hash"})
@@ -127,11 +157,16 @@ class _Hashes(dict):
         return value
 
 
-def _starts(batches: Iterator[pa.RecordBatch], window: int, prefix: int) -> Iterator[pa.RecordBatch]:
-    """The suffixes that the windows of each text name, with the first and last such window."""
+def _starts(
+    batches: Iterator[pa.RecordBatch], window: int, prefix: int, deep: bool = False
+) -> Iterator[pa.RecordBatch]:
+    """The suffixes that the windows of each text name, with the first and last such window.
+
+    With ``deep``, a suffix has a row per side, and its longer prefixes.
+    """
     memo = _Hashes()
     for rows in batches:
-        out, owner = [], []
+        out, owner, lists = [], [], []
         for number, text in enumerate(rows.column(1)):
             words = (text.as_py() or b"").split()
             if len(words) < window:
@@ -139,17 +174,55 @@ def _starts(batches: Iterator[pa.RecordBatch], window: int, prefix: int) -> Iter
             hashes = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
             # Pieces overlap by a window less a word, so each window is in one of them.
             for at in range(0, len(words) - window + 1, _PIECE):
-                named = _named(hashes[at : at + _PIECE + window - 1], window, prefix)
+                piece = hashes[at : at + _PIECE + window - 1]
+                named = _named(piece, window, prefix)
+                if deep:
+                    named, longer = _longer(piece, named, window, prefix)
+                    lists.append(longer)
                 out.append((named[0], *(x + at for x in named[1:])))
                 owner.append(np.full(len(named[0]), number))
         if out:
             columns = [np.concatenate(x) for x in zip(*out)]
             owner = pa.array(np.concatenate(owner))
-            yield pa.RecordBatch.from_arrays(
-                [rows.column(0).take(owner), rows.column(2).take(owner), pa.array(columns[0].view(np.int64)),
-                 *(pa.array(x.astype(np.int32)) for x in columns[1:])],
-                ["id", "hash", "prefix", "place", "low", "high"],
-            )
+            columns = [
+                rows.column(0).take(owner), rows.column(2).take(owner), pa.array(columns[0].view(np.int64)),
+                *(pa.array(x.astype(np.int32)) for x in columns[1:]),
+            ]
+            if deep:
+                longer = np.concatenate(lists).view(np.int64)
+                bounds = pa.array(np.arange(0, longer.size + 1, _DEEPER, dtype=np.int32))
+                columns.append(pa.ListArray.from_arrays(bounds, pa.array(longer.ravel())))
+            names = ["id", "hash", "prefix", "place", "low", "high", "longer"]
+            yield pa.RecordBatch.from_arrays(columns, names[: len(columns)])
+
+
+def _longer(hashes: np.ndarray, named: tuple, window: int, prefix: int) -> tuple[tuple, np.ndarray]:
+    """Named suffixes by side, and the hashes of their prefixes lengthened to that side.
+
+    Windows that begin at most ``half`` words before the suffix have as many words after its
+    prefix as the right side is lengthened by; the others have those that the left side takes.
+    """
+    half = (window - prefix) // 2
+    grams, place, low, high = named
+    sides, hashed = [], []
+    for right in (True, False):
+        first = np.maximum(low, place - half) if right else low
+        last = high if right else np.minimum(high, place - half - 1)
+        some = np.flatnonzero(first <= last)
+        most = window - prefix - half if right else half + 1
+        key = grams[some] ^ np.uint64(right)
+        steps, done = [], 0
+        for step in range(_DEEPER):
+            # Twice the words at each step, at the last as many as all windows of the side have.
+            until = most if step == _DEEPER - 1 else min(most, prefix * ((2 << step) - 1))
+            for k in range(done, until):
+                at = place[some] + (prefix + k if right else -1 - k)
+                key = (key ^ (key >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + hashes[at]
+            done = until
+            steps.append(key)
+        sides.append((grams[some], place[some], first[some], last[some]))
+        hashed.append(np.stack(steps, axis=1) if steps else np.zeros((len(some), 0), np.uint64))
+    return tuple(map(np.concatenate, zip(*sides))), np.concatenate(hashed)
 
 
 def _named(hashes: np.ndarray, window: int, prefix: int) -> tuple:

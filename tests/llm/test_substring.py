@@ -3,7 +3,8 @@ import random
 
 import pytest
 
-from starledger.llm.queries import op3_substring
+from oracle import connect, difference
+from starledger.llm.queries import op3_substring, oracle_sql
 from starledger.llm.substring import without_repeats
 
 
@@ -54,6 +55,32 @@ def test_short_windows_equal_brute_force(spark, group_rows, letters):
     assert got(without_repeats(docs, window=6, prefix=3, group_rows=group_rows)) == brute(rows, 6)
 
 
+def test_oversized_prefixes_are_lengthened_until_they_fit(spark, monkeypatch):
+    from starledger.llm import substring
+
+    calls = []
+    for name in ("_deepened", "_large_repeats"):
+        before = getattr(substring, name)
+        monkeypatch.setattr(substring, name, lambda *a, name=name, before=before: calls.append(name) or before(*a))
+    draw = random.Random(9)
+    phrases = [[f"p{k}{c}" for c in "abc"] for k in range(12)]
+    passages = [sum(([f"w{draw.randrange(10**6)}" for _ in range(9)] + draw.choice(phrases) for _ in range(4)), []) for _ in range(60)]
+    rows = [(i, " ".join(draw.choice(passages) + draw.choice(passages))) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(without_repeats(docs, window=20, prefix=3, group_rows=60)) == brute(rows, 20)
+    assert calls == ["_deepened"]
+    # A passage in more documents than a group holds has no prefix that fits.
+    rows = [(i, " ".join(passages[0])) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(without_repeats(docs, window=20, prefix=3, group_rows=60)) == brute(rows, 20)
+    assert calls == ["_deepened"] * 2 + ["_large_repeats"]
+
+
+def test_query_equals_sql(spark):
+    folder = "/root/testdata/sf0.001"
+    assert difference(op3_substring(spark, folder), connect(folder), oracle_sql()["op3_substring"]) is None
+
+
 def test_nulls_empty_long_repeated(spark):
     passage = " ".join(f"é{i}" for i in range(60))
     rows = [(5, passage), (5, passage), (9, "x " * 100_000 + passage), (None, passage + " end"), (3, None), (4, ""),
