@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
-from starledger.llm.common import as_bytes, batch, stored
+from starledger.llm.common import TABLE_BITS, as_bytes, batch, bit_table, stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 cloudpickle.register_pickle_by_value(sys.modules["starledger.llm.common"])
@@ -90,20 +90,11 @@ def without_repeats(
     )
     # Stored, so that Spark can split the rows of a hot prefix in the join.
     shared = stored(_shared(starts, "prefix"), "prefixes")
-    branching = starts.join(shared, "prefix")
-    fitting = branching.where(F.col("n") <= group_rows).drop("n")
     oversized = shared.where(F.col("n") > group_rows)
-    large = None
-    if not oversized.isEmpty():
-        deep = _deepened(rows, oversized.drop("n"), window, prefix)
-        for _ in range(_DEEPER):
-            shared = stored(_shared(deep.select("id", F.get("longer", F.lit(0)).alias("prefix")), "prefix"), "prefixes")
-            deep = deep.withColumn("prefix", F.get("longer", F.lit(0))).join(shared, "prefix")
-            fitting = fitting.unionByName(deep.where(F.col("n") <= group_rows).drop("n", "longer"))
-            deep = deep.where(F.col("n") > group_rows).drop("n")
-            deep = deep.withColumn("longer", F.expr("slice(longer, 2, size(longer))"))
-        if not shared.where(F.col("n") > group_rows).isEmpty():
-            large = deep.drop("longer")
+    if oversized.isEmpty():
+        fitting, large = starts.join(shared.drop("n"), "prefix"), None
+    else:
+        fitting, large = _lengthened(rows, shared, window, prefix, group_rows)
     groups = _slices(rows, fitting, window)
     groups = groups.repartition("prefix").sortWithinPartitions("prefix")
     found = groups.mapInArrow(
@@ -129,13 +120,32 @@ def _shared(starts: DataFrame, key: str) -> DataFrame:
     return found.where("least < most").select(key, "n")
 
 
-def _deepened(rows: DataFrame, oversized: DataFrame, window: int, prefix: int) -> DataFrame:
-    """The suffixes of oversized prefixes, parted by side, with their ``longer`` prefixes."""
+def _lengthened(
+    rows: DataFrame, shared: DataFrame, window: int, prefix: int, group_rows: int
+) -> tuple[DataFrame, DataFrame | None]:
+    """The suffixes under prefixes that fit, lengthened where they have to be; and those left, if any.
+
+    Texts are split once for all lengths: suffixes are stored, those of oversized prefixes parted
+    by side, with their ``longer`` prefixes. A table of bits of fixed size tells tasks which to part;
+    a suffix that is parted for nothing is two of the same prefix.
+    """
+    bits = bit_table(F.col("prefix").bitwiseAND((1 << TABLE_BITS) - 1), shared.where(F.col("n") > group_rows))
+    hot = rows.sparkSession.sparkContext.broadcast(bits.tobytes())
     starts = rows.mapInArrow(
-        lambda batches: _starts(batches, window, prefix, True),
+        lambda batches: _starts(batches, window, prefix, hot),
         "id long, hash long, prefix long, place int, low int, high int, longer array<long>",
     )
-    return stored(starts.join(oversized, "prefix", "left_semi"), "suffixes")
+    suffixes = stored(starts.join(shared, "prefix"), "suffixes")
+    fitting = suffixes.where(F.col("n") <= group_rows).drop("n", "longer")
+    deep = suffixes.where(F.col("n") > group_rows).drop("n")
+    for step in range(_DEEPER):
+        deep = deep.withColumn("prefix", F.get("longer", F.lit(step)))
+        shared = stored(_shared(deep, "prefix"), "prefixes")
+        deep = deep.join(shared, "prefix")
+        fitting = fitting.unionByName(deep.where(F.col("n") <= group_rows).drop("n", "longer"))
+        deep = deep.where(F.col("n") > group_rows).drop("n")
+    left = not shared.where(F.col("n") > group_rows).isEmpty()
+    return fitting, deep.drop("longer") if left else None
 
 
 def _with_rows(rows: DataFrame, lists: DataFrame, how: str = "left") -> DataFrame:
@@ -158,16 +168,17 @@ class _Hashes(dict):
 
 
 def _starts(
-    batches: Iterator[pa.RecordBatch], window: int, prefix: int, deep: bool = False
+    batches: Iterator[pa.RecordBatch], window: int, prefix: int, hot=None
 ) -> Iterator[pa.RecordBatch]:
     """The suffixes that the windows of each text name, with the first and last such window.
 
-    With ``deep``, a suffix has a row per side, and its longer prefixes.
+    Where ``hot``, a table of bits, has a prefix, its suffixes have a row per side and longer prefixes.
     """
+    table = None if hot is None else np.frombuffer(hot.value, np.uint8)
     memo = _Hashes()
     for rows in batches:
         out, owner, lists = [], [], []
-        for number, text in enumerate(rows.column(1)):
+        for row, text in enumerate(rows.column(1)):
             words = (text.as_py() or b"").split()
             if len(words) < window:
                 continue
@@ -176,11 +187,14 @@ def _starts(
             for at in range(0, len(words) - window + 1, _PIECE):
                 piece = hashes[at : at + _PIECE + window - 1]
                 named = _named(piece, window, prefix)
-                if deep:
-                    named, longer = _longer(piece, named, window, prefix)
-                    lists.append(longer)
+                if table is not None:
+                    number = named[0] & np.uint64((1 << TABLE_BITS) - 1)
+                    oversized = (table[(number >> np.uint64(3)).astype(np.int64)] >> (number & np.uint64(7)).astype(np.uint8) & 1) > 0
+                    parted, longer = _longer(piece, tuple(x[oversized] for x in named), window, prefix)
+                    named = tuple(np.concatenate((x[~oversized], y)) for x, y in zip(named, parted))
+                    lists.append((np.count_nonzero(~oversized), longer))
                 out.append((named[0], *(x + at for x in named[1:])))
-                owner.append(np.full(len(named[0]), number))
+                owner.append(np.full(len(named[0]), row))
         if out:
             columns = [np.concatenate(x) for x in zip(*out)]
             owner = pa.array(np.concatenate(owner))
@@ -188,9 +202,10 @@ def _starts(
                 rows.column(0).take(owner), rows.column(2).take(owner), pa.array(columns[0].view(np.int64)),
                 *(pa.array(x.astype(np.int32)) for x in columns[1:]),
             ]
-            if deep:
-                longer = np.concatenate(lists).view(np.int64)
-                bounds = pa.array(np.arange(0, longer.size + 1, _DEEPER, dtype=np.int32))
+            if table is not None:
+                sizes = np.concatenate([np.repeat([0, _DEEPER], [n, len(x)]) for n, x in lists])
+                bounds = pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32))
+                longer = np.concatenate([x for _, x in lists]).view(np.int64)
                 columns.append(pa.ListArray.from_arrays(bounds, pa.array(longer.ravel())))
             names = ["id", "hash", "prefix", "place", "low", "high", "longer"]
             yield pa.RecordBatch.from_arrays(columns, names[: len(columns)])

@@ -59,7 +59,7 @@ def test_oversized_prefixes_are_lengthened_until_they_fit(spark, monkeypatch):
     from starledger.llm import substring
 
     calls = []
-    for name in ("_deepened", "_large_repeats"):
+    for name in ("_lengthened", "_large_repeats"):
         before = getattr(substring, name)
         monkeypatch.setattr(substring, name, lambda *a, name=name, before=before: calls.append(name) or before(*a))
     draw = random.Random(9)
@@ -68,12 +68,12 @@ def test_oversized_prefixes_are_lengthened_until_they_fit(spark, monkeypatch):
     rows = [(i, " ".join(draw.choice(passages) + draw.choice(passages))) for i in range(600)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert got(without_repeats(docs, window=20, prefix=3, group_rows=60)) == brute(rows, 20)
-    assert calls == ["_deepened"]
+    assert calls == ["_lengthened"]
     # A passage in more documents than a group holds has no prefix that fits.
     rows = [(i, " ".join(passages[0])) for i in range(90)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert got(without_repeats(docs, window=20, prefix=3, group_rows=60)) == brute(rows, 20)
-    assert calls == ["_deepened"] * 2 + ["_large_repeats"]
+    assert calls == ["_lengthened"] * 2 + ["_large_repeats"]
 
 
 def test_query_equals_sql(spark):
