@@ -212,3 +212,22 @@ def test_pairs_are_never_formed(spark, random_factors):
     lists_df = best_matches(factors(spark, "userId", users), factors(spark, "productId", items))
     plan = lists_df._jdf.queryExecution().executedPlan().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan and "Broadcast" not in plan
+
+
+def test_products_are_sent_to_runs_of_cells(spark):
+    """Vectors in no clusters: nearly all cells are worth a visit, and still few rows are sent."""
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=12)) for i in range(400)]
+    unit = [(i, v / np.sqrt((v * v).sum())) for i, v in rows]
+    vectors = factors(spark, "productId", unit, "double").withColumnRenamed("features", "item_vector")
+    pivots = np.array([v for _, v in unit[:80]])
+    items = neighbors.in_cells(vectors, pivots).cache()
+    state = items.selectExpr("productId as userId", "item_vector as user_vector", "0.3D as needed", "cell")
+    run = np.arange(80) // 40
+    sent = neighbors.cells_to_visit(state, items, pivots, run).select("userId", "home", "cell").collect()
+    alone = {(r.userId, run[r.cell]) for r in neighbors.cells_to_visit(state, items, pivots).collect()}
+    items.unpersist()
+    assert len(sent) <= 800 and {(r.userId, r.cell) for r in sent} == alone
+    got = lists(similar_items(factors(spark, "productId", rows, "double"), 6, products_per_cell=5))
+    want = brute_force(unit, unit, 6, None, True)
+    assert {i: [p for p, _ in recs] for i, recs in got.items()} == {i: [p for p, _ in recs] for i, recs in want.items()}
