@@ -231,3 +231,13 @@ def test_products_are_sent_to_runs_of_cells(spark):
     got = lists(similar_items(factors(spark, "productId", rows, "double"), 6, products_per_cell=5))
     want = brute_force(unit, unit, 6, None, True)
     assert {i: [p for p, _ in recs] for i, recs in got.items()} == {i: [p for p, _ in recs] for i, recs in want.items()}
+
+
+def test_blocks_and_shards_share_tasks(spark, random_factors):
+    """However small the blocks and shards, tasks are as few as their users need."""
+    users, items = random_factors
+    visits = factors(spark, "userId", users).selectExpr("userId", "features as user_vector", "0.0D as needed", "0 as cell")
+    visited = factors(spark, "productId", items).selectExpr("productId", "features as item_vector", "0 as cell")
+    found = matching.searched(visits, visited, matching._cell_matcher(20, 0.0, False), 3, 4)
+    assert found.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    assert same(lists(found), brute_force(users, items, 20, 0.0))
