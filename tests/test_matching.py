@@ -241,3 +241,10 @@ def test_blocks_and_shards_share_tasks(spark, random_factors):
     found = matching.searched(visits, visited, matching._cell_matcher(20, 0.0, False), 3, 4)
     assert found.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
     assert same(lists(found), brute_force(users, items, 20, 0.0))
+
+
+def test_copies_that_no_list_can_reach_are_left_out(spark):
+    items = [(i, [float(i % 3), 1.0]) for i in range(300)] + [(300, [NAN, 0.0]), (301, [NAN, 0.0]), (302, [NAN, 0.0])]
+    vectors = factors(spark, "productId", items).withColumnRenamed("features", "item_vector")
+    kept = sorted(row.productId for row in matching.without_copies(vectors, 2).collect())
+    assert kept == [0, 1, 2, 3, 4, 5, 300, 301]
