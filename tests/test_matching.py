@@ -248,3 +248,11 @@ def test_copies_that_no_list_can_reach_are_left_out(spark):
     vectors = factors(spark, "productId", items).withColumnRenamed("features", "item_vector")
     kept = sorted(row.productId for row in matching.without_copies(vectors, 2).collect())
     assert kept == [0, 1, 2, 3, 4, 5, 300, 301]
+
+
+def test_products_reach_a_task_in_a_stream(spark, random_factors):
+    """No task holds all products of a block, and no lists are merged after."""
+    users, items = random_factors
+    got = best_matches(factors(spark, "userId", users), factors(spark, "productId", items), 400, None)
+    plan = got._jdf.queryExecution().analyzed().toString()
+    assert "MapInArrow" in plan and "CoGroup" not in plan and "collect_list" not in plan
