@@ -225,3 +225,13 @@ def test_parsers_agree_with_a_model(spark, data):
         if None not in ints:
             want[ints[0], ints[1], score, ints[2]] += 1
     assert Counter(map(tuple, parse_ratings(frame(commas), "drop").collect())) == want
+
+
+def test_rejects_parse_each_line_once(lines):
+    """Taking the rejected lines only does not copy the parsing into the filter."""
+    parsed = parse_ratings(lines("1,10,5.0,7", "1,abc,5.0,7", "x", "1,10,,7"), mode="permissive")
+    good, bad = rejects(parsed)
+    for rows in (good, bad):
+        assert rows._jdf.queryExecution().executedPlan().toString().count("split(") == 1
+    assert sorted(row.value for row in bad.collect()) == ["1,10,,7", "1,abc,5.0,7", "x"]
+    assert [tuple(row) for row in good.collect()] == [(1, 10, 5.0, 7)]
