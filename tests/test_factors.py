@@ -263,6 +263,13 @@ def test_blocks_follow_the_measured_load(spark):
     assert block_count(even.limit(0)) == 8
 
 
+def test_blocks_are_as_few_as_their_ratings_allow(spark):
+    """A factor is sent to every block, so blocks that grow with the ratings make the shuffle grow twice."""
+    even = spark.range(12_000_000).selectExpr("int(id % 3000) as userId", "int(id / 3000) as productId", "1.0D as score")
+    assert block_count(even) == 8
+    assert 12 <= block_count(even, largest_block=1_000_000) <= 16
+
+
 def test_an_id_that_fits_no_block_is_named_before_training(spark):
     ratings = spark.range(300).selectExpr("int(id) as userId", "int(if(id < 250, 7, id)) as productId", "1.0D as score")
     with pytest.raises(ValueError, match='productId 7 has 250 ratings.*solver="sums"'):
