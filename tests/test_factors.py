@@ -276,3 +276,65 @@ def test_an_id_that_fits_no_block_is_named_before_training(spark):
         train(ratings, largest_block=200)
     model = train(ratings, rank=2, iterations=1, solver="sums", largest_block=200)
     assert model.user_factors.count() == 300
+
+
+def test_a_half_step_shuffles_neither_pairs_nor_sums(spark, monkeypatch):
+    """Only the vectors are sent, to blocks of pairs that are joined and summed where they lie."""
+    monkeypatch.setattr(split_als, "BROADCAST_VALUES", 0)
+    plans, stored = [], split_als.stored
+
+    def watched(df, path):
+        if path.rpartition("/")[2].startswith(("userId-", "productId-")):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, path)
+
+    monkeypatch.setattr(split_als, "stored", watched)
+    even = spark.range(3000).selectExpr("int(id % 100) as userId", "int(id / 60) as productId", "double(id % 7) as score")
+    users, _ = split_als.train_by_sums(even, 3, 3, 0.05, 0)
+    assert users.count() == 100 and len(plans) >= 5
+    for plan in plans:
+        assert plan.count("Exchange hashpartitioning") == 1 and plan.count("+- Sort [") == 1, plan
+
+
+def test_pairs_of_hot_ids_are_dealt_over_all_blocks(spark, monkeypatch, tmp_path):
+    """A product and a user with about half of all pairs each give the same factors, and fill no block."""
+    monkeypatch.setattr(split_als, "BROADCAST_VALUES", 0)
+    rng = np.random.default_rng(3)
+    rows = [(u, 7, float(rng.integers(1, 6))) for u in range(500)] + [(1, i, float(rng.integers(1, 6))) for i in range(500)]
+    rows += [(int(rng.integers(500)), int(rng.integers(500)), float(rng.integers(1, 6))) for _ in range(200)]
+    hot = spark.createDataFrame(rows, "userId int, productId int, score double")
+    columns = {"userCol": "userId", "itemCol": "productId", "ratingCol": "score"}
+    fit = lambda n: ALS(rank=3, maxIter=n, regParam=0.05, seed=2, **columns).fit(hot)
+    start, want = fit(0).userFactors.withColumnRenamed("id", "userId"), fit(2)
+    found = split_als.train_by_sums(hot, 3, 2, 0.05, 0, start)
+    for got, expected in zip(found, (want.userFactors, want.itemFactors)):
+        a, b = by_id(got), by_id(expected)
+        assert a.keys() == b.keys()
+        assert all(np.allclose(a[key], b[key], rtol=1e-3, atol=1e-4) for key in a)
+    tables = {"userId": "hot_by_user", "productId": "hot_by_product"}
+    try:
+        blocks = split_als._write_pairs(hot, str(tmp_path / "pairs"), tables)
+        assert blocks.hot == {"userId": [1], "productId": [7]}
+        for name in tables.values():
+            sizes = [row["count"] for row in spark.table(name).groupBy("block").count().collect()]
+            assert len(sizes) == 8 and max(sizes) < sum(sizes) / 4
+    finally:
+        for name in tables.values():
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_a_vector_is_sent_only_to_blocks_with_its_pairs(spark, monkeypatch):
+    """Users with one rating each: every vector goes to one block, not to all."""
+    monkeypatch.setattr(split_als, "BROADCAST_VALUES", 0)
+    single = spark.range(200).selectExpr("int(id) as userId", "int(id % 50) as productId", "double(id % 5) as score")
+    routes, stored = [], split_als.stored
+
+    def watched(df, path):
+        found = stored(df, path)
+        if path.rpartition("/")[2].startswith("userId-"):
+            routes.append([row[0] for row in found.select(F.bit_count("routes")).collect()])
+        return found
+
+    monkeypatch.setattr(split_als, "stored", watched)
+    split_als.train_by_sums(single, 2, 2, 0.1, 0)
+    assert routes == [[1] * 200] * 2
