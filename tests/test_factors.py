@@ -3,6 +3,7 @@ import pytest
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from starledger.operators import FactorModel, factors, in_buckets, score_pairs, split_als, train, user_lists
 from starledger.operators.factors import block_count
 from starledger.sources import parse_ratings
@@ -338,3 +339,16 @@ def test_a_vector_is_sent_only_to_blocks_with_its_pairs(spark, monkeypatch):
     monkeypatch.setattr(split_als, "stored", watched)
     split_als.train_by_sums(single, 2, 2, 0.1, 0)
     assert routes == [[1] * 200] * 2
+
+
+def test_als_by_sums_makes_its_ratings_once(spark, ratings, monkeypatch):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    monkeypatch.setattr(entry, "ratings_from_orders", lambda *_: ratings.mapInArrow(counted, ratings.schema))
+    assert entry.als_by_sums(spark, "").count() == 60
+    assert made.value == ratings.count()
