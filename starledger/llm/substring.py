@@ -23,7 +23,9 @@ A repeat is known by its words, not by a hash, but in that last case, where 128
 from __future__ import annotations
 
 import sys
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +45,9 @@ GROUP_ROWS = 1 << 15
 _DEEPER = 2
 _PLACE = np.uint64((1 << 24) - 1)
 _PIECE = 1 << 22
-_MEMO = 1 << 19
+_STRETCH = 1 << 18
+_RUN = 1 << 20
+_BASE = 0x94D049BB133111EB
 _FLUSH = 4 << 20
 _LAST = (1 << 63) - 1
 
@@ -155,16 +159,61 @@ def _with_rows(rows: DataFrame, lists: DataFrame, how: str = "left") -> DataFram
     return rows.join(lists, same, how).drop("its_id", "its_hash")
 
 
-class _Hashes(dict):
-    """64-bit hash of each word, remembered; forgets all when it has grown too large."""
+class _Words:
+    """64-bit hashes of the words of a text, found for all words at once.
 
-    def __missing__(self, word: bytes) -> int:
-        from xxhash import xxh64_intdigest
+    A word's bytes are the digits of a number; sums over the whole text give it for each word, and
+    words are equal wherever they stand. The text is taken in stretches of fixed size.
+    """
+
+    def __init__(self, stretch: int = _STRETCH) -> None:
+        self.stretch = stretch
+        self.space = np.zeros(256, bool)
+        self.space[list(b" \t\n\r\v\f")] = True
+        self.digits = _mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
+        self.powers, self.inverses = (
+            np.cumprod(np.full(stretch, x, np.uint64)) for x in (_BASE, pow(_BASE, -1, 1 << 64))
+        )
 
-        if len(self) >= _MEMO:
-            self.clear()
-        value = self[word] = xxh64_intdigest(word)
-        return value
+    def __call__(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """The hash of each word and the place of its first byte; the text begins and ends with space."""
+        data = np.frombuffer(text, np.uint8)
+        places, sums, factors = [], [], []
+        total, power, inverse = 0, 1, 1
+        for at in range(0, len(data) - 1, self.stretch):
+            piece = data[at : at + self.stretch + 1]  # a byte more, which the next begins with
+            space, n = self.space[piece], len(piece) - 1
+            edges = np.flatnonzero(space[1:] != space[:-1])
+            summed = np.cumsum(self.digits[piece[:-1]] * self.powers[:n])
+            places.append(edges + (at + 1))
+            sums.append(summed[edges] * np.uint64(power) + np.uint64(total))
+            factors.append(self.inverses[edges] * np.uint64(inverse))
+            total = (total + power * int(summed[-1])) % (1 << 64)
+            power = power * int(self.powers[-1]) % (1 << 64)
+            inverse = inverse * int(self.inverses[-1]) % (1 << 64)
+        if not places:
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        # Edges are by turns the start and the end of a word.
+        places, sums, factors = map(np.concatenate, (places, sums, factors))
+        return _mixed((sums[1::2] - sums[::2]) * factors[::2]), places[::2]
+
+
+def _mixed(numbers: np.ndarray) -> np.ndarray:
+    numbers = (numbers ^ (numbers >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return numbers ^ (numbers >> np.uint64(32))
+
+
+def _runs(texts: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
+    """Texts that follow each other, about ``_RUN`` bytes at a time, with the row of the first."""
+    held, size = [], 0
+    for row, text in enumerate(texts):
+        held.append(text.as_py() or b"")
+        size += len(held[-1])
+        if size >= _RUN:
+            yield row + 1 - len(held), held
+            held, size = [], 0
+    if held:
+        yield len(texts) - len(held), held
 
 
 def _starts(
@@ -172,21 +221,27 @@ def _starts(
 ) -> Iterator[pa.RecordBatch]:
     """The suffixes that the windows of each text name, with the first and last such window.
 
+    Texts are taken many at a time: a window that begins in one and ends in another is none.
     Where ``hot``, a table of bits, has a prefix, its suffixes have a row per side and longer prefixes.
     """
     table = None if hot is None else np.frombuffer(hot.value, np.uint8)
-    memo = _Hashes()
+    hashed = _Words()
     for rows in batches:
-        out, owner, lists = [], [], []
-        for row, text in enumerate(rows.column(1)):
-            words = (text.as_py() or b"").split()
-            if len(words) < window:
-                continue
-            hashes = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
+        for row, texts in _runs(rows.column(1)):
+            hashes, places = hashed(b" ".join([b"", *texts, b""]))
+            ends = np.searchsorted(places, np.cumsum([len(x) + 1 for x in texts]))
+            begins = np.concatenate(([0], ends[:-1]))
+            windows = np.maximum(ends - begins - window + 1, 0)
+            whole = np.zeros(len(hashes) + 1, np.int8)  # 1 where a text's windows begin, -1 after them
+            some = windows > 0
+            whole[begins[some]] += 1
+            whole[(begins + windows)[some]] -= 1
+            whole = np.cumsum(whole[:-1]) > 0
+            out, lists = [], []
             # Pieces overlap by a window less a word, so each window is in one of them.
-            for at in range(0, len(words) - window + 1, _PIECE):
+            for at in range(0, len(hashes) - window + 1, _PIECE):
                 piece = hashes[at : at + _PIECE + window - 1]
-                named = _named(piece, window, prefix)
+                named = _named(piece, window, prefix, whole[at : at + _PIECE])
                 if table is not None:
                     number = named[0] & np.uint64((1 << TABLE_BITS) - 1)
                     oversized = (table[(number >> np.uint64(3)).astype(np.int64)] >> (number & np.uint64(7)).astype(np.uint8) & 1) > 0
@@ -194,13 +249,14 @@ def _starts(
                     named = tuple(np.concatenate((x[~oversized], y)) for x, y in zip(named, parted))
                     lists.append((np.count_nonzero(~oversized), longer))
                 out.append((named[0], *(x + at for x in named[1:])))
-                owner.append(np.full(len(named[0]), row))
-        if out:
+            if not out:
+                continue
             columns = [np.concatenate(x) for x in zip(*out)]
-            owner = pa.array(np.concatenate(owner))
+            owner = np.searchsorted(ends, columns[2], "right")
+            of = pa.array(owner + row)
             columns = [
-                rows.column(0).take(owner), rows.column(2).take(owner), pa.array(columns[0].view(np.int64)),
-                *(pa.array(x.astype(np.int32)) for x in columns[1:]),
+                rows.column(0).take(of), rows.column(2).take(of), pa.array(columns[0].view(np.int64)),
+                *(pa.array((x - begins[owner]).astype(np.int32)) for x in columns[1:]),
             ]
             if table is not None:
                 sizes = np.concatenate([np.repeat([0, _DEEPER], [n, len(x)]) for n, x in lists])
@@ -240,15 +296,14 @@ def _longer(hashes: np.ndarray, named: tuple, window: int, prefix: int) -> tuple
     return tuple(map(np.concatenate, zip(*sides))), np.concatenate(hashed)
 
 
-def _named(hashes: np.ndarray, window: int, prefix: int) -> tuple:
-    """Prefix hash and place of each named suffix, its first and its last window."""
+def _named(hashes: np.ndarray, window: int, prefix: int, whole: np.ndarray) -> tuple:
+    """Prefix hash and place of each suffix that ``whole`` windows name, its first and its last window."""
     n = len(hashes) - prefix + 1
     grams = np.zeros(n, np.uint64)
     for k in range(prefix):
-        grams = grams * np.uint64(0x9E3779B97F4A7C15) + hashes[k : k + n]
-    grams ^= grams >> np.uint64(29)
-    grams *= np.uint64(0xBF58476D1CE4E5B9)
-    grams ^= grams >> np.uint64(32)
+        grams *= np.uint64(0x9E3779B97F4A7C15)
+        grams += hashes[k : k + n]
+    grams = _mixed(grams)
     least = (grams & ~_PLACE) | (_PLACE - np.arange(n, dtype=np.uint64))
     width, wanted = 1, window - prefix + 1
     while width < wanted:  # minima of ever longer stretches
@@ -256,8 +311,11 @@ def _named(hashes: np.ndarray, window: int, prefix: int) -> tuple:
         least = np.minimum(least[:-step], least[step:])
         width += step
     place = (_PLACE - (least & _PLACE)).astype(np.int64)
-    low = np.concatenate(([0], np.flatnonzero(place[1:] != place[:-1]) + 1))
-    high = np.append(low[1:], len(place)) - 1
+    place[~whole[: len(place)]] = -1  # windows of two texts name nothing
+    bounds = np.flatnonzero(place[1:] != place[:-1]) + 1
+    low, after = np.concatenate(([0], bounds)), np.append(bounds, len(place))
+    named = place[low] >= 0
+    low, high = low[named], after[named] - 1
     return grams[place[low]], place[low], low, high
 
 
@@ -269,20 +327,25 @@ def _slices(rows: DataFrame, starts: DataFrame, window: int) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            out, held = [], 0
             ids, texts, hashes, lists = rows.columns
-            for id, text, hash, named in zip(ids.to_pylist(), texts, hashes.to_pylist(), lists):
+            sizes = lists.value_lengths().to_numpy()
+            of = pa.array(np.repeat(np.arange(len(sizes)), sizes))
+            prefix, place, low, high = lists.flatten().flatten()
+            inside = pa.array(place.to_numpy() - low.to_numpy())
+            whole = [ids.take(of), hashes.take(of), low, high, inside]
+            bounds = zip(low.to_pylist(), high.to_pylist())
+            out, held, at = [], 0, 0
+            for text, size in zip(texts, sizes.tolist()):
                 words = text.as_py().split()
-                for x in named.as_py():
-                    part = b" ".join(words[x["low"] : x["high"] + window])
-                    inside = x["place"] - x["low"]
-                    out.append((x["prefix"], id, hash, x["low"], x["high"], inside, part))
+                for first, last in islice(bounds, size):
+                    part = b" ".join(words[first : last + window])
+                    out.append(part)
                     held += len(part)
                     if held >= _FLUSH:
-                        yield batch(_SLICES, zip(*out))
-                        out, held = [], 0
+                        yield batch(_SLICES, [x.slice(at, len(out)) for x in (prefix, *whole)] + [out])
+                        out, held, at = [], 0, at + len(out)
             if out:
-                yield batch(_SLICES, zip(*out))
+                yield batch(_SLICES, [x.slice(at, len(out)) for x in (prefix, *whole)] + [out])
 
     joined = _with_rows(rows, named, "inner").select("id", "text", "hash", "named")
     return joined.mapInArrow(
@@ -316,14 +379,21 @@ def _subtrees(table: pa.Table, window: int, prefix: int) -> Iterator[pa.RecordBa
     ids = table.column("id").fill_null(_LAST).to_numpy()
     low, high, inside = (table.column(c).to_numpy().astype(np.int64) for c in ("low", "high", "inside"))
     # Words as numbers: after the suffix's place to the right, before it to the left.
-    numbers: dict = {}
+    lines = [words.as_py().split() for words in table.column("words")]
+    ends = np.cumsum(np.fromiter(map(len, lines), np.int64, n))
+    begins = np.concatenate(([0], ends[:-1]))
+    numbers: defaultdict = defaultdict()
+    numbers.default_factory = numbers.__len__
+    line = np.fromiter(map(numbers.__getitem__, chain.from_iterable(lines)), np.int64, ends[-1])
+    del lines
     right = np.full((window, n), -1, np.int64)
     left = np.full((window - prefix, n), -1, np.int64)
-    for row, (words, at) in enumerate(zip(table.column("words"), inside.tolist())):
-        line = [numbers.setdefault(w, len(numbers)) for w in words.as_py().split()]
-        after, before = line[at : at + window], line[:at][::-1]
-        right[: len(after), row] = after
-        left[: len(before), row] = before
+    for depth in range(window):
+        some = np.flatnonzero(begins + inside + depth < ends)
+        right[depth, some] = line[(begins + inside)[some] + depth]
+    for depth in range(window - prefix):
+        some = np.flatnonzero(inside > depth)
+        left[depth, some] = line[(begins + inside)[some] - depth - 1]
     rights, lefts = _grown(roots, right, len(numbers)), _grown(roots, left, len(numbers))
     # A window that starts ``back`` words before the suffix is a node to the left at that
     # depth and one to the right at the rest.

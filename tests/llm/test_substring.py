@@ -1,10 +1,12 @@
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 
 from oracle import connect, difference
 from starledger.llm.queries import op3_substring, oracle_sql
+from starledger.llm import substring
 from starledger.llm.substring import without_repeats
 
 
@@ -90,3 +92,51 @@ def test_nulls_empty_long_repeated(spark):
     assert got(without_repeats(docs.limit(0))) == []
     spans = {r.doc_id: r.removed for r in without_repeats(docs).collect()}
     assert [tuple(s) for s in spans[9]] == [(100_000, 100_060)]
+
+
+def texts_of(draw, n):
+    word = lambda: bytes(draw.choice(b"ab\xe9") for _ in range(draw.randrange(1, 4)))
+    space = lambda: bytes(draw.choice(b" \t\n\v\f\r") for _ in range(draw.randrange(1, 3)))
+    return [draw.choice([b"", b" "]) + b"".join(word() + space() for _ in range(draw.randrange(40))) for _ in range(n)]
+
+
+def windows_of(texts, **settings):
+    """Text, window, prefix and place of each window, of the suffixes that ``_starts`` names."""
+    rows = pa.RecordBatch.from_pydict(
+        {"id": range(len(texts)), "text": pa.array(texts, pa.binary()), "hash": [0] * len(texts)}
+    )
+    found = (x for b in substring._starts(iter([rows]), 6, 3, **settings) for x in b.to_pylist())
+    return sorted((x["id"], at, x["prefix"], x["place"]) for x in found for at in range(x["low"], x["high"] + 1))
+
+
+def test_windows_are_named_by_their_words_wherever_texts_are_cut(monkeypatch):
+    texts = [*texts_of(random.Random(3), 80), None, b"\x1ca\x1c " * 50, b"a" * 100]
+    found = windows_of(texts)
+    words = [(t or b"").split() for t in texts]
+    assert [x[:2] for x in found] == [(i, at) for i, w in enumerate(words) for at in range(len(w) - 5)]
+    named = {}
+    for i, at, prefix, place in found:
+        assert at <= place <= at + 3
+        assert named.setdefault(tuple(words[i][at : at + 6]), (prefix, place - at)) == (prefix, place - at)
+        assert named.setdefault(prefix, words[i][place : place + 3]) == words[i][place : place + 3]
+    for name, value in [("_RUN", 1), ("_RUN", 300), ("_PIECE", 7)]:
+        monkeypatch.setattr(substring, name, value)
+        assert windows_of(texts) == found
+
+
+@pytest.mark.parametrize("stretch", [1, 7, 1 << 18])
+def test_equal_words_have_equal_hashes(stretch):
+    for text in texts_of(random.Random(4), 60):
+        hashes, places = substring._Words(stretch)(b" " + text + b" ")
+        words = text.split()
+        assert [(b" " + text)[at : at + len(w)] for at, w in zip(places, words)] == words
+        assert len(places) == len(hashes) == len(words)
+        assert len(set(hashes.tolist())) == len(set(words))
+        assert len(set(zip(hashes.tolist(), words))) == len(set(words))
+
+
+def test_short_texts_are_taken_many_at_a_time(monkeypatch):
+    calls, named = [], substring._named
+    monkeypatch.setattr(substring, "_named", lambda *a: calls.append(1) or named(*a))
+    assert len(windows_of([b"a b c d e f g"] * 1000)) == 2000
+    assert len(calls) == 1
