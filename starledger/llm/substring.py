@@ -185,9 +185,10 @@ class _Words:
             space, n = self.space[piece], len(piece) - 1
             edges = np.flatnonzero(space[1:] != space[:-1])
             summed = np.cumsum(self.digits[piece[:-1]] * self.powers[:n])
-            places.append(edges + (at + 1))
+            starts = edges[space[edges]]
+            places.append(starts + (at + 1))
             sums.append(summed[edges] * np.uint64(power) + np.uint64(total))
-            factors.append(self.inverses[edges] * np.uint64(inverse))
+            factors.append(self.inverses[starts] * np.uint64(inverse))
             total = (total + power * int(summed[-1])) % (1 << 64)
             power = power * int(self.powers[-1]) % (1 << 64)
             inverse = inverse * int(self.inverses[-1]) % (1 << 64)
@@ -195,7 +196,7 @@ class _Words:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64)
         # Edges are by turns the start and the end of a word.
         places, sums, factors = map(np.concatenate, (places, sums, factors))
-        return _mixed((sums[1::2] - sums[::2]) * factors[::2]), places[::2]
+        return _mixed((sums[1::2] - sums[::2]) * factors), places
 
 
 def _mixed(numbers: np.ndarray) -> np.ndarray:
@@ -236,7 +237,7 @@ def _starts(
             some = windows > 0
             whole[begins[some]] += 1
             whole[(begins + windows)[some]] -= 1
-            whole = np.cumsum(whole[:-1]) > 0
+            whole = np.cumsum(whole[:-1], dtype=np.int8) > 0
             out, lists = [], []
             # Pieces overlap by a window less a word, so each window is in one of them.
             for at in range(0, len(hashes) - window + 1, _PIECE):
@@ -379,13 +380,18 @@ def _subtrees(table: pa.Table, window: int, prefix: int) -> Iterator[pa.RecordBa
     ids = table.column("id").fill_null(_LAST).to_numpy()
     low, high, inside = (table.column(c).to_numpy().astype(np.int64) for c in ("low", "high", "inside"))
     # Words as numbers: after the suffix's place to the right, before it to the left.
-    lines = [words.as_py().split() for words in table.column("words")]
-    ends = np.cumsum(np.fromiter(map(len, lines), np.int64, n))
-    begins = np.concatenate(([0], ends[:-1]))
     numbers: defaultdict = defaultdict()
     numbers.default_factory = numbers.__len__
-    line = np.fromiter(map(numbers.__getitem__, chain.from_iterable(lines)), np.int64, ends[-1])
-    del lines
+    sizes = []
+
+    def numbered(words: pa.Scalar) -> Iterator[int]:
+        line = words.as_py().split()
+        sizes.append(len(line))
+        return map(numbers.__getitem__, line)
+
+    line = np.fromiter(chain.from_iterable(map(numbered, table.column("words"))), np.int64)
+    ends = np.cumsum(sizes)
+    begins = np.concatenate(([0], ends[:-1]))
     right = np.full((window, n), -1, np.int64)
     left = np.full((window - prefix, n), -1, np.int64)
     for depth in range(window):
