@@ -352,3 +352,27 @@ def test_als_by_sums_makes_its_ratings_once(spark, ratings, monkeypatch):
     monkeypatch.setattr(entry, "ratings_from_orders", lambda *_: ratings.mapInArrow(counted, ratings.schema))
     assert entry.als_by_sums(spark, "").count() == 60
     assert made.value == ratings.count()
+
+
+def test_blocks_hold_what_is_wanted_and_more_only_for_a_larger_id(spark):
+    even = spark.range(4000).selectExpr("int(id % 100) as userId", "int(id / 100) as productId", "1.0D as score")
+    assert block_count(even, wanted=200) >= 20
+    hot = spark.range(600).selectExpr("int(id) as userId", "int(if(id < 250, 7, id)) as productId", "1.0D as score")
+    blocks = block_count(hot, largest_block=300, wanted=100)
+    loads = dict(hot.groupBy(F.expr(f"productId % {blocks}")).count().collect())
+    assert loads.pop(7 % blocks) <= 300 and max(loads.values()) <= 100
+    with pytest.raises(ValueError, match="productId 7 has 250 ratings"):
+        block_count(hot, largest_block=200, wanted=100)
+
+
+def test_blocks_take_no_memory_from_the_tasks(spark, ratings):
+    """What Spark ML keeps between its steps is on disk, as its tasks need the heap."""
+    kept = lambda: dict(spark.sparkContext._jsc.getPersistentRDDs())
+    before = set(kept())
+    model = train(ratings, iterations=1)
+    new = [rdd.getStorageLevel() for key, rdd in kept().items() if key not in before]
+    assert all(level.useDisk() and not level.useMemory() for level in new)
+    als = factors.spark_ml(2, 1, 0.1, 0, 3)
+    assert (als.getIntermediateStorageLevel(), als.getFinalStorageLevel()) == ("DISK_ONLY", "DISK_ONLY")
+    assert (als.getNumUserBlocks(), als.getNumItemBlocks()) == (3, 3)
+    model.free()
