@@ -53,6 +53,16 @@ def test_all_jobs(spark, sources, tmp_path, indexed):
     assert all(x.productId != r.productId for r in similar for x in r.recs)
 
 
+def test_cached_ratings_take_no_memory_from_training(spark, sources, tmp_path, monkeypatch):
+    store, levels = Store(str(tmp_path / "store")), []
+    jobs.load(spark, store, *sources)
+    train = jobs.train
+    monkeypatch.setattr(jobs, "train", lambda ratings, *args, **named: levels.append(ratings.storageLevel) or train(ratings, *args, **named))
+    for cache in (True, False):
+        jobs.product_lists(spark, store, n=2, iterations=1, cache=cache)
+    assert levels[0].useDisk and not levels[0].useMemory and not levels[1].useDisk
+
+
 def test_text_months_and_other_names(spark, sources, tmp_path):
     store = Store(str(tmp_path / "store"), format="json")
     jobs.load(spark, store, *sources, product_table="Product2", rating_table="Rating2", trim=False)
