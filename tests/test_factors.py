@@ -376,3 +376,13 @@ def test_blocks_take_no_memory_from_the_tasks(spark, ratings):
     assert (als.getIntermediateStorageLevel(), als.getFinalStorageLevel()) == ("DISK_ONLY", "DISK_ONLY")
     assert (als.getNumUserBlocks(), als.getNumItemBlocks()) == (3, 3)
     model.free()
+
+
+def test_als_by_sums_counts_its_blocks(spark, ratings, monkeypatch):
+    """Spark's own number of blocks does not grow with the ratings."""
+    asked, fit = [], factors.spark_ml
+    monkeypatch.setattr(entry, "ratings_from_orders", lambda *_: ratings)
+    monkeypatch.setattr(entry, "block_count", lambda found, **_: 11 if found.count() == ratings.count() else 0)
+    monkeypatch.setattr(entry, "spark_ml", lambda *args: asked.append(args[-1]) or fit(*args))
+    assert entry.als_by_sums(spark, "").count() == 60
+    assert asked == [11, 11]
