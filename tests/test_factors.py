@@ -386,3 +386,17 @@ def test_als_by_sums_counts_its_blocks(spark, ratings, monkeypatch):
     monkeypatch.setattr(entry, "spark_ml", lambda *args: asked.append(args[-1]) or fit(*args))
     assert entry.als_by_sums(spark, "").count() == 60
     assert asked == [11, 11]
+
+
+def test_als_scores_makes_its_ratings_once(spark, ratings, monkeypatch):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    monkeypatch.setattr(entry, "ratings_from_orders", lambda *_: ratings.mapInArrow(counted, ratings.schema))
+    scored = entry.als_scores(spark, "")
+    assert scored.columns == ["userId", "productId", "unknown"]
+    assert scored.count() == scored.where("not unknown").count() == ratings.count() == made.value
